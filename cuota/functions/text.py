@@ -7,7 +7,6 @@ mappings go through `translate`, the few one-to-many ones (ligatures, fractions,
 
 from __future__ import annotations
 
-import re
 import sys
 import unicodedata
 from functools import lru_cache
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 # ASCII white space as Python's str.strip() sees it.
 _BLANK = r"[\x09-\x0d\x1c-\x20]"
 _NON_ASCII = r"[^\x00-\x7F]"
-_MARK = "\x01"
+_MARK, _ENTRY = "\x01", "\x02"
 
 
 @lru_cache(maxsize=1)
@@ -46,10 +45,13 @@ def strip_blanks(col: Column) -> Column:
 def fold_ascii(col: Column) -> Column:
     """NFKD fold to ASCII. Plain ASCII values skip all of it."""
     source, target, many = fold_tables()
-    lookup = F.create_map(*[F.lit(part) for pair in many.items() for part in pair])
-    wide = "[" + "".join(re.escape(c) for c in many) + "]"
+    # One literal that the optimizer folds to a map: hundreds of separate literals would cost seconds of planning.
+    entries = _ENTRY.join(f"{char}{_MARK}{ascii_form}" for char, ascii_form in many.items())
+    lookup = F.str_to_map(F.lit(entries), F.lit(_ENTRY), F.lit(_MARK))
+    # `translate` looks characters up in a hash table; a regular expression would try hundreds of alternatives on each.
+    has_many = F.translate(col, "".join(many), "") != col
     expanded = F.when(
-        col.rlike(wide),
+        has_many,
         F.array_join(F.transform(F.split(col, ""), lambda c: F.coalesce(F.try_element_at(lookup, c), c)), ""),
     ).otherwise(col)
     folded = F.regexp_replace(F.translate(expanded, source, target), _NON_ASCII, "")

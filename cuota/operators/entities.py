@@ -32,9 +32,9 @@ def as_dimension(spark: SparkSession, lookup: Lookup, key: str, value: str) -> D
 
 def look_up(df: DataFrame, lookup: Lookup, key: Column, otherwise: Column, out: str) -> DataFrame:
     """Set `out` to the looked-up value of `key`, or to `otherwise`. Keys of the lookup must be unique."""
-    dimension = as_dimension(df.sparkSession, lookup, "_key", "_value")
-    joined = df.join(dimension, key == F.col("_key"), "left")
-    value = F.coalesce(F.col("_value"), otherwise)
+    dimension = as_dimension(df.sparkSession, lookup, "_lookup_key", "_lookup_value")
+    joined = df.join(dimension, key == F.col("_lookup_key"), "left")
+    value = F.coalesce(F.col("_lookup_value"), otherwise)
     kept = [value.alias(out) if name == out else df[name] for name in df.columns]
     return joined.select(*kept, *([] if out in df.columns else [value.alias(out)]))
 

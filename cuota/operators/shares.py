@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,18 +12,15 @@ from cuota.functions.dates import month_label, month_start
 _SUM_DIGITS = 28
 
 
-def with_share(summed: DataFrame, amount: str, by: Sequence[str], out: str = "share") -> DataFrame:
-    """Add `amount` over its total per `by` (null when that total is 0).
+def with_share(summed: DataFrame, amount: str, by: str, out: str = "share") -> DataFrame:
+    """Add `amount` over its total per `by`; null when that total is 0 or `by` is null.
 
     The totals are a second group-by over the already summed rows, joined back, instead of a window that would sort
     every row of a month in one task. The caller bounds the number of `by` groups: one row per calendar month.
     """
-    totals = summed.groupBy(*by).agg(F.sum(amount).alias("_total"))
-    matched = [summed[name].eqNullSafe(totals[name]) for name in by]
-    joined = summed.join(F.broadcast(totals), matched, "left")
-    known = summed[by[0]].isNotNull()
-    return joined.select(*[summed[name] for name in summed.columns],
-                         F.when(known, share_of(F.col(amount), F.col("_total"))).alias(out))
+    totals = summed.groupBy(F.col(by).alias("_by")).agg(F.sum(amount).alias("_total"))
+    joined = summed.join(F.broadcast(totals), F.col(by) == F.col("_by"), "left")
+    return joined.withColumn(out, share_of(F.col(amount), F.col("_total"))).drop("_by", "_total")
 
 
 def monthly_credit(credit: DataFrame, product: str, *, scale: int | None = None) -> DataFrame:
@@ -36,7 +31,7 @@ def monthly_credit(credit: DataFrame, product: str, *, scale: int | None = None)
         .agg(total(F.col("cartera_total"), scale, _SUM_DIGITS).alias("monto"),
              total(F.col("cartera_vencida"), scale, _SUM_DIGITS).alias("vencida"))
     )
-    return with_share(summed, "monto", ["mes"]).select(
+    return with_share(summed, "monto", "mes").select(
         "mes", "entidad", F.col("monto").cast("double").alias("monto"), F.col("vencida").cast("double").alias("vencida"),
         "share", delinquency(F.col("vencida"), F.col("monto")).alias("morosidad"),
     ).orderBy("mes", "entidad")
@@ -49,7 +44,7 @@ def monthly_cards(cards: DataFrame, card_class: str, *, scale: int | None = None
         .groupBy(month_start(F.col("fecha")).alias("mes"), "entidad")
         .agg(total(F.col("total"), scale, _SUM_DIGITS).alias("total"))
     )
-    return with_share(summed, "total", ["mes"]).select(
+    return with_share(summed, "total", "mes").select(
         "mes", "entidad", F.col("total").cast("double").alias("total"), "share").orderBy("mes", "entidad")
 
 
