@@ -7,6 +7,8 @@ added as DOUBLE.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -16,9 +18,18 @@ _INTEGER_SHAPE = r"^\s*[+-]?[0-9]+\s*$"
 _INFINITY_SHAPE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
 
-def total(col: Column, scale: int | None, digits: int = 18) -> Column:
-    """SUM, exact when `scale` is given. Overflow raises rather than wraps."""
-    return F.sum(col) if scale is None else F.sum(col.cast(DecimalType(digits, scale)))
+def total(col: Column, scale: int | None, *, summed: bool = False) -> Column:
+    """SUM, exact when `scale` is given. Overflow raises rather than wraps.
+
+    Single amounts are added as whole units of 10^-scale, which is much cheaper than casting each to DECIMAL. Amounts
+    that are sums themselves (`summed`) may need more digits than a long has and are few, so they are cast.
+    """
+    if scale is None:
+        return F.sum(col)
+    if summed:
+        return F.sum(col.cast(DecimalType(28, scale)))
+    units = F.rint(col * float(10**scale)).cast("bigint").cast(DecimalType(18, 0))
+    return F.sum(units) * F.lit(Decimal(1).scaleb(-scale))
 
 
 def total_or_zero(col: Column, scale: int | None) -> Column:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from cuota.functions.amounts import share_of, share_of_positive, total
 from cuota.functions.dates import month_label, month_start
 
-# Sums of already summed amounts need more integer digits than single amounts do.
-_SUM_DIGITS = 28
-
 
 def with_share(summed: DataFrame, amount: str, by: str, out: str = "share") -> DataFrame:
     """Add `amount` over its total per `by`; null when that total is 0 or `by` is null.
@@ -28,8 +25,8 @@ def monthly_credit(credit: DataFrame, product: str, *, scale: int | None = None)
     summed = (
         credit.filter(F.upper("actividad") == F.lit(product.upper()))
         .groupBy(month_start(F.col("fecha")).alias("mes"), "entidad")
-        .agg(total(F.col("cartera_total"), scale, _SUM_DIGITS).alias("monto"),
-             total(F.col("cartera_vencida"), scale, _SUM_DIGITS).alias("vencida"))
+        .agg(total(F.col("cartera_total"), scale, summed=True).alias("monto"),
+             total(F.col("cartera_vencida"), scale, summed=True).alias("vencida"))
     )
     return with_share(summed, "monto", "mes").select(
         "mes", "entidad", F.col("monto").cast("double").alias("monto"), F.col("vencida").cast("double").alias("vencida"),
@@ -42,7 +39,7 @@ def monthly_cards(cards: DataFrame, card_class: str, *, scale: int | None = None
     summed = (
         cards.filter(F.upper("clasificacion") == F.lit(card_class.upper()))
         .groupBy(month_start(F.col("fecha")).alias("mes"), "entidad")
-        .agg(total(F.col("total"), scale, _SUM_DIGITS).alias("total"))
+        .agg(total(F.col("total"), scale, summed=True).alias("total"))
     )
     return with_share(summed, "total", "mes").select(
         "mes", "entidad", F.col("total").cast("double").alias("total"), "share").orderBy("mes", "entidad")
