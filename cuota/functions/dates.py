@@ -11,11 +11,12 @@ from cuota.functions.text import strip_blanks
 
 _DAY = "(3[01]|[12][0-9]|0?[1-9])"
 _MONTH = "(1[0-2]|0?[1-9])"
+_YEAR = "(?!0000)[0-9]{4}"
 # Accepted text forms once '-' and '.' are '/': tried in this order.
 _TEXT_FORMS = (
-    (f"^[0-9]{{4}}/{_MONTH}/{_DAY}$", "yyyy/M/d"),
-    (f"^[0-9]{{4}}/{_MONTH}$", "yyyy/M"),
-    (f"^{_DAY}/{_MONTH}/[0-9]{{4}}$", "d/M/yyyy"),
+    (f"^{_YEAR}/{_MONTH}/{_DAY}$", "yyyy/M/d"),
+    (f"^{_YEAR}/{_MONTH}$", "yyyy/M"),
+    (f"^{_DAY}/{_MONTH}/{_YEAR}$", "d/M/yyyy"),
 )
 # Day zero of spreadsheet serial numbers.
 _SERIAL_EPOCH = date(1899, 12, 30)

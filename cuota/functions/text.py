@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ASCII white space as Python's str.strip() sees it.
-_BLANK = r"[\x09-\x0d\x1c-\x20]"
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 _NON_ASCII = r"[^\x00-\x7F]"
 _MARK, _ENTRY = "\x01", "\x02"
 
@@ -39,7 +39,7 @@ def fold_tables() -> tuple[str, str, dict[str, str]]:
 
 def strip_blanks(col: Column) -> Column:
     """`str.strip()` for ASCII text; `trim` alone would leave tabs and newlines."""
-    return F.regexp_replace(col, f"^{_BLANK}+|{_BLANK}+$", "")
+    return F.btrim(col, F.lit(_BLANKS))
 
 
 def fold_ascii(col: Column) -> Column:

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cuota.functions.amounts import total
 from cuota.specs import INCOME_INDEX, LinkCategory, LinkSpec, Selector, SheetTarget, WideSheet
 
 # Codes 3 and 7 merge into 1001 and 18 into 1002, which have no name; 11 merges into 12, which has one.
@@ -40,6 +41,9 @@ PAGE_LINKS = LinkSpec(
 )
 PAGE_FALLBACK = {"tabla_a": "https://boletin.example/a.xls?v=1", "tabla_b": "https://boletin.example/b/7f3c"}
 PAGE_FILES = {"tabla_a": "archivo_a"}
+PRODUCTS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "ECONOMY", "LARGE", "MEDIUM", "PROMO",
+            "SMALL", "STANDARD")
+_END_ROW = 2_000_000_000
 
 
 # Declared, so that opening a table reads no file footers.
@@ -148,50 +152,44 @@ def portfolio(spark: SparkSession, sf: str, since: date | None = None, until: da
 def wide_sheet_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The portfolio laid out as wide sheets: a workbook per region, a column per nation, months filled down.
 
-    Row numbers follow from month and product and have gaps; rows behind the end row repeat the first month's.
+    Row numbers follow from month and product and have gaps. Behind the end row every row is repeated.
     """
-    facts = portfolio(spark, sf).groupBy("fecha", "banco", "producto").agg(
-        F.sum(F.col("monto").cast("decimal(18,2)")).alias("monto"))
+    nothing = F.lit(None).cast("string")
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     # A header cell per nation of the region: a list as long as a sheet is wide.
     heads = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).groupBy(
         F.concat("r_name", F.lit(".xlsx")).alias("file")).agg(F.array_sort(F.collect_list("n_name")).alias("names"))
-    banks = heads.select("file", "names", F.explode("names").alias("banco"))
+    facts = portfolio(spark, sf).groupBy("fecha", "banco", "producto").agg(total(F.col("monto"), 2).alias("monto"))
     sheet = F.when(F.col("producto").rlike("^[0-9]"), CARD_LIKE.sheet).otherwise(CREDIT_LIKE.sheet)
-    months = F.year("fecha") * 12 + F.month("fecha")
-    cells = facts.join(banks, "banco").groupBy("file", "names", "fecha", "producto").agg(
+    lines = facts.join(heads.select("file", "names", F.explode("names").alias("banco")), "banco").groupBy(
+        "file", "names", sheet.alias("sheet"), "fecha", "producto").agg(
         F.map_from_entries(F.collect_list(F.struct("banco", "monto"))).alias("amounts"))
-    products = facts.agg(F.array_sort(F.collect_set("producto")).alias("p")).scalar()
-    body = cells.select(
-        "file", sheet.alias("sheet"), (months * 1000 + F.array_position(products, F.col("producto"))).alias("row_no"),
-        F.concat(F.array(F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("producto")),
-                 F.transform("names", lambda n: F.col("amounts")[n].cast("string"))).alias("cells"),
-        F.concat(F.array(F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit("s")),
-                 F.transform("names", lambda n: F.lit("n"))).alias("types"))
-    # Month cells stand on a row of their own whose category is no product; their style changes by month.
-    style = F.month("fecha")
-    text = F.when(style <= 3, F.date_format("fecha", "yyyy-MM-dd")).when(style <= 6, F.date_format("fecha", "yyyy/M")) \
-        .when(style <= 9, F.date_format(F.last_day("fecha"), "dd.MM.yyyy")).when(
-            style <= 11, F.datediff("fecha", F.lit(date(1899, 12, 30))).cast("string")).otherwise(
+
+    # Month cells stand on a row of their own, before the month's first product; its category is no product.
+    month = F.month("fecha")
+    text = F.when(month <= 3, F.date_format("fecha", "yyyy-MM-dd")).when(month <= 6, F.date_format("fecha", "yyyy/M")) \
+        .when(month <= 9, F.date_format(F.last_day("fecha"), "dd.MM.yyyy")).when(
+            month <= 11, F.datediff("fecha", F.lit(date(1899, 12, 30))).cast("string")).otherwise(
             F.date_format("fecha", "yyyy-MM-dd HH:mm:ss"))
-    kind = F.when(style <= 9, "s").when(style <= 11, "n").otherwise("d")
-    starts = cells.select("file", sheet.alias("sheet"), "fecha").distinct().select(
-        "file", "sheet", (months * 1000).alias("row_no"),
-        F.array(F.lit(None).cast("string"), text, F.lit("Subtotal")).alias("cells"),
-        F.array(F.lit(None).cast("string"), kind, F.lit("s")).alias("types"))
-    frame = heads.select("names", "file", F.explode(F.array(F.lit(CREDIT_LIKE.sheet), F.lit(CARD_LIKE.sheet)))
-                         .alias("sheet"))
-    nothing = F.lit(None).cast("string")
-    header = frame.select(
-        "file", "sheet", F.lit(5).alias("row_no"),
-        F.concat(F.array(nothing, F.lit("Fecha"), F.lit("Sector o clase")), "names").alias("cells"),
-        F.concat(F.array(nothing, F.lit("s"), F.lit("s")), F.transform("names", lambda n: F.lit("s"))).alias("types"))
-    end = frame.select("file", "sheet", F.lit(2_000_000_000).alias("row_no"),
-                       F.array(nothing, F.lit("Total general"), nothing).alias("cells"),
-                       F.array(nothing, F.lit("s"), nothing).alias("types"))
-    behind = body.select("file", "sheet", (F.col("row_no") + 2_000_000_000).alias("row_no"), "cells", "types")
-    parts = [p.withColumn("row_no", F.col("row_no").cast("long")) for p in (body, starts, header, end, behind)]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows.select("file", "sheet", F.lit(0).alias("sheet_pos"), "row_no", "cells", "types")
+    kind = F.when(month <= 9, "s").when(month <= 11, "n").otherwise("d")
+    place = F.array_position(F.array(*[F.lit(p) for p in PRODUCTS]), F.col("producto"))
+    first = F.min("_place").over(Window.partitionBy("file", "sheet", "fecha"))
+    placed = lines.withColumn("_place", place).withColumn("_first", first == F.col("_place"))
+    start = (F.year("fecha") * 12 + month).cast("long") * 1000
+
+    def row(row_no, cells, types):
+        return F.struct(row_no.cast("long").alias("row_no"), cells.alias("cells"), types.alias("types"))
+
+    cells = F.concat(F.array(nothing, nothing, F.col("producto")),
+                     F.transform("names", lambda n: F.col("amounts")[n].cast("string")))
+    types = F.concat(F.array(nothing, nothing, F.lit("s")), F.transform("names", lambda n: F.lit("n")))
+    body = placed.select("file", "sheet", F.inline(F.array_compact(F.array(
+        row(start + F.col("_place"), cells, types), row(start + F.col("_place") + _END_ROW, cells, types),
+        F.when(F.col("_first"), row(start, F.array(nothing, text, F.lit("Subtotal")),
+                                    F.array(nothing, kind, F.lit("s"))))))))
+    frame = heads.select("file", F.explode(F.array(F.lit(CREDIT_LIKE.sheet), F.lit(CARD_LIKE.sheet))).alias("sheet"),
+                         "names").select("file", "sheet", F.inline(F.array(
+        row(F.lit(5), F.concat(F.array(nothing, F.lit("Fecha"), F.lit("Sector o clase")), "names"),
+            F.concat(F.array(nothing, F.lit("s"), F.lit("s")), F.transform("names", lambda n: F.lit("s")))),
+        row(F.lit(_END_ROW), F.array(nothing, F.lit("Total general"), nothing), F.array(nothing, F.lit("s"), nothing)))))
+    return body.unionByName(frame).select("file", "sheet", F.lit(0).alias("sheet_pos"), "row_no", "cells", "types")

@@ -22,7 +22,7 @@ from cuota.operators.portfolio import (adjust_cutoffs, adjusted_cutoff, composit
 from cuota.operators.shares import distinct_values, monthly_cards, monthly_credit, period_bounds, share_cap
 from cuota.operators.sheets import select_sheets, unpivot_wide_sheets
 from cuota.plans import bindings as b
-from cuota.session import scratch_path
+from cuota.session import scratch_path, spread
 from cuota.sinks.files import manifest
 from cuota.sinks.tables import read_csv_table, refresh_table, write_csv, write_table
 from cuota.sources.html import link_candidates
@@ -33,8 +33,6 @@ from cuota.specs import CREDIT, PORTFOLIO, TableSpec
 CUTOFF = "2001-03-31"
 CUTOFF_MONTH, WINDOW_START = date(2001, 3, 1), date(1999, 4, 1)
 SCALE = 2  # amounts of the check tables have two decimals
-PRODUCTS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW", "ECONOMY", "LARGE", "MEDIUM", "PROMO",
-            "SMALL", "STANDARD")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -182,7 +180,7 @@ def _cutoff_composition(spark, sf):
 
 @query("composition_matrix")
 def _composition_matrix(spark, sf):
-    return composition_matrix(_composition(spark, sf), PRODUCTS)
+    return composition_matrix(_composition(spark, sf), b.PRODUCTS)
 
 
 @query("stack_base")
@@ -237,17 +235,18 @@ def _parse_month(spark, sf):
             .otherwise(F.date_format(day, "yyyy-MM-dd HH:mm:ss")))
     kind = (F.when(F.col("o_orderstatus") == "P", "s").when(priority == "4-NOT SPECIFIED", "n")
             .when(priority == "5-LOW", "d").otherwise("s"))
-    return b.table(spark, sf, "orders").select("o_orderkey", parse_month(text, kind).alias("mes"))
+    cells = b.table(spark, sf, "orders").select("o_orderkey", text.alias("texto"), kind.alias("tipo"))
+    return cells.select("o_orderkey", parse_month(F.col("texto"), F.col("tipo")).alias("mes"))
 
 
 @query("normalize_name")
 def _normalize_name(spark, sf):
-    return b.table(spark, sf, "documents").select("doc_id", normalize_name(F.col("text")).alias("nombre"))
+    return spread(b.table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", normalize_name(F.col("text")).alias("nombre"))
 
 
 @query("normalize_text")
 def _normalize_text(spark, sf):
-    return b.table(spark, sf, "documents").select("doc_id", normalize_text(F.col("text")).alias("texto"))
+    return spread(b.table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", normalize_text(F.col("text")).alias("texto"))
 
 
 @query("bank_group")

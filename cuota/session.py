@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE sizes the reducers, splits skewed join partitions and turns small sides into broadcasts by measured size.
 DEFAULTS = {
@@ -41,3 +41,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="cuota-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly per-row work on an input of few splits; larger inputs are left where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -18,6 +18,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cuota.session import spread
 from cuota.specs import LinkSpec
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have the package installed
@@ -48,7 +49,7 @@ def link_candidates(pages: DataFrame, spec: LinkSpec, *, page_id: str = "page_id
                     for row in _candidates(text, spec)]
             yield pd.DataFrame(rows, columns=["page_id", "method_rank", "pos", "url", "text", "type"])
 
-    return source.mapInPandas(scan, CANDIDATE_DDL)
+    return spread(source).mapInPandas(scan, CANDIDATE_DDL)
 
 
 class _Node:
