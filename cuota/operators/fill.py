@@ -11,7 +11,7 @@ CHUNK_ROWS = 65_536
 
 def chunk_of(row_no: Column, chunk_rows: int = CHUNK_ROWS) -> Column:
     """Number of the slice of `chunk_rows` consecutive row numbers a row falls into."""
-    return F.floor(row_no / F.lit(chunk_rows)).cast("long")
+    return F.call_function("div", row_no.cast("long"), F.lit(chunk_rows))
 
 
 def fill_within_chunks(df: DataFrame, keys: list[str], order: str, value: str, carry: str) -> Column:

@@ -42,10 +42,12 @@ def adjust_cutoffs(portfolio: DataFrame, cutoffs: Sequence[str]) -> DataFrame:
     )
 
 
-def adjusted_cutoff(portfolio: DataFrame, cutoff: str | date) -> Column:
-    """The adjusted cutoff month as a scalar subquery, so that it takes part in the plan without a driver round trip."""
-    bounds = portfolio.agg(F.min("fecha").alias("_first"), F.max("fecha").alias("_last"))
-    return bounds.select(_clamped(F.col("_first"), F.col("_last"), cutoff).alias("corte")).scalar()
+def adjusted_cutoff(portfolio: DataFrame, cutoff: str) -> date:
+    """The adjusted cutoff month as a plain date: one row is fetched.
+
+    A literal in the later range filter reaches file pruning when the plan is made; a subquery's result would not.
+    """
+    return adjust_cutoffs(portfolio, [cutoff]).first()["corte"]
 
 
 def trailing_share(portfolio: DataFrame, cutoff: Cutoff, *, months: int = WINDOW_MONTHS, scale: int | None = None,

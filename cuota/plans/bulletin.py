@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cuota.operators.consolidate import (classify_income, consolidate_cards, consolidate_credit, consolidate_income,
                                          profile_tables)
 from cuota.operators.entities import Lookup
+from cuota.operators.shares import monthly_cards_by_class, monthly_credit_by_product, period_bounds
 from cuota.sinks.tables import write_table
 from cuota.sources.staging import read_bulletin, read_income_index
 from cuota.specs import ENTITY_NAMES, ENTITY_SUCCESSORS
@@ -39,3 +40,11 @@ def load_bulletin(spark: SparkSession, folder: str, out: str, *, index_path: str
     stored = {name: write_table(df, f"{out.rstrip('/')}/{name}", sort_by=FINAL_ORDER[name])
               for name, df in finals.items()}
     return {**stored, "perfil": profile_tables(stored)}
+
+
+def share_reports(finals: dict[str, DataFrame], *, scale: int | None = None) -> dict[str, DataFrame]:
+    """Monthly shares of the reported products and card classes, and the period each covers."""
+    credit = monthly_credit_by_product(finals["credito_sector"], scale=scale)
+    cards = monthly_cards_by_class(finals["tarjetas"], scale=scale)
+    return {"credito": credit, "tarjetas": cards, "periodo_credito": period_bounds(credit, by=["producto"]),
+            "periodo_tarjetas": period_bounds(cards, by=["clasificacion"])}

@@ -222,6 +222,25 @@ def oracles() -> dict[str, str]:
               FROM tarjetas WHERE upper(clasificacion) = '1-URGENT' GROUP BY 1, 2)
             SELECT mes, entidad, CAST(t AS DOUBLE) AS total,
                    CAST(t AS DOUBLE) / nullif(CAST(sum(t) OVER (PARTITION BY mes) AS DOUBLE), 0) AS share FROM s""",
+        "monthly_credit_by_product": f"""WITH {_CREDIT}, s AS (
+              SELECT upper(actividad) AS producto, CAST(date_trunc('month', fecha) AS DATE) AS mes, entidad,
+                     sum(CAST(cartera_total AS DECIMAL(28,2))) AS m, sum(CAST(cartera_vencida AS DECIMAL(28,2))) AS v
+              FROM credito WHERE upper(actividad) IN ('ECONOMY', 'PROMO', 'LARGE') GROUP BY 1, 2, 3),
+            d AS (SELECT producto, mes, entidad, CAST(m AS DOUBLE) AS monto, CAST(v AS DOUBLE) AS vencida,
+                         CAST(sum(m) OVER (PARTITION BY producto, mes) AS DOUBLE) AS t FROM s)
+            SELECT producto, mes, entidad, monto, vencida, monto / nullif(t, 0) AS share,
+                   CASE WHEN monto > 0 THEN vencida / monto END AS morosidad FROM d""",
+        "monthly_cards_by_class": f"""WITH {_CARDS}, s AS (
+              SELECT clasificacion, CAST(date_trunc('month', fecha) AS DATE) AS mes, entidad,
+                     sum(CAST(total AS DECIMAL(28,2))) AS t
+              FROM tarjetas WHERE clasificacion IN ('1-URGENT', '5-LOW') GROUP BY 1, 2, 3)
+            SELECT clasificacion, mes, entidad, CAST(t AS DOUBLE) AS total, CAST(t AS DOUBLE)
+                   / nullif(CAST(sum(t) OVER (PARTITION BY clasificacion, mes) AS DOUBLE), 0) AS share FROM s""",
+        "period_by_product": f"""WITH {_CREDIT}
+            SELECT upper(actividad) AS producto, CAST(date_trunc('month', min(fecha)) AS DATE) AS desde,
+                   CAST(date_trunc('month', max(fecha)) AS DATE) AS hasta,
+                   strftime(min(fecha), '%b-%y') || ' a ' || strftime(max(fecha), '%b-%y') AS periodo
+            FROM credito WHERE upper(actividad) IN ('ECONOMY', 'PROMO') GROUP BY 1""",
         "adjust_cutoff": f"""WITH {_FACTS}, r AS (SELECT min(fecha) AS lo, max(fecha) AS hi FROM hechos),
             p (pedido) AS (VALUES (DATE '1990-05-20'), (DATE '2000-02-29'), (DATE '2030-12-31'))
             SELECT pedido, lo AS min_mes, hi AS max_mes,

@@ -19,7 +19,8 @@ from cuota.operators.links import (categorize_links, dedupe_links, extract_links
                                    select_links)
 from cuota.operators.portfolio import (adjust_cutoffs, adjusted_cutoff, composition_matrix, consolidate_portfolio,
                                        cutoff_composition, stack_bases, trailing_share)
-from cuota.operators.shares import distinct_values, monthly_cards, monthly_credit, period_bounds, share_cap
+from cuota.operators.shares import (distinct_values, monthly_cards, monthly_cards_by_class, monthly_credit,
+                                    monthly_credit_by_product, period_bounds, share_cap)
 from cuota.operators.sheets import select_sheets, unpivot_wide_sheets
 from cuota.plans import bindings as b
 from cuota.session import scratch_path, spread
@@ -161,6 +162,22 @@ def _monthly_card_share(spark, sf):
     return monthly_cards(_cards(spark, sf), "1-Urgent", scale=SCALE)
 
 
+@query("monthly_credit_by_product")
+def _monthly_credit_by_product(spark, sf):
+    return monthly_credit_by_product(_credit(spark, sf), ["Economy", "promo", "LARGE"], scale=SCALE)
+
+
+@query("monthly_cards_by_class")
+def _monthly_cards_by_class(spark, sf):
+    return monthly_cards_by_class(_cards(spark, sf), ["1-urgent", "5-LOW"], scale=SCALE)
+
+
+@query("period_by_product")
+def _period_by_product(spark, sf):
+    return period_bounds(monthly_credit_by_product(_credit(spark, sf), ["Economy", "promo"], scale=SCALE),
+                         by=["producto"])
+
+
 @query("adjust_cutoff")
 def _adjust_cutoff(spark, sf):
     return adjust_cutoffs(b.portfolio(spark, sf), ["1990-05-20", "2000-02-29", "2030-12-31"])
@@ -168,9 +185,9 @@ def _adjust_cutoff(spark, sf):
 
 @query("share_at_adjusted_cutoff")
 def _share_at_adjusted_cutoff(spark, sf):
-    """A cutoff beyond the data, moved to its last month inside the plan."""
-    facts = b.portfolio(spark, sf)
-    return trailing_share(facts, adjusted_cutoff(facts, "2030-12-31"), scale=SCALE)
+    """A cutoff beyond the data, moved to its last month first."""
+    month = adjusted_cutoff(b.portfolio(spark, sf), "2030-12-31")
+    return trailing_share(b.portfolio(spark, sf, until=month), month, scale=SCALE)
 
 
 @query("cutoff_composition")
