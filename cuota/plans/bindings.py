@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -113,7 +114,8 @@ def income_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def income_index(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(INDEX_ROWS, INCOME_INDEX.schema)
+    columns = dict(zip(INCOME_INDEX.names, map(list, zip(*INDEX_ROWS))))
+    return spark.createDataFrame(pa.table(columns))
 
 
 def _in_window(column: str, since: date | None, until: date | None) -> Column:
