@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from cuota.operators.consolidate import (classify_income, consolidate_cards, consolidate_credit, consolidate_income,
@@ -10,7 +12,7 @@ from cuota.operators.entities import Lookup
 from cuota.operators.shares import monthly_cards_by_class, monthly_credit_by_product, period_bounds
 from cuota.sinks.tables import write_table
 from cuota.sources.staging import read_bulletin, read_income_index
-from cuota.specs import ENTITY_NAMES, ENTITY_SUCCESSORS
+from cuota.specs import ENTITY_NAMES, ENTITY_SUCCESSORS, STAGING_FILES, TableSpec
 
 # Final tables and the order their rows are stored in.
 FINAL_ORDER = {
@@ -32,11 +34,15 @@ def consolidate_bulletin(staging: dict[str, DataFrame], index: DataFrame, *, suc
     }
 
 
-def load_bulletin(spark: SparkSession, folder: str, out: str, *, index_path: str | None = None,
-                  on_bad_date: str = "raise", scale: int | None = None) -> dict[str, DataFrame]:
-    """Read a folder of tidy CSV files, write the final tables under `out` and return them with their profile."""
-    finals = consolidate_bulletin(read_bulletin(spark, folder, on_bad_date=on_bad_date),
-                                  read_income_index(spark, index_path), scale=scale)
+def load_bulletin(spark: SparkSession, folder: str, out: str, *, files: Mapping[str, tuple[str, TableSpec]] = STAGING_FILES,
+                  index_path: str | None = None, on_bad_date: str = "raise", multi_line: bool = False,
+                  scale: int | None = None) -> dict[str, DataFrame]:
+    """Read a folder of tidy CSV files, write the final tables under `out` and return them with their profile.
+
+    For a folder of exported sheets pass files=EXPORTED_FILES and multi_line=True.
+    """
+    staging = read_bulletin(spark, folder, files, on_bad_date=on_bad_date, multi_line=multi_line)
+    finals = consolidate_bulletin(staging, read_income_index(spark, index_path), scale=scale)
     stored = {name: write_table(df, f"{out.rstrip('/')}/{name}", sort_by=FINAL_ORDER[name])
               for name, df in finals.items()}
     return {**stored, "perfil": profile_tables(stored)}

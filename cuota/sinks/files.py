@@ -34,15 +34,24 @@ def sheet_lines(rows: DataFrame, targets: Sequence[SheetTarget] = SHEET_TARGETS)
     prefixes = F.create_map(*[F.lit(part) for t in targets for part in (t.label, t.prefix)])
     outputs = chosen.select("file", "sheet", F.concat(F.element_at(prefixes, F.col("target")),
                                                       institution_suffix(F.col("file"))).alias("salida"))
-    line = F.array_join(F.transform("cells", _csv_field), ",")
+
+    def shown(cell: Column) -> Column:
+        flag = F.when(cell["cells"] == "1", "True").otherwise("False")
+        return _csv_field(F.when(cell["types"] == "b", flag).otherwise(cell["cells"]))
+
+    line = F.array_join(F.transform(F.arrays_zip("cells", "types"), shown), ",")
     return rows.join(outputs, ["file", "sheet"]).select("file", "salida", "row_no", line.alias("value"))
 
 
 def export_sheets(rows: DataFrame, path: str, targets: Sequence[SheetTarget] = SHEET_TARGETS) -> None:
-    """One folder per output, lines in sheet order, no header of our own."""
-    lines = sheet_lines(rows, targets)
-    ordered = lines.repartitionByRange("salida", "file", "row_no").sortWithinPartitions("salida", "file", "row_no")
-    ordered.select("salida", "value").write.mode("overwrite").partitionBy("salida").text(path)
+    """One CSV file per workbook and target, in sheet order, under salida=<target>/libro=<workbook>.
+
+    The file format holds a sheet to 1,048,576 rows, so writing one in one task is bounded. `libro` is a digest of the
+    workbook's path, as base names repeat every month. Pass stored rows: they are read twice.
+    """
+    lines = sheet_lines(rows, targets).withColumn("libro", F.sha1("file"))
+    ordered = lines.repartition("salida", "libro").sortWithinPartitions("salida", "libro", "row_no")
+    ordered.select("salida", "libro", "value").write.mode("overwrite").partitionBy("salida", "libro").text(path)
 
 
 def manifest(files: DataFrame, timestamp: str, documents: int = 1) -> DataFrame:

@@ -35,11 +35,14 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def read_csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with a header row, every column as text. Files whose header differs from the first one's are refused."""
+def read_csv_text(spark: SparkSession, path: str | list[str], *, multi_line: bool = False) -> DataFrame:
+    """CSV with a header row, every column as text. Files whose header differs from the first one's are refused.
+
+    With `multi_line` cells may hold line breaks. Such a file cannot be split, so leave it off for large ones.
+    """
     return (
         spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
-        .option("multiLine", False).option("escape", '"').csv(path)
+        .option("multiLine", multi_line).option("escape", '"').csv(path)
     )
 
 
@@ -85,18 +88,19 @@ def rejected_cells(df: DataFrame, spec: TableSpec, *, date_formats: Iterable[str
     return df.withColumn("rechazadas", F.array_compact(F.array(*lost))).filter(F.size("rechazadas") > 0)
 
 
-def read_staging(spark: SparkSession, path: str | list[str], spec: TableSpec, *, on_bad_date: str = "raise"
-                 ) -> DataFrame:
+def read_staging(spark: SparkSession, path: str | list[str], spec: TableSpec, *, on_bad_date: str = "raise",
+                 multi_line: bool = False) -> DataFrame:
     """One staging table; `path` may be a glob over many months."""
-    return apply_types(normalize_columns(read_csv_text(spark, path)), spec, on_bad_date=on_bad_date)
+    text = normalize_columns(read_csv_text(spark, path, multi_line=multi_line))
+    return apply_types(text, spec, on_bad_date=on_bad_date)
 
 
 def read_bulletin(spark: SparkSession, folder: str, files: Mapping[str, tuple[str, TableSpec]] = STAGING_FILES, *,
-                  on_bad_date: str = "raise") -> dict[str, DataFrame]:
+                  on_bad_date: str = "raise", multi_line: bool = False) -> dict[str, DataFrame]:
     """All staging tables of a folder. Every file must exist."""
     paths = {table: f"{folder.rstrip('/')}/{name}" for table, (name, _) in files.items()}
     require_paths(spark, paths.values())
-    return {table: read_staging(spark, paths[table], spec, on_bad_date=on_bad_date)
+    return {table: read_staging(spark, paths[table], spec, on_bad_date=on_bad_date, multi_line=multi_line)
             for table, (_, spec) in files.items()}
 
 

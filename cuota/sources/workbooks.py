@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import posixpath
+import re
 import sys
 import zipfile
 from datetime import datetime, timedelta
@@ -19,8 +20,10 @@ from cuota.specs import SHEET_ROWS_DDL
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have the package installed
 
 _BATCH_ROWS = 4096
-# Built-in number formats that show a date, with or without a time.
-_DATE_FORMATS = frozenset((14, 15, 16, 17, 22))
+# Built-in number formats that show a date or a time.
+_DATE_FORMATS = frozenset((14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47))
+# Parts of a custom number format that say nothing about its kind: quoted text, colours, escapes, padding.
+_FORMAT_NOISE = re.compile(r'"[^"]*"|\[(?!h+\]|m+\]|s+\])[^\]]*\]|\\.|_.', re.I)
 
 
 def read_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -72,8 +75,8 @@ def _date_styles(styles):
     for block in _children(styles, "cellXfs"):
         for index, style in enumerate(block):
             number_format = int(style.get("numFmtId", 0))
-            code = custom.get(number_format, "").lower().split(";")[0]
-            if number_format in _DATE_FORMATS or ("y" in code and "m" in code) or ("d" in code and "m" in code):
+            code = _FORMAT_NOISE.sub("", custom.get(number_format, "").split(";")[0])
+            if number_format in _DATE_FORMATS or re.search("[dmhys]", code, re.I):
                 found.add(index)
     return found
 
@@ -144,5 +147,6 @@ def _value(cell, strings, dates, epoch):
     if kind == "n":
         if int(cell.get("s", 0)) in dates:
             return str(epoch + timedelta(days=float(raw))), "d"
-        return raw, "n"
+        # Spreadsheets store 0.1 as 0.10000000000000001.
+        return (str(float(raw)) if any(c in raw for c in ".eE") else raw), "n"
     return raw, "s"

@@ -79,6 +79,9 @@ STAGING_FILES: dict[str, tuple[str, TableSpec]] = {
     "erfi": ("ERFI.csv", INCOME),
 }
 
+# The same tables where sheets were exported from workbooks.
+EXPORTED_FILES = {table: (f"salida={name.removesuffix('.csv')}", spec) for table, (name, spec) in STAGING_FILES.items()}
+
 # Institution codes that merged into a successor.
 ENTITY_SUCCESSORS: dict[int, int] = {
     1039: 1046, 2007: 1046, 1041: 1042, 1028: 1008, 1007: 1004, 2036: 1047, 2077: 1020, 1040: 1020, 2081: 1045,

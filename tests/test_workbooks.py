@@ -13,7 +13,8 @@ from cuota.plans.market_share import load_portfolio, open_portfolio
 from cuota.sinks.files import export_sheets, manifest, write_manifest
 from cuota.sources.listing import is_valid_file, list_files
 from cuota.sources.workbooks import read_workbooks, workbook_sheets
-from cuota.specs import CARD_SHEET, CREDIT_SHEET
+from cuota.sources.staging import read_bulletin
+from cuota.specs import CARD_SHEET, CREDIT_SHEET, EXPORTED_FILES
 
 SPREADSHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 RELATIONS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -102,15 +103,34 @@ def test_sheet_export(spark, folder):
     export_sheets(rows, f"{folder}/out")
     outputs = {name.split("=")[1] for name in os.listdir(f"{folder}/out") if "=" in name}
     assert outputs == {"CSBI", "TCBI", "CSFI", "TCFI", "ERFI"}
-    text = ""
-    for part in sorted(os.listdir(f"{folder}/out/salida=CSBI")):
-        if part.startswith("part-"):
-            text += open(f"{folder}/out/salida=CSBI/{part}", encoding="utf-8").read()
+    (book,) = [name for name in os.listdir(f"{folder}/out/salida=CSBI") if name.startswith("libro=")]
+    (part,) = [name for name in os.listdir(f"{folder}/out/salida=CSBI/{book}") if name.startswith("part-")]
+    text = open(f"{folder}/out/salida=CSBI/{book}/{part}", encoding="utf-8").read()
     assert list(csv.reader(io.StringIO(text))) == [
         ["", "Boletín"], [], ["", "Fecha", "Sector", "ATLAS", "Itaú"],
         ["", "2025-01-31 00:00:00", "Consumo", "10", "20.5"], ["", "2025/2", "Vivienda", "10", "20.5"], ["", "Total"]]
 
 
+def test_exported_tidy_sheets_are_staging_tables(spark, tmp_path):
+    credit_rows = [["Fecha", "Código Entidad", "Actividad Destino VS2", "Cartera Vencida", "Cartera Vigente"],
+                   [date(2025, 1, 31), 1046, 'Consumo "x",\ny', 0.10000000000000001, 2]]
+    cards = [["Fecha", "Código Entidad", "Clasificación", "Total"], [date(2025, 1, 31), 1046, "Saldo", 5]]
+    income = [["Fecha", "Código Entidad", "Sub Rubro", "Código Moneda", "Importe", "Reporte"],
+              [date(2025, 1, 31), 1046, "Otros", 1, 1e-3, True]]
+    for month in ("2025-01", "2025-02"):
+        (tmp_path / month).mkdir()
+        for name in ("bancos", "financieras"):
+            (tmp_path / month / f"tabla_de_{name}.xlsx").write_bytes(workbook(
+                {"EEFF": income, "E. TC": cards, "Cred. por sector": credit_rows}))
+    export_sheets(read_workbooks(spark, f"{tmp_path}/*/*.xlsx"), f"{tmp_path}/out")
+    staging = read_bulletin(spark, f"{tmp_path}/out", EXPORTED_FILES, multi_line=True)
+    day = date(2025, 1, 31)
+    for side in ("bi", "fi"):
+        assert [tuple(r) for r in staging[f"cs{side}"].collect()] == [(day, 1046, 'Consumo "x",\ny', 0.1, 2.0)] * 2
+        assert [tuple(r) for r in staging[f"tc{side}"].collect()] == [(day, 1046, "Saldo", 5.0)] * 2
+        assert [tuple(r) for r in staging[f"er{side}"].collect()] == [(day, 1046, "Otros", 1, 0.001, "True")] * 2
+
+
 def test_manifest(spark, folder):
     files = list_files(spark, str(folder), "*.xlsx")
     listed = files.collect()
