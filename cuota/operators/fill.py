@@ -26,6 +26,15 @@ def carried(keys: list[str], value: str) -> Column:
     return F.last(value, ignorenulls=True).over(before)
 
 
+def join_chunks(rows: DataFrame, per_chunk: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the one row of their chunk.
+
+    The hash join shuffles by chunk, as the window that follows needs, and leaves the sorting of the rows to it. Its
+    build side is a row per chunk.
+    """
+    return rows.join(per_chunk.hint("shuffle_hash"), keys)
+
+
 def forward_fill(df: DataFrame, keys: list[str], order: str, value: str, *, out: str | None = None,
                  chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Replace null `value`s by the last non-null one before them, by `order` within the (non-null) `keys`.
@@ -38,7 +47,7 @@ def forward_fill(df: DataFrame, keys: list[str], order: str, value: str, *, out:
     ends = chunked.groupBy(*keys, "_chunk").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order)))
                                                 .alias("_last"))
     starts = ends.select(*keys, "_chunk", carried(keys, "_last").alias("_carry"))
-    joined = chunked.join(starts, [*keys, "_chunk"])
+    joined = join_chunks(chunked, starts, [*keys, "_chunk"])
     filled = joined.withColumn("_filled", fill_within_chunks(joined, keys, order, value, "_carry"))
     kept = [F.col("_filled").alias(name) if name == (out or value) else F.col(name) for name in df.columns]
     if out and out not in df.columns:

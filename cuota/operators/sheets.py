@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cuota.functions.dates import parse_month
 from cuota.functions.text import normalize_name, normalize_text
 from cuota.operators.entities import Lookup, group_banks
-from cuota.operators.fill import CHUNK_ROWS, carried, chunk_of, fill_within_chunks
+from cuota.operators.fill import CHUNK_ROWS, carried, chunk_of, fill_within_chunks, join_chunks
 from cuota.specs import BANK_GROUPS, CARD_SHEET, CREDIT_SHEET, SHEET_TARGETS, SheetTarget, WideSheet
 
 _SHEET = ["file", "sheet"]
@@ -91,7 +91,7 @@ def body_rows(rows: DataFrame, layouts: Sequence[WideSheet] = (CREDIT_SHEET, CAR
     With on_bad_month='null' an unreadable month gives a null `fecha` (see `rejected_months`).
     """
     marked = _relevant_rows(rows, layouts, chunk_rows)
-    inside = marked.join(_chunk_bounds(marked), _CHUNK).filter(
+    inside = join_chunks(marked, _chunk_bounds(marked), _CHUNK).filter(
         (F.col("row_no") > F.col("_header")) & (F.col("_end").isNull() | (F.col("row_no") < F.col("_end"))))
     if on_bad_month == "raise":
         unread = F.col("_month").isNotNull() & F.col("_month.month").isNull()
