@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from cuota.session import spread
 from cuota.specs import LinkSpec
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have the package installed
+# Executors need not have the package installed: the scan and its parameter object travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(sys.modules[LinkSpec.__module__])
 
 CANDIDATE_DDL = "page_id long, method_rank int, pos long, url string, text string, type string"
 # Elements that never have content.
