@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 
 from cuota.functions.amounts import to_double, to_whole
-from cuota.plans.bulletin import load_bulletin
+from cuota.plans.bulletin import load_bulletin, share_reports
 from cuota.sources.listing import list_tables, require_paths
 from cuota.sources.staging import (apply_types, normalize_column_name, normalize_columns, read_csv_text,
                                    read_income_index, read_staging, rejected_cells)
@@ -120,6 +120,14 @@ def test_whole_bulletin(spark, folder):
     ], key=str)
     assert [tuple(r) for r in out["perfil"].orderBy("tabla").collect()] == [
         ("credito_sector", 5, jan, feb), ("estado_resultados", 4, jan, jan), ("tarjetas", 2, jan, jan)]
+    reports = share_reports(out, scale=2)
+    assert [(r.producto, r.entidad, r.share) for r in reports["credito"].collect()] == [
+        ("CONSUMO", "ERROR", 12.0 / 151.25), ("CONSUMO", "UENO", 139.25 / 151.25)]
+    assert [(r.clasificacion, r.entidad, r.share) for r in reports["tarjetas"].collect()] == [
+        ("SALDO", "FIC", 0.5), ("SALDO", "UENO", 0.5)]
+    assert [tuple(r) for r in reports["periodo_tarjetas"].collect()] == [
+        ("SALDO", date(2025, 1, 1), date(2025, 1, 1), "Jan-25 a Jan-25")]
+    assert reports["periodo_credito"].count() == 1
 
 
 def test_views_and_empty_tables(spark):
