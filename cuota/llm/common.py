@@ -14,14 +14,14 @@ from cuota.session import scratch_path
 SPACES = r"\x20\x09-\x0D"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows of `df`, written once to the shared scratch folder and read back.
 
     Cuts the lineage: a lost executor costs a re-read, not a re-run, and Spark knows the size of what it reads.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

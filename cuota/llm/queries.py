@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cuota.llm.bpe import bpe_decode, bpe_encode, ids_sha256
 from cuota.llm.exact_dedup import exact_dedup
 from cuota.llm.mixing import mix_sources
 from cuota.llm.secrets import scan_secrets
+from cuota.llm.token_files import ids_crc32, read_token_files, write_token_files
+from cuota.llm.word_pieces import count_pieces
+from cuota.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -32,6 +36,25 @@ def _(spark, sf):
     return exact_dedup(_table(spark, sf, "documents"), only_decisions=True)
 
 
+@query("op6_token_files")
+def _(spark, sf):
+    folder = scratch_path(spark, "token-files")
+    write_token_files(_table(spark, sf, "documents"), folder)
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", ids_crc32("tokens").alias("ids_crc32"))
+
+
+@query("op7_token_counts")
+def _(spark, sf):
+    return count_pieces(_table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+
+
+@query("op8_bpe_round_trip")
+def _(spark, sf):
+    encoded = bpe_encode(_table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "ids")
+    return bpe_decode(encoded).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                                      ids_sha256("ids").alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op9_secret_scan")
 def _(spark, sf):
     found = scan_secrets(_table(spark, sf, "documents"))
