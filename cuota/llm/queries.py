@@ -11,6 +11,7 @@ from cuota.llm.bpe import bpe_decode, bpe_encode, ids_sha256
 from cuota.llm.exact_dedup import exact_dedup
 from cuota.llm.mixing import mix_sources
 from cuota.llm.secrets import scan_secrets
+from cuota.llm.simhash import simhash_groups
 from cuota.llm.token_files import ids_crc32, read_token_files, write_token_files
 from cuota.llm.word_pieces import count_pieces
 from cuota.session import scratch_path
@@ -36,6 +37,11 @@ def _(spark, sf):
     return exact_dedup(_table(spark, sf, "documents"), only_decisions=True)
 
 
+@query("op5_simhash_dedup")
+def _(spark, sf):
+    return simhash_groups(_table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 @query("op6_token_files")
 def _(spark, sf):
     folder = scratch_path(spark, "token-files")
