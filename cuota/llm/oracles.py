@@ -94,4 +94,15 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES = {"op2_exact_dedup": _OP2, "op9_secret_scan": _OP9, "op10_mix_sources": _OP10}
+_OP3 = r"""
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+kept AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last_page FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_page THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> last_page THEN last_page END AS refers_to
+FROM kept
+"""
+
+ORACLES = {"op3_warc_captures": _OP3, "op2_exact_dedup": _OP2, "op9_secret_scan": _OP9, "op10_mix_sources": _OP10}

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from cuota.llm.bpe import bpe_decode, bpe_encode, ids_sha256
 from cuota.llm.exact_dedup import exact_dedup
+from cuota.llm.langid import fit_languages, held_out, identify_languages
 from cuota.llm.mixing import mix_sources
 from cuota.llm.secrets import scan_secrets
 from cuota.llm.simhash import simhash_groups
 from cuota.llm.token_files import ids_crc32, read_token_files, write_token_files
 from cuota.llm.word_pieces import count_pieces
+from cuota.llm.warc import captures, read_records, write_archives
 from cuota.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +34,30 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query("op1_language_id")
+def _(spark, sf):
+    documents = _table(spark, sf, "documents")
+    model = fit_languages(documents, usable=~held_out())
+    found = identify_languages(documents.select("doc_id", "text", held_out().alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 @query("op2_exact_dedup")
 def _(spark, sf):
     return exact_dedup(_table(spark, sf, "documents"), only_decisions=True)
 
 
+@query("op3_warc_captures")
+def _(spark, sf):
+    folder = scratch_path(spark, "archives")
+    write_archives(_table(spark, sf, "pages"), folder)
+    found = captures(read_records(spark, folder))
+    return found.select(F.col("metadata.page").cast("long").alias("page_id"),
+                        F.col("response.bytes").alias("payload_bytes"), F.col("response.digest").alias("payload_digest"),
+                        F.col("response.record_type").alias("record_type"),
+                        F.col("metadata.refers_to").cast("long").alias("refers_to"))
+
+
 @query("op5_simhash_dedup")
 def _(spark, sf):
     return simhash_groups(_table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
