@@ -212,6 +212,7 @@ def bpe_encode(df: DataFrame, *, text: str = "text", out: str = "ids", path: str
     Null and empty texts have an empty array. Each row gives one row, repeated ones too; an empty table gives an empty
     result. A column of `df` named `out` is replaced.
     """
+    ship(df.sparkSession)
     rest = without(df, out)
     names = rest.columns
     long = F.coalesce(F.length(text) > piece_chars, F.lit(False))
@@ -238,6 +239,8 @@ def bpe_decode(df: DataFrame, *, ids: str = "ids", out: str = "decoded", path: s
     skip_special_tokens=False. Bytes that are no UTF-8 become U+FFFD; a null array gives the empty text; ids outside
     the vocabulary and null ids give nothing.
     """
+    ship(df.sparkSession)
+
     @F.arrow_udf("string")
     def decode(arrays: pa.Array) -> pa.Array:
         coder, texts = codec(path), []
@@ -258,6 +261,3 @@ def bpe_decode(df: DataFrame, *, ids: str = "ids", out: str = "decoded", path: s
 def ids_sha256(ids: str) -> Column:
     """Lowercase hex SHA-256 of the decimal ids joined by commas."""
     return F.sha2(F.concat_ws(",", F.col(ids).cast("array<string>")), 256)
-
-
-ship(__name__)

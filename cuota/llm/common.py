@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-import sys
+import atexit
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
 
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuota.session import scratch_path
@@ -13,6 +16,8 @@ from cuota.session import scratch_path
 # What separates words everywhere in this package: the six ASCII white-space characters, as bytes.split() takes them.
 SPACES = r"\x20\x09-\x0D"
 
+_SHIPPED: set[str] = set()
+
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows of `df`, written once to the shared scratch folder and read back.
@@ -35,9 +40,19 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def ship(module_name: str) -> None:
-    """Send the module's functions by value, so that executors need not have the package installed."""
-    cloudpickle.register_pickle_by_value(sys.modules[module_name])
-
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application, so that they need not have it installed.
 
-ship(__name__)
+    It is imported there by name, so what a worker has learnt (vocabularies, words) serves all its tasks.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        folder = tempfile.mkdtemp(prefix="cuota-package-")  # the driver hands the file out as long as it runs
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = Path(folder) / "cuota-package.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted((root / "cuota").rglob("*.py")):
+                out.write(file, file.relative_to(root))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)

@@ -112,6 +112,7 @@ def fit_languages(df: DataFrame, *, text: str = "text", lang: str = "lang", id:
     Executors count n-grams and cluster each language; what reaches the driver is a weight per place and `centroids`
     vectors per language. Without labelled rows the model has no language, and all texts are unknown.
     """
+    ship(df.sparkSession)
     wanted = F.col(lang).isNotNull() & (F.lit(True) if usable is None else F.coalesce(usable, F.lit(False)))
     sizes = df.where(wanted).groupBy(F.col(lang).alias("lang")).count().limit(MAX_LANGS + 1).collect()
     if len(sizes) > MAX_LANGS:
@@ -175,6 +176,7 @@ def identify_languages(df: DataFrame, model: LanguageModel, *, text: str = "text
     sample ever was at such a length. Ties go to the language first in order. Each row gives one row, repeated ones too; an empty
     table gives an empty result. Columns of `df` named like the added ones are replaced.
     """
+    ship(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("struct<lang_pred:string,score:double,rejected:boolean>")
@@ -193,6 +195,3 @@ def identify_languages(df: DataFrame, model: LanguageModel, *, text: str = "text
 def held_out(id: str = "doc_id") -> Column:
     """The fold that is never learnt from: crc32 of the id as text, modulo 4, is 2. False for a null id."""
     return F.coalesce(F.pmod(F.crc32(F.col(id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
-
-
-ship(__name__)

@@ -168,6 +168,7 @@ def simhash_groups(df: DataFrame, *, text: str = "text", id: str = "doc_id", sha
     only has a null `component_id`, and its rows are kept. Rows that repeat an id share its fate. An empty table gives
     an empty result.
     """
+    ship(df.sparkSession)
     own = stored(df.select(F.col(id), fingerprints(df, text=text).alias("_point")), "simhash-fingerprints")
     points = own.groupBy("_point").agg(F.min(id).alias("_first"))
     keyed = shards(points, shard_rows).select("_shard.*", "_point").repartition("a", "b", "c", "d")
@@ -190,6 +191,3 @@ def simhash_dedup(df: DataFrame, *, text: str = "text", id: str = "doc_id") -> D
     dropped = groups.where("not kept").select(F.col(id).alias("_dropped")).where("_dropped is not null").distinct()
     dropped = stored(dropped, "simhash-dropped")
     return df.join(dropped, df[id] == dropped["_dropped"], "left_anti")
-
-
-ship(__name__)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import zlib
+import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -17,7 +18,13 @@ from cuota.llm.common import ship, stored
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 # Distinct words whose ids a worker remembers; the memory is emptied when it is full. Results do not depend on it.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 500_000
+
+_MARKS = frozenset(b".,;:!?")
+_PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+# The characters that stand for bytes in such files: printable Latin-1 for itself, the rest from 256 on in byte order.
+_PRINTED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+_CHARACTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 # A control byte holds the widths of four ids, two bits each, lowest first: width - 1.
 _WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64) + 1
@@ -46,25 +53,43 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return numbers
 
 
-class WordIds(dict):
+class WordIds:
     """Ids of words as little-endian 32-bit bytes. White space only separates words for this kind of tokenizer, so a
-    text's ids are those of its words, and each word is encoded once by the tokenizers library."""
+    text's ids are those of its words, and each word is encoded once by the tokenizers library. A mark behind a letter
+    at the end of a word is a piece of its own there, so such a word is put together from its parts."""
 
     def __init__(self, path: str, limit: int):
-        super().__init__()
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
+        self.known: dict[bytes, bytes] = {}
         self.limit = limit
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
-    def ids_of(self, words: list[bytes]) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        new = list(set(words).difference(self))
-        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, found in zip(new, encoded):
-            self[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, words))
+    def _learn(self, words: set[bytes]) -> None:
+        """Ids of new words. Plain lower-case ones go straight to the library's merge model: nothing normalises or splits
+        them, and each byte has its own character there."""
+        for word in words.difference(self.known):
+            text = word.decode()
+            if _PLAIN(text):
+                ids = [t.id for t in self.tokenizer.model.tokenize(word.decode("latin-1").translate(_CHARACTERS))]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            self.known[word] = np.array(ids, "<u4").tobytes()
+
+    def ids_of(self, text: bytes) -> bytes:
+        # The tokenizer lower-cases too, but not before it has looked for its special tokens.
+        words = (text if b"<|" in text else text.lower()).split()
+        known = self.known
+        if len(known) >= self.limit:
+            known.clear()
+        new = set(words).difference(known)
+        if new:
+            marked = {w for w in new if w[-1] in _MARKS and w[-2:-1].isalpha()}
+            self._learn(new - marked | {w[:-1] for w in marked} | {w[-1:] for w in marked})
+            for word in marked:
+                known[word] = known[word[:-1]] + known[word[-1:]]
+        return b"".join(map(known.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
@@ -78,7 +103,7 @@ def tokenise(df: DataFrame, *, text: str, id: str, path: str, end_id: int | None
     def encode(texts: pa.Array) -> pa.Array:
         ids = word_ids(path)
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-        return pa.array([ids.ids_of((data or b"").split()) + end for data in texts.cast(pa.binary()).to_pylist()],
+        return pa.array([ids.ids_of(data or b"") + end for data in texts.cast(pa.binary()).to_pylist()],
                         pa.binary())
 
     return df.select(F.col(id), encode(F.col(text)).alias("tokens"))
@@ -117,6 +142,7 @@ def write_token_files(df: DataFrame, path: str, *, text: str = "text", id: str =
     gives empty files. Ids are kept, other columns are not.
     """
     spark = df.sparkSession
+    ship(spark)
     tokens = stored(tokenise(df, text=text, id=id, path=vocabulary, end_id=end_id), "token-ids", compression="zstd")
     order = frequency_order(tokens)
     ranks_of = np.zeros(int(order.max(initial=0)) + 1, np.uint32)
@@ -154,6 +180,7 @@ def write_token_files(df: DataFrame, path: str, *, text: str = "text", id: str =
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(id, `start`, `n_tokens`, `tokens`) per document of a folder: the ids as little-endian 32-bit bytes, and how many
     ids all documents before it have. The list of ids by rank is bounded by the vocabulary."""
+    ship(spark)
     ranks = spark.read.parquet(f"{path}/ranks").toArrow()
     order = np.zeros(len(ranks), np.uint32)
     order[np.argsort(ranks["place"].to_numpy(), kind="stable").argsort(kind="stable")] = ranks["token"].to_numpy()
@@ -174,6 +201,3 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 def ids_crc32(tokens: str) -> Column:
     return F.crc32(F.col(tokens))
-
-
-ship(__name__)

@@ -134,6 +134,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
+    ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
     return files.select("content").mapInArrow(parse, _RECORD)
 
@@ -163,6 +164,3 @@ def captures(records: DataFrame) -> DataFrame:
               .join(side("metadata", "page", "refers_to"), "_key", "left"))
     return joined.select(F.struct(F.col("_key").alias("record_id"), "record_type", "target_uri", "captured", "digest",
                                   "bytes", "profile", "payload").alias("response"), "request", "metadata")
-
-
-ship(__name__)

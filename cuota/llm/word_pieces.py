@@ -130,10 +130,8 @@ def count_pieces(df: DataFrame, *, text: str = "text", path: str = VOCABULARY) -
             totals.append(sum(map(pieces.__getitem__, found)))
         return pa.StructArray.from_arrays([pa.array(words, pa.int64()), pa.array(totals, pa.int64())], list(_ADDED))
 
+    ship(df.sparkSession)
     rest = without(df, *_ADDED)
     kept = [F.col(f"`{c}`") for c in rest.columns]
     counted = rest.withColumn("_counts", count(F.col(text)))
     return counted.select(*kept, "_counts.n_words", "_counts.n_pieces")
-
-
-ship(__name__)
