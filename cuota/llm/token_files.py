@@ -53,43 +53,46 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return numbers
 
 
-class WordIds:
-    """Ids of words as little-endian 32-bit bytes. White space only separates words for this kind of tokenizer, so a
-    text's ids are those of its words, and each word is encoded once by the tokenizers library. A mark behind a letter
-    at the end of a word is a piece of its own there, so such a word is put together from its parts."""
+class WordIds(dict):
+    """Ids of words as little-endian bytes, found on first sight. White space only separates words for this kind of
+    tokenizer, so a text's ids are those of its words. A mark behind a letter at the end of a word is a piece of its own
+    there, so such a word is put together from its parts. Plain lower-case words go straight to the library's merge
+    model: nothing normalises or splits them, and each byte has its own character there."""
 
     def __init__(self, path: str, limit: int):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
-        self.known: dict[bytes, bytes] = {}
         self.limit = limit
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.kind = id_kind(self.tokenizer)
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Ids of new words. Plain lower-case ones go straight to the library's merge model: nothing normalises or splits
-        them, and each byte has its own character there."""
-        for word in words.difference(self.known):
+    def __missing__(self, word: bytes) -> bytes:
+        if word[-1] in _MARKS and word[-2:-1].isalpha():
+            found = self[word[:-1]] + self[word[-1:]]
+        else:
             text = word.decode()
             if _PLAIN(text):
-                ids = [t.id for t in self.tokenizer.model.tokenize(word.decode("latin-1").translate(_CHARACTERS))]
+                ids = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(_CHARACTERS))]
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            self.known[word] = np.array(ids, "<u4").tobytes()
+            found = np.array(ids, self.kind).tobytes()
+        if len(self) >= self.limit:
+            self.clear()
+        self[word] = found
+        return found
 
     def ids_of(self, text: bytes) -> bytes:
         # The tokenizer lower-cases too, but not before it has looked for its special tokens.
         words = (text if b"<|" in text else text.lower()).split()
-        known = self.known
-        if len(known) >= self.limit:
-            known.clear()
-        new = set(words).difference(known)
-        if new:
-            marked = {w for w in new if w[-1] in _MARKS and w[-2:-1].isalpha()}
-            self._learn(new - marked | {w[:-1] for w in marked} | {w[-1:] for w in marked})
-            for word in marked:
-                known[word] = known[word[:-1]] + known[word[-1:]]
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(self.__getitem__, words))
+
+
+def id_kind(tokenizer: Tokenizer) -> str:
+    """Two bytes hold an id of a small vocabulary on its way to the files."""
+    return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
 
 @lru_cache(maxsize=2)
@@ -98,25 +101,25 @@ def word_ids(path: str, limit: int = MEMORY_WORDS) -> WordIds:
 
 
 def tokenise(df: DataFrame, *, text: str, id: str, path: str, end_id: int | None) -> DataFrame:
-    """(id, `tokens`): the ids of each whole text as little-endian 32-bit bytes, `end_id` after them."""
+    """(id, `tokens`): the ids of each whole text as bytes of the vocabulary's `id_kind`, `end_id` after them."""
     @F.arrow_udf("binary")
     def encode(texts: pa.Array) -> pa.Array:
         ids = word_ids(path)
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        end = b"" if end_id is None else np.array([end_id], ids.kind).tobytes()
         return pa.array([ids.ids_of(data or b"") + end for data in texts.cast(pa.binary()).to_pylist()],
                         pa.binary())
 
     return df.select(F.col(id), encode(F.col(text)).alias("tokens"))
 
 
-def frequency_order(tokens: DataFrame) -> np.ndarray:
+def frequency_order(tokens: DataFrame, kind: str) -> np.ndarray:
     """All ids that occur, the most frequent first, ties by id. Counted per task first; one row per id of the vocabulary
     reaches the driver, so its size is bounded by the vocabulary."""
     def counts(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
             for data in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(data, "<u4"), minlength=len(total))
+                own = np.bincount(np.frombuffer(data, kind), minlength=len(total))
                 own[:len(total)] += total
                 total = own
         found = np.flatnonzero(total)
@@ -144,7 +147,8 @@ def write_token_files(df: DataFrame, path: str, *, text: str = "text", id: str =
     spark = df.sparkSession
     ship(spark)
     tokens = stored(tokenise(df, text=text, id=id, path=vocabulary, end_id=end_id), "token-ids", compression="zstd")
-    order = frequency_order(tokens)
+    ids_as = id_kind(Tokenizer.from_file(vocabulary))
+    order = frequency_order(tokens, ids_as)
     ranks_of = np.zeros(int(order.max(initial=0)) + 1, np.uint32)
     ranks_of[order] = np.arange(len(order), dtype=np.uint32)
     sent = spark.sparkContext.broadcast(ranks_of)
@@ -154,7 +158,7 @@ def write_token_files(df: DataFrame, path: str, *, text: str = "text", id: str =
         for batch in batches:
             packed, places, sizes = [], [], []
             for data in batch.column("tokens").to_pylist():
-                ids = np.frombuffer(data, "<u4")
+                ids = np.frombuffer(data, ids_as)
                 packed.append(pack(sent.value[ids]))
                 places.append(at)
                 sizes.append(len(ids))
@@ -166,8 +170,8 @@ def write_token_files(df: DataFrame, path: str, *, text: str = "text", id: str =
 
     ranged = tokens.repartitionByRange(files, id) if files else tokens.repartitionByRange(id)
     placed = ranged.sortWithinPartitions(id, "tokens").withColumn("shard", F.spark_partition_id())
-    kind = tokens.schema[id].dataType.simpleString()
-    coded = placed.mapInArrow(encode, f"`{id}` {kind}, shard int, at bigint, n_tokens bigint, control binary, data binary")
+    id_type = tokens.schema[id].dataType.simpleString()
+    coded = placed.mapInArrow(encode, f"`{id}` {id_type}, shard int, at bigint, n_tokens bigint, control binary, data binary")
     coded.write.option("compression", "none").parquet(f"{path}/shards")
     sizes = spark.read.parquet(f"{path}/shards").groupBy("shard").agg(F.sum("n_tokens").alias("size"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
