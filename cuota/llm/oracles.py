@@ -105,4 +105,16 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM kept
 """
 
-ORACLES = {"op3_warc_captures": _OP3, "op2_exact_dedup": _OP2, "op9_secret_scan": _OP9, "op10_mix_sources": _OP10}
+_OP4 = r"""
+WITH RECURSIVE links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) >= 0.95),
+reach AS (
+  SELECT vec_id, vec_id AS reached FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.reached),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(reached) AS component_id, vec_id = min(reached) AS kept
+FROM reach LEFT JOIN counts ON a = vec_id GROUP BY vec_id
+"""
+
+ORACLES = {"op4_near_vectors": _OP4, "op3_warc_captures": _OP3, "op2_exact_dedup": _OP2, "op9_secret_scan": _OP9, "op10_mix_sources": _OP10}

@@ -11,6 +11,7 @@ from cuota.llm.bpe import bpe_decode, bpe_encode, ids_sha256
 from cuota.llm.exact_dedup import exact_dedup
 from cuota.llm.langid import fit_languages, held_out, identify_languages
 from cuota.llm.mixing import mix_sources
+from cuota.llm.neighbours import near_vectors
 from cuota.llm.secrets import scan_secrets
 from cuota.llm.simhash import simhash_groups
 from cuota.llm.token_files import ids_crc32, read_token_files, write_token_files
@@ -58,6 +59,11 @@ def _(spark, sf):
                         F.col("metadata.refers_to").cast("long").alias("refers_to"))
 
 
+@query("op4_near_vectors")
+def _(spark, sf):
+    return near_vectors(_table(spark, sf, "embeddings")).select("vec_id", "n_links", "component_id", "kept")
+
+
 @query("op5_simhash_dedup")
 def _(spark, sf):
     return simhash_groups(_table(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
