@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
@@ -18,7 +19,7 @@ from cuota.llm.common import ship, stored
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
 # Distinct words whose ids a worker remembers; the memory is emptied when it is full. Results do not depend on it.
-MEMORY_WORDS = 500_000
+MEMORY_WORDS = 1_200_000
 
 _MARKS = frozenset(b".,;:!?")
 _PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
@@ -36,8 +37,9 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     padded[:len(ranks)] = widths - 1
     control = padded.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.astype(np.uint8).tobytes(), data[np.arange(4) < widths[:, None]].tobytes()
+    most = 4 if ranks.max(initial=0) > 0xFFFF else 2
+    data = ranks.astype(f"<u{most}").view(np.uint8).reshape(-1, most)
+    return control.astype(np.uint8).tobytes(), data[np.arange(most, dtype=np.uint8) < widths[:, None]].tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
@@ -68,6 +70,7 @@ class WordIds(dict):
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.kind = id_kind(self.tokenizer)
+        self.code = np.dtype(self.kind).char
 
     def __missing__(self, word: bytes) -> bytes:
         if word[-1] in _MARKS and word[-2:-1].isalpha():
@@ -78,7 +81,7 @@ class WordIds(dict):
                 ids = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(_CHARACTERS))]
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = np.array(ids, self.kind).tobytes()
+            found = struct.pack(f"<{len(ids)}{self.code}", *ids)
         if len(self) >= self.limit:
             self.clear()
         self[word] = found
@@ -118,10 +121,10 @@ def frequency_order(tokens: DataFrame, kind: str) -> np.ndarray:
     def counts(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for data in batch.column(0).to_pylist():
-                own = np.bincount(np.frombuffer(data, kind), minlength=len(total))
-                own[:len(total)] += total
-                total = own
+            ids = b"".join(batch.column(0).to_pylist())
+            own = np.bincount(np.frombuffer(ids, kind), minlength=len(total))
+            own[:len(total)] += total
+            total = own
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(total[found])], ["token", "n"])
 
