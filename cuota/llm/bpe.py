@@ -18,7 +18,7 @@ from cuota.llm.common import ship, without
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 # Texts up to this many characters are encoded at once. Longer ones are cut into pieces of about this size, which other
 # tasks encode. Ids do not depend on it.
-PIECE_CHARS = 16_384
+PIECE_CHARS = 65_536
 # Tokens on either side of a join that are encoded anew at first; doubled until both sides agree.
 WINDOW_TOKENS = 8
 
@@ -183,17 +183,21 @@ def _joiner(path: str):
     @F.arrow_udf("array<int>")
     def joined(pieces: pa.Array) -> pa.Array:
         coder, out = codec(path), []
-        for document in pieces.to_pylist():
-            ids, parts, last = [], [], 0
-            for piece in document:
-                if piece["run"] != last:
-                    ids += join_tree(parts, coder)
-                    parts, last = [], piece["run"]
-                if last:
-                    parts.append(piece["ids"])
+        inner = pieces.values
+        first, runs = np.asarray(pieces.offsets), inner.field("run").to_numpy()
+        at, ids = np.asarray(inner.field("ids").offsets), inner.field("ids").values.to_numpy()
+        for start, end in zip(first, first[1:]):
+            whole, number = [], start
+            while number < end:
+                run, begin = runs[number], number
+                while number < end and runs[number] == run:
+                    number += 1
+                if run:
+                    parts = [ids[at[i]:at[i + 1]].tolist() for i in range(begin, number)]
+                    whole.append(np.asarray(join_tree(parts, coder), dtype=np.int32))
                 else:
-                    ids += piece["ids"]
-            out.append(np.asarray(ids + join_tree(parts, coder), dtype=np.int32))
+                    whole.append(ids[at[begin]:at[number]])
+            out.append(np.concatenate(whole))
         return _lists(out)
 
     return joined
@@ -245,14 +249,9 @@ def bpe_decode(df: DataFrame, *, ids: str = "ids", out: str = "decoded", path: s
     def decode(arrays: pa.Array) -> pa.Array:
         coder, texts = codec(path), []
         for array in arrays:
-            numbers = array.values.to_pylist() if array.is_valid else []
-            try:
-                data = coder.decode(numbers) if not numbers or min(numbers) >= 0 else None
-            except (IndexError, TypeError):
-                data = None
-            if data is None:
-                data = coder.decode(i for i in numbers if i is not None and 0 <= i < len(coder.table))
-            texts.append(data.decode("utf-8", "replace"))
+            numbers = (array.values if array.is_valid else pa.array([], pa.int32())).drop_null().to_numpy()
+            known = (numbers >= 0) & (numbers < len(coder.table))
+            texts.append(coder.decode((numbers if known.all() else numbers[known]).tolist()).decode("utf-8", "replace"))
         return pa.array(texts, pa.string())
 
     return without(df, out).withColumn(out, decode(F.col(ids)))
