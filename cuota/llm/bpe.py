@@ -57,7 +57,7 @@ class Codec:
         return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(rest)}
 
     def encode(self, text: str) -> np.ndarray:
-        return self.encoding.encode_to_numpy(text, allowed_special="all")
+        return self.encoding.encode_to_numpy(text, allowed_special="all").view(np.int32)
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of bytes that pre-tokenization keeps together."""
@@ -146,15 +146,15 @@ def join_tree(parts: list[list[int]], coder: Codec, window: int = WINDOW_TOKENS)
 
 def _lists(arrays: list) -> pa.Array:
     ends = np.cumsum([0, *map(len, arrays)], dtype=np.int64)
-    values = np.concatenate(arrays) if len(arrays) else np.empty(0)
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(np.int32)))
+    values = np.concatenate(arrays) if len(arrays) else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.astype(np.int32, copy=False)))
 
 
 def _encoder(path: str):
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         coder = codec(path)
-        return _lists([coder.encode(t or "") for t in texts.to_pylist()])
+        return _lists([coder.encode(t.as_py() or "") for t in texts])
 
     return encode
 

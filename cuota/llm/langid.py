@@ -21,7 +21,7 @@ DIMENSIONS = 16384
 # A text is rejected if its cosine to the nearest centroid is below this share of the lowest that the language's own
 # sample shows at about the same number of n-grams. A length class with fewer texts than FLOOR_TEXTS in the sample has
 # no floor: too little is known of it to reject anything.
-FLOOR_SHARE = 0.5
+FLOOR_SHARE = 0.25
 FLOOR_TEXTS = 20
 # Upper ends of the classes of text length, in n-grams, with a floor each.
 LENGTHS = (8, 32, 128, 512)
