@@ -50,10 +50,10 @@ def fold_ascii(col: Column) -> Column:
     lookup = F.str_to_map(F.lit(entries), F.lit(_ENTRY), F.lit(_MARK))
     # `translate` looks characters up in a hash table; a regular expression would try hundreds of alternatives on each.
     has_many = F.translate(col, "".join(many), "") != col
-    expanded = F.when(
-        has_many,
-        F.array_join(F.transform(F.split(col, ""), lambda c: F.coalesce(F.try_element_at(lookup, c), c)), ""),
-    ).otherwise(col)
+    # Only the distinct characters that need it are replaced, each in one pass over the text.
+    special = F.array_distinct(F.split(F.translate(F.regexp_replace(col, "[\\x00-\\x7F]+", ""), source, ""), ""))
+    expanded = F.when(has_many, F.aggregate(special, col, lambda text, c: F.replace(
+        text, c, F.coalesce(F.try_element_at(lookup, c), c)))).otherwise(col)
     folded = F.regexp_replace(F.translate(expanded, source, target), _NON_ASCII, "")
     return F.when(col.rlike(_NON_ASCII), folded).otherwise(col)
 

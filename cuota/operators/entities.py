@@ -11,23 +11,19 @@ from pyspark.sql import functions as F
 from cuota.functions.text import normalize_name, title_case
 from cuota.specs import BANK_GROUPS, ENTITY_NAMES, ENTITY_SUCCESSORS, UNNAMED_ENTITY
 
-# Lookups given as a dict are already in the driver. Up to this many rows they are broadcast.
-BROADCAST_ROWS = 100_000
-
 Lookup = Mapping | DataFrame
 
 
 def as_dimension(spark: SparkSession, lookup: Lookup, key: str, value: str) -> DataFrame:
     """A two-column dimension.
 
-    A dict becomes a local relation and is broadcast while it is small. A DataFrame comes without a hint: Spark
-    broadcasts it if its measured size allows and otherwise does a shuffled join, splitting skewed partitions.
+    A dict becomes a local relation of known size. Spark broadcasts either kind if its measured size allows, and otherwise
+    does a shuffled join, splitting skewed partitions.
     """
     if isinstance(lookup, DataFrame):
         return lookup.toDF(key, value)
     table = pa.table({key: list(lookup.keys()), value: list(lookup.values())})
-    dimension = spark.createDataFrame(table)
-    return F.broadcast(dimension) if len(lookup) <= BROADCAST_ROWS else dimension
+    return spark.createDataFrame(table)
 
 
 def look_up(df: DataFrame, lookup: Lookup, key: Column, otherwise: Column, out: str) -> DataFrame:

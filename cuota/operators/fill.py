@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,15 +31,20 @@ def carried(keys: list[str], value: str) -> Column:
 def join_chunks(rows: DataFrame, per_chunk: DataFrame, keys: list[str]) -> DataFrame:
     """Rows with the one row of their chunk.
 
-    The hash join shuffles by chunk, as the window that follows needs, and leaves the sorting of the rows to it. Its
+    Keys match null-safely, so no row is lost. The hash join shuffles by chunk, as the window that follows needs, and leaves the sorting of the rows to it. Its
     build side is a row per chunk.
     """
-    return rows.join(per_chunk.hint("shuffle_hash"), keys)
+    own = per_chunk.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *[c for c in per_chunk.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
+    return rows.join(own.hint("shuffle_hash"), same).drop(*[f"_of_{k}" for k in keys])
 
 
 def forward_fill(df: DataFrame, keys: list[str], order: str, value: str, *, out: str | None = None,
                  chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Replace null `value`s by the last non-null one before them, by `order` within the (non-null) `keys`.
+    """Replace null `value`s by the last non-null one before them, by `order` within the `keys`.
+
+    Every row comes back. Null keys are groups like any other; a row whose `order` is null has no place in its group, so
+    its value neither changes nor goes on to another row.
 
     A group of any length is split into chunks of consecutive row numbers. Each chunk's last value is found by a
     partially aggregated group-by, handed on chunk to chunk over that small table, and joined back on the chunk, whose
@@ -48,7 +55,8 @@ def forward_fill(df: DataFrame, keys: list[str], order: str, value: str, *, out:
                                                 .alias("_last"))
     starts = ends.select(*keys, "_chunk", carried(keys, "_last").alias("_carry"))
     joined = join_chunks(chunked, starts, [*keys, "_chunk"])
-    filled = joined.withColumn("_filled", fill_within_chunks(joined, keys, order, value, "_carry"))
+    filled = joined.withColumn("_filled", F.when(F.col(order).isNull(), F.col(value)).otherwise(
+        fill_within_chunks(joined, keys, order, value, "_carry")))
     kept = [F.col("_filled").alias(name) if name == (out or value) else F.col(name) for name in df.columns]
     if out and out not in df.columns:
         kept.append(F.col("_filled").alias(out))

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cuota.functions.amounts import to_double
 from cuota.functions.dates import parse_month
 from cuota.functions.text import normalize_name, normalize_text
 from cuota.operators.entities import Lookup, group_banks
@@ -121,8 +122,10 @@ def unpivot_wide_sheets(rows: DataFrame, layouts: Sequence[WideSheet] = (CREDIT_
     pairs = F.arrays_zip(F.slice("_entities", 1, width).alias("entity"), F.slice("cells", 1, width).alias("value"))
     cells = body.filter(F.col("fecha").isNotNull()).select("fecha", "producto", F.explode(pairs).alias("_pair")).select(
         "fecha", "producto", F.col("_pair.entity").alias("_entity"), F.col("_pair.value").alias("_value"))
-    amounts = cells.filter(F.col("_value").isNotNull()).withColumn("monto", F.col("_value").cast("double"))
-    named = group_banks(amounts.filter(~F.isnan("monto")), "_entity", groups)
+    stated = cells.filter(F.col("_value").isNotNull() & (F.lower(F.trim("_value")) != "nan"))
+    amounts = stated.withColumn("monto", F.coalesce(to_double(F.col("_value")), F.raise_error(
+        F.concat(F.lit("no number: "), "_value")).cast("double")))
+    named = group_banks(amounts, "_entity", groups)
     return named.select("fecha", "banco", "producto", "monto")
 
 

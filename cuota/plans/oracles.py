@@ -179,7 +179,7 @@ _FOLDED = "regexp_replace(strip_accents({0}), '[^\\x00-\\x7F]', '', 'g')"
 
 
 def oracles() -> dict[str, str]:
-    """SQL by query name. `file_manifest` has none: it lists files, not rows."""
+    """SQL by query name."""
     return {
         "trailing_share": f"WITH {_WINDOW} SELECT * FROM cuota",
         "staging_typed": """
@@ -277,6 +277,8 @@ def oracles() -> dict[str, str]:
             THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS mes FROM orders""",
         "normalize_name": "SELECT doc_id, replace(regexp_replace(upper(" + _FOLDED.format("text")
                           + "), '^\\s+|\\s+$', '', 'g'), '  ', ' ') AS nombre FROM documents",
+        "normalize_ligatures": "SELECT doc_id, replace(regexp_replace(upper(" + _FOLDED.format("text")
+                               + "), '^\\s+|\\s+$', '', 'g'), '  ', ' ') AS nombre FROM documents",
         "normalize_text": "SELECT doc_id, trim(regexp_replace(lower(" + _FOLDED.format("text")
                           + "), '[^a-z0-9]+', ' ', 'g')) AS texto FROM documents",
         "bank_group": """SELECT c_custkey,
@@ -296,8 +298,8 @@ def oracles() -> dict[str, str]:
         "csv_roundtrip": f"WITH {_WINDOW} SELECT * FROM cuota",
         "link_methods": f"WITH {_LINKS} SELECT page_id, method, url, text, type FROM found",
         "link_extract": f"WITH {_LINKS} SELECT page_id, url, text, type, method FROM links",
-        "link_dedupe": f"""WITH {_LINKS} SELECT page_id, url, text FROM found WHERE r = 4
-            QUALIFY row_number() OVER (PARTITION BY page_id, url ORDER BY pos) = 1""",
+        "link_dedupe": f"""WITH {_LINKS} SELECT page_id, url, text FROM found
+            QUALIFY row_number() OVER (PARTITION BY page_id, url ORDER BY r, pos) = 1""",
         "link_categorize": f"WITH {_LINKS} SELECT page_id, url, category FROM cats",
         "link_first": f"""WITH {_LINKS}, f AS (
               SELECT page_id, category, url FROM cats WHERE category <> 'otros'
@@ -319,6 +321,9 @@ def oracles() -> dict[str, str]:
                   UNION ALL SELECT *, 'Bajo' FROM s WHERE t LIKE '%low%' AND t LIKE '%5%')
             SELECT file, target, sheet FROM m
             QUALIFY row_number() OVER (PARTITION BY file, target ORDER BY pos) = 1""",
+        "file_manifest": """SELECT '2000-01-01T00:00:00' AS timestamp, 'page-' || page_id || '.html' AS filename,
+              '/pages/page-' || page_id || '.html' AS path, octet_length(encode(html)) AS size,
+              strftime(DATE '2000-01-01' + (page_id % 3650)::INTEGER, '%Y-%m-%d') AS modified FROM pages""",
         "file_validity": """SELECT page_id, octet_length(encode(html)) BETWEEN 1024 AND 104857600
               AND (url LIKE '%/en/%' OR url LIKE '%/fr/%') AS valido FROM pages""",
     }

@@ -23,11 +23,11 @@ from cuota.operators.shares import (distinct_values, monthly_cards, monthly_card
                                     monthly_credit_by_product, period_bounds, share_cap)
 from cuota.operators.sheets import select_sheets, unpivot_wide_sheets
 from cuota.plans import bindings as b
-from cuota.session import scratch_path, spread
-from cuota.sinks.files import manifest
+from cuota.session import scratch_path
+from cuota.sinks.files import manifest, write_manifest
 from cuota.sinks.tables import read_csv_table, refresh_table, write_csv, write_table
 from cuota.sources.html import link_candidates
-from cuota.sources.listing import is_valid_file, list_files
+from cuota.sources.listing import is_valid_file
 from cuota.sources.staging import read_staging
 from cuota.specs import CREDIT, PORTFOLIO, TableSpec
 
@@ -258,12 +258,19 @@ def _parse_month(spark, sf):
 
 @query("normalize_name")
 def _normalize_name(spark, sf):
-    return spread(b.table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", normalize_name(F.col("text")).alias("nombre"))
+    return b.table(spark, sf, "documents").select("doc_id", normalize_name(F.col("text")).alias("nombre"))
+
+
+@query("normalize_ligatures")
+def _normalize_ligatures(spark, sf):
+    """Texts in which ligatures and a fraction stand for letters and digits fold to the same names."""
+    text = F.replace(F.replace(F.replace(F.col("text"), F.lit("fi"), F.lit("ﬁ")), F.lit("st"), F.lit("ﬆ")), F.lit("10"), F.lit("⑩"))
+    return b.table(spark, sf, "documents").select("doc_id", normalize_name(text).alias("nombre"))
 
 
 @query("normalize_text")
 def _normalize_text(spark, sf):
-    return spread(b.table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", normalize_text(F.col("text")).alias("texto"))
+    return b.table(spark, sf, "documents").select("doc_id", normalize_text(F.col("text")).alias("texto"))
 
 
 @query("bank_group")
@@ -318,9 +325,8 @@ def _link_extract(spark, sf):
 
 @query("link_dedupe")
 def _link_dedupe(spark, sf):
-    """All direct links, first of each URL of a page."""
-    found = link_candidates(b.table(spark, sf, "pages"), b.PAGE_LINKS).filter(F.col("method_rank") == 4)
-    return dedupe_links(found).select("page_id", "url", "text")
+    """The first find of each URL of a page, over all methods in their order."""
+    return dedupe_links(link_candidates(b.table(spark, sf, "pages"), b.PAGE_LINKS)).select("page_id", "url", "text")
 
 
 @query("link_categorize")
@@ -356,6 +362,12 @@ def _file_validity(spark, sf):
 
 @query("file_manifest")
 def _file_manifest(spark, sf):
-    """The folder of the check tables as a manifest, one row per file."""
-    files = manifest(list_files(spark, sf, "*.parquet"), "2000-01-01T00:00:00")
-    return files.select("timestamp", F.inline("files"))
+    """Pages as files of a folder: path and name by page, size of the HTML, a day of change by page."""
+    day = F.date_add(F.lit(date(2000, 1, 1)), (F.col("page_id") % 3650).cast("int"))
+    name = F.concat(F.lit("page-"), F.col("page_id"), F.lit(".html"))
+    files = b.table(spark, sf, "pages").select(
+        F.concat(F.lit("/pages/"), name).alias("path"), name.alias("filename"),
+        F.octet_length("html").cast("long").alias("size"), F.date_format(day, "yyyy-MM-dd").alias("modified"))
+    path = scratch_path(spark, "manifest")
+    write_manifest(files, path, "2000-01-01T00:00:00")
+    return spark.read.schema(manifest(files, "").schema).json(path)

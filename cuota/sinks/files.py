@@ -11,8 +11,6 @@ from cuota.operators.sheets import select_sheets
 from cuota.sources.workbooks import workbook_sheets
 from cuota.specs import CATEGORY_FILES, CATEGORY_SUFFIXES, SHEET_TARGETS, UNKNOWN_SUFFIX, SheetTarget
 
-MANIFEST_FILES = 1000
-
 
 def _csv_field(value: Column) -> Column:
     quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
@@ -54,16 +52,11 @@ def export_sheets(rows: DataFrame, path: str, targets: Sequence[SheetTarget] = S
     ordered.select("salida", "libro", "value").write.mode("overwrite").partitionBy("salida", "libro").text(path)
 
 
-def manifest(files: DataFrame, timestamp: str, documents: int = 1) -> DataFrame:
-    """timestamp and files (filename, path, size, modified), spread by path over `documents` rows."""
-    return files.groupBy(F.pmod(F.xxhash64("path"), F.lit(documents)).alias("_document")).agg(
-        F.array_sort(F.collect_list(F.struct("path", "filename", "size", "modified"))).alias("_files")
-    ).select(F.lit(timestamp).alias("timestamp"), F.transform(
-        "_files", lambda f: F.struct(f["filename"].alias("filename"), f["path"].alias("path"), f["size"].alias("size"),
-                                     f["modified"].alias("modified"))).alias("files"))
+def manifest(files: DataFrame, timestamp: str) -> DataFrame:
+    """One row per file: timestamp, filename, path, size, modified."""
+    return files.select(F.lit(timestamp).alias("timestamp"), "filename", "path", "size", "modified")
 
 
 def write_manifest(files: DataFrame, path: str, timestamp: str) -> None:
-    """JSON manifest; a listing longer than a thousand files becomes several documents of about that size."""
-    documents = files.count() // MANIFEST_FILES + 1
-    manifest(files, timestamp, documents).write.mode("overwrite").json(path)
+    """JSON manifest, one line per file however many there are."""
+    manifest(files, timestamp).write.mode("overwrite").json(path)

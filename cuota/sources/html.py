@@ -18,7 +18,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuota.session import spread
 from cuota.specs import LinkSpec
 
 # Executors need not have the package installed: the scan and its parameter object travel with the job.
@@ -52,7 +51,7 @@ def link_candidates(pages: DataFrame, spec: LinkSpec, *, page_id: str = "page_id
                     for row in _candidates(text, spec)]
             yield pd.DataFrame(rows, columns=["page_id", "method_rank", "pos", "url", "text", "type"])
 
-    return spread(source).mapInPandas(scan, CANDIDATE_DDL)
+    return source.mapInPandas(scan, CANDIDATE_DDL)
 
 
 class _Node:
@@ -178,7 +177,8 @@ def _candidates(html, spec):
 
     def wanted(href):
         href = href.lower()
-        return bool(href) and spec.href_contains in href and not (spec.href_excludes and spec.href_excludes in href)
+        excluded = (spec.href_excludes or "").lower()
+        return bool(href) and spec.href_contains.lower() in href and not (excluded and excluded in href)
 
     def row(rank, position, node, text, kind):
         return rank, position, _join_url(spec.base_url, node.attrs["href"]), text, kind

@@ -30,3 +30,13 @@ def test_second_column(spark):
     got = forward_fill(df, ["g"], "n", "v", out="w").orderBy("n").collect()
     assert [tuple(r) for r in got] == [("a", 1, 5, 5), ("a", 2, None, 5)]
     assert forward_fill(df, ["g"], "n", "v").filter(F.col("v").isNull()).count() == 0
+
+
+def test_rows_with_null_keys_and_orders_come_back(spark):
+    rows = [(None, 1, 5), (None, 2, None), ("a", None, None), ("a", None, 8), ("a", 3, None), ("a", 9_000_000_000, None),
+            ("b", -7, 1), ("b", 5_000_000, None)]
+    df = spark.createDataFrame(rows, "g string, n long, v int")
+    got = forward_fill(df, ["g"], "n", "v").collect()
+    expected = [(None, 1, 5), (None, 2, 5), ("a", None, None), ("a", None, 8), ("a", 3, None), ("a", 9_000_000_000, None),
+                ("b", -7, 1), ("b", 5_000_000, 1)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))

@@ -7,6 +7,7 @@ from __spark_entry__ import queries
 from cuota.operators.entities import look_up
 from cuota.operators.portfolio import consolidate_portfolio, cutoff_composition, trailing_share
 from cuota.plans import bindings
+from cuota.plans.queries import QUERIES
 from cuota.session import scratch_path
 from cuota.sinks.tables import refresh_table
 from cuota.specs import PORTFOLIO
@@ -19,7 +20,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_python_only_for_pages(spark, name):
     text = plan(queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
@@ -56,11 +57,11 @@ def test_shared_work_is_computed_once(spark):
     assert "ReusedExchange" in final and final.count("FileScan parquet [o_custkey") == 1
 
 
-def test_long_lookups_are_not_forced_into_a_broadcast(spark):
+def test_lookups_are_broadcast_by_size_alone(spark):
     names = {i: f"n{i}" for i in range(100_001)}
     df = spark.range(10).withColumn("code", F.col("id"))
-    short = look_up(df, {1: "a"}, df["code"], F.lit("?"), "name")
-    long = look_up(df, names, df["code"], F.lit("?"), "name")
-    assert "rightHint=(strategy=broadcast)" in short._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" not in long._jdf.queryExecution().optimizedPlan().toString()
-    assert [r.name for r in long.orderBy("id").collect()] == [f"n{i}" for i in range(10)]
+    for lookup in ({1: "a"}, names):
+        found = look_up(df, lookup, df["code"], F.lit("?"), "name")
+        assert "strategy=broadcast" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "BroadcastHashJoin" in plan(look_up(df, {1: "a"}, df["code"], F.lit("?"), "name"))
+    assert [r.name for r in found.orderBy("id").collect()] == [f"n{i}" for i in range(10)]

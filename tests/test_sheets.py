@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from cuota.operators.entities import group_banks
 from cuota.operators.portfolio import consolidate_portfolio
 from cuota.operators.sheets import body_rows, rejected_months, select_sheets, unpivot_wide_sheets
 from cuota.specs import CARD_SHEET, CREDIT_SHEET, SHEET_ROWS_DDL, SheetTarget
@@ -77,53 +78,44 @@ def test_unreadable_month(spark):
     assert [tuple(r) for r in rejected_months(df).collect()] == [("f.xlsx", CREDIT, 1, "2025/02/30", "Consumo")]
 
 
-def by_hand(lines):
-    """(month, institution, product, value) of one credit sheet, row after row."""
-    names, month, out = [], None, []
-    for line in lines:
-        row = [None, *line]
-        row += [None] * (3 - len(row))
-        if not names:
-            if row[1] == "Fecha" and str(row[2]).startswith("Sector"):
-                for value in row[3:]:
-                    if not value:
-                        break
-                    names.append(str(value))
-            continue
-        if isinstance(row[1], str) and row[1].startswith("Total"):
-            break
-        if row[1]:
-            month = row[1]
-        if month and row[2] in ("Consumo", "Vivienda"):
-            out += [(month, n, row[2], float(v)) for n, v in zip(names, row[3:]) if v is not None]
-    return out
+def laid_out(rng, facts, names):
+    """A credit sheet that states the given facts, ordered by month: title, header, one line per month and product with
+    the month on its first line only, lines of no product and empty lines in between, and an end line with more behind."""
+    lines = [["Boletín"], [], ["Fecha", "Sector económico", *names, None, "no"]]
+    for month in sorted({m for m, *_ in facts}):
+        shown = [month]
+        products = sorted({p for m, _, p, _ in facts if m == month})
+        for product in products:
+            values = {n: v for m, n, p, v in facts if (m, p) == (month, product)}
+            lines.append([shown.pop() if shown else None, product, *[values.get(n) for n in names], 77, 77])
+            lines += rng.choice([[], [[None, "Otro", *[1.0] * len(names)]], [[]], [[None, None, 3]]])
+    return [*lines, ["Total general", None, 9, 9], [date(2030, 1, 1), "Consumo", *[5.0] * len(names)]]
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_random_sheets_like_a_loop(spark, seed):
+def test_generated_facts_come_back(spark, seed):
     rng = random.Random(seed)
-    months = [date(2024, m, 1) for m in range(1, 13)]
     rows, expected = [], []
     for number in range(6):
-        width = rng.randint(1, 4)
-        lines = []
-        for _ in range(rng.choice([5, 12, 200])):
-            first = rng.choice([None, None, None, rng.choice(months), "Total" if rng.random() < 0.03 else None,
-                                "Fecha" if rng.random() < 0.3 else None])
-            second = rng.choice(["Consumo", "Vivienda", "Otro", None]) if first != "Fecha" else "Sector"
-            values = [rng.choice([None, 0, 1.5, 2]) for _ in range(width)]
-            if first == "Fecha":
-                values = [rng.choice(["BNF", "GNB", "BASA", None]) for _ in range(width)]
-                if lines and any(line[0] == "Fecha" and line[2] for line in lines):
-                    first = None
-            lines.append([first, second, *values])
-        expected += [(m, n, p, v) for m, n, p, v in by_hand(lines)]
-        rows += sheet(f"{number}.xlsx", CREDIT, lines)
+        names = rng.sample(["BNF", "GNB", "BASA", "UENO"], rng.randint(1, 4))
+        months = rng.sample([date(2024, m, 1) for m in range(1, 13)], rng.choice([1, 5, 12]))
+        facts = [(m, n, p, rng.choice([0.0, 1.5, 2.0])) for m in months for p in ("Consumo", "Vivienda") for n in names
+                 if rng.random() < 0.7]
+        rows += sheet(f"{number}.xlsx", CREDIT, laid_out(rng, facts, names))
+        expected += facts
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, SHEET_ROWS_DDL).repartition(3)
+    named = {n: g for n, g in spark.createDataFrame([(n,) for n in ("BNF", "GNB", "BASA", "UENO")], "n string").transform(
+        lambda d: group_banks(d, "n")).select("n", "banco").collect()}
     for chunk_rows in (1, 4, 64):
         got = unpivot_wide_sheets(df, chunk_rows=chunk_rows).collect()
-        assert sorted(map(tuple, got)) == sorted(expected)
+        assert sorted(map(tuple, got)) == sorted((m, named[n], p, v) for m, n, p, v in expected)
+
+
+def test_rows_of_a_null_file_come_back(spark):
+    lines = [["Fecha", "Sector", "BNF"], ["2025/03", "Consumo", 2]]
+    df = spark.createDataFrame(sheet(None, CREDIT, lines), SHEET_ROWS_DDL)
+    assert [tuple(r) for r in unpivot_wide_sheets(df).collect()] == [(date(2025, 3, 1), "BNF", "Consumo", 2.0)]
 
 
 def test_only_needed_rows_are_shuffled(spark):
@@ -140,7 +132,8 @@ def test_first_matching_sheet(spark):
 
 
 def test_values_must_be_numbers(spark):
-    lines = [["Fecha", "Sector", "BNF"], ["2025/03", "Consumo", "n/d"]]
-    df = spark.createDataFrame(sheet("f.xlsx", CREDIT, lines), SHEET_ROWS_DDL)
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        unpivot_wide_sheets(df).select(F.sum("monto")).collect()
+    for text in ("n/d", "12d"):  # the latter is a number in Java's spelling only
+        lines = [["Fecha", "Sector", "BNF"], ["2025/03", "Consumo", text]]
+        df = spark.createDataFrame(sheet("f.xlsx", CREDIT, lines), SHEET_ROWS_DDL)
+        with pytest.raises(Exception, match=f"no number: {text}"):
+            unpivot_wide_sheets(df).select(F.sum("monto")).collect()
