@@ -27,6 +27,12 @@ def month_start(col: Column) -> Column:
     return F.trunc(col, "MM")
 
 
+def add_months(month: date, count: int) -> date:
+    """The month start `count` months after a plain date's month."""
+    years, index = divmod(month.year * 12 + month.month - 1 + count, 12)
+    return date(years, index + 1, 1)
+
+
 def as_date(value: str | date | Column) -> Column:
     """A literal or a column as DATE."""
     return value if isinstance(value, Column) else F.to_date(F.lit(value))

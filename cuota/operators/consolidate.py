@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuota.functions.amounts import total, total_or_zero
+from cuota.functions.amounts import total_or_zero
 from cuota.operators.entities import Lookup, name_entities, remap_entities
 from cuota.specs import CARDS, CREDIT, ENTITY_NAMES, ENTITY_SUCCESSORS, INCOME, TableSpec
 
@@ -59,14 +59,10 @@ def consolidate_income(banks: DataFrame, finance: DataFrame, *, successors: Look
                        names: Lookup = ENTITY_NAMES, scale: int | None = None) -> DataFrame:
     """fecha, entidad, sub_rubro, importe, reporte. Currencies are added up; the least report label is kept."""
     keys = ["fecha", "codigo_entidad", "sub_rubro"]
-    # A text minimum cannot be kept in a hash table, so it would make Spark sort every input row. Grouping by label
-    # first keeps the heavy step on the hash path; what is left to sort is one row per key and label.
-    per_label = (
-        remap_entities(union_institutions([banks, finance], INCOME), successors)
-        .groupBy(*keys, "reporte").agg(total(F.col("importe"), scale).alias("importe"))
-    )
-    summed = per_label.groupBy(*keys).agg(
-        F.coalesce(F.sum("importe").cast("double"), F.lit(0.0)).alias("importe"), F.min("reporte").alias("reporte"))
+    # A text minimum makes Spark sort each task's rows before the partial step (on disk where they do not fit). What is
+    # shuffled is one row per key and task, however many labels a key has.
+    summed = remap_entities(union_institutions([banks, finance], INCOME), successors).groupBy(*keys).agg(
+        total_or_zero(F.col("importe"), scale).alias("importe"), F.min("reporte").alias("reporte"))
     return name_entities(summed, names).select("fecha", "entidad", "sub_rubro", "importe", "reporte")
 
 

@@ -21,13 +21,20 @@ def as_dimension(spark: SparkSession, lookup: Lookup, key: str, value: str) -> D
     does a shuffled join, splitting skewed partitions.
     """
     if isinstance(lookup, DataFrame):
-        return lookup.toDF(key, value)
+        return _one_row_per_key(lookup.toDF(key, value), key, value)
     table = pa.table({key: list(lookup.keys()), value: list(lookup.values())})
     return spark.createDataFrame(table)
 
 
+def _one_row_per_key(dimension: DataFrame, key: str, value: str) -> DataFrame:
+    """The dimension, failing on a key that is listed twice, which would multiply the rows joined to it."""
+    twice = F.raise_error(F.concat(F.lit("lookup key listed twice: "), F.col(key).cast("string")))
+    return dimension.where(F.col(key).isNotNull()).groupBy(key).agg(F.when(F.count("*") == 1, F.min(value)).otherwise(
+        twice.cast(dimension.schema[value].dataType)).alias(value))
+
+
 def look_up(df: DataFrame, lookup: Lookup, key: Column, otherwise: Column, out: str) -> DataFrame:
-    """Set `out` to the looked-up value of `key`, or to `otherwise`. Keys of the lookup must be unique."""
+    """Set `out` to the looked-up value of `key`, or to `otherwise`. A key listed twice in a lookup table is an error."""
     dimension = as_dimension(df.sparkSession, lookup, "_lookup_key", "_lookup_value")
     joined = df.join(dimension, key == F.col("_lookup_key"), "left")
     value = F.coalesce(F.col("_lookup_value"), otherwise)
@@ -46,6 +53,15 @@ def name_entities(df: DataFrame, names: Lookup = ENTITY_NAMES, code: str = "codi
     return look_up(df, names, df[code], F.lit(unnamed), out)
 
 
+def group_names(names: Column, groups: Mapping) -> Column:
+    """An array of spelled institution names, each replaced as `group_banks` does."""
+    listed = F.create_map(*[F.lit(part) for pair in groups.items() for part in pair])
+    folded = F.transform(names, normalize_name)
+    if not groups:
+        return F.transform(folded, title_case)
+    return F.transform(folded, lambda name: F.coalesce(F.try_element_at(listed, name), title_case(name)))
+
+
 def group_banks(df: DataFrame, raw: str, groups: Lookup = BANK_GROUPS, out: str = "banco") -> DataFrame:
     """Group of a spelled institution name, or the folded name in title case when it belongs to none."""
     keyed = df.withColumn("_folded", normalize_name(F.col(raw)))

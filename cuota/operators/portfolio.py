@@ -50,6 +50,12 @@ def adjusted_cutoff(portfolio: DataFrame, cutoff: str) -> date:
     return adjust_cutoffs(portfolio, [cutoff]).first()["corte"]
 
 
+def in_window(portfolio: DataFrame, cutoff: Cutoff, months: int = WINDOW_MONTHS) -> DataFrame:
+    """The rows of the `months` months up to the cutoff's, by a range on the raw date column."""
+    last = month_start(as_date(cutoff))
+    return portfolio.filter(F.col("fecha").between(F.add_months(last, 1 - months), last))
+
+
 def trailing_share(portfolio: DataFrame, cutoff: Cutoff, *, months: int = WINDOW_MONTHS, scale: int | None = None,
                    ordered: bool = True) -> DataFrame:
     """mes, banco, producto, monto_mes, total_mes, share_mes over the `months` months up to the cutoff's.
@@ -57,15 +63,15 @@ def trailing_share(portfolio: DataFrame, cutoff: Cutoff, *, months: int = WINDOW
     The range is put on the raw date column so that it reaches the file scan. The upper bound is the first day of the
     cutoff month: facts carry month starts.
     """
-    last = month_start(as_date(cutoff))
     base = (
-        portfolio.filter(F.col("fecha").between(F.add_months(last, 1 - months), last))
+        in_window(portfolio, cutoff, months)
         .groupBy(month_start(F.col("fecha")).alias("mes"), "banco", "producto")
         .agg(total(F.col("monto"), scale).alias("monto_mes"))
     )
     totals = base.groupBy("mes").agg(F.sum("monto_mes").alias("total_mes"))
-    # `totals` has `months` rows at most, whatever the input; it reuses the shuffle of `base`.
-    shares = base.join(F.broadcast(totals), "mes").select(
+    # `totals` has `months` rows at most, whatever the input; it reuses the shuffle of `base`. Every month has a total: the
+    # left join is dropped with the totals where nothing asks for them.
+    shares = base.join(F.broadcast(totals), "mes", "left").select(
         "mes", "banco", "producto", F.col("monto_mes").cast("double").alias("monto_mes"),
         F.col("total_mes").cast("double").alias("total_mes"),
         share_of(F.col("monto_mes"), F.col("total_mes")).alias("share_mes"),
@@ -87,21 +93,25 @@ def cutoff_composition(portfolio: DataFrame, cutoff: Cutoff, *, scale: int | Non
     return composition(trailing_share(portfolio, cutoff, months=1, scale=scale, ordered=False), cutoff, scale=scale)
 
 
-def dense_composition(compo: DataFrame) -> DataFrame:
-    """banco, producto, share_producto for every bank and every product present; null where a bank lacks one.
+def dense_composition(compo: DataFrame, products: Sequence[str]) -> DataFrame:
+    """banco, producto, share_producto for every bank and every product of the list; null where a bank lacks one.
 
-    The product list is one row, read as a scalar and exploded per bank, so there is no cross join.
+    The composition is read once: a bank's shares, one per product, become a map that the list is looked up in.
+    Products that are not on the list are left out, as in `composition_matrix`.
     """
-    products = compo.agg(F.array_sort(F.collect_set("producto")).alias("productos")).scalar()
-    grid = compo.select("banco").distinct().select("banco", F.explode(products).alias("producto"))
-    return grid.join(compo.select("banco", "producto", "share_producto"), ["banco", "producto"], "left")
+    listed = F.array(*[F.lit(p) for p in sorted(set(products))])
+    # Tested inside the sum: as a filter it would reach one use of the scan only and part it from the other.
+    share = F.when(F.col("producto").isNotNull(), F.struct("producto", "share_producto"))
+    per_bank = compo.groupBy("banco").agg(F.map_from_entries(F.collect_list(share)).alias("_shares"))
+    return per_bank.select("banco", "_shares", F.explode(listed).alias("producto")).select(
+        "banco", "producto", F.try_element_at("_shares", F.col("producto")).alias("share_producto"))
 
 
-def stack_bases(compo: DataFrame) -> DataFrame:
+def stack_bases(compo: DataFrame, products: Sequence[str]) -> DataFrame:
     """banco, producto, share_producto, base: where each bar of the stacked view starts, products in name order."""
     below = Window.partitionBy("banco").orderBy("producto").rowsBetween(Window.unboundedPreceding, -1)
     height = F.coalesce(F.col("share_producto"), F.lit(0.0))
-    return dense_composition(compo).withColumn("base", F.coalesce(F.sum(height).over(below), F.lit(0.0)))
+    return dense_composition(compo, products).withColumn("base", F.coalesce(F.sum(height).over(below), F.lit(0.0)))
 
 
 def composition_matrix(compo: DataFrame, products: Sequence[str]) -> DataFrame:

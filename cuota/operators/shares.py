@@ -74,6 +74,13 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
+def absent_values(df: DataFrame, column: str, wanted: Sequence[str]) -> DataFrame:
+    """columna, valor: the asked values (matched ignoring case) that no row has. What is gathered is asked values only."""
+    upper, asked = F.upper(column), F.array(*[F.lit(name.upper()) for name in wanted]).cast("array<string>")
+    found = df.agg(F.collect_set(F.when(F.array_contains(asked, upper), upper)).alias("_found"))
+    return found.select(F.lit(column).alias("columna"), F.explode(F.array_except(asked, "_found")).alias("valor"))
+
+
 def period_bounds(df: DataFrame, month: str = "mes", by: Sequence[str] = ()) -> DataFrame:
     """desde, hasta and their label, such as 'Apr-23 a Mar-25', of the whole table or per `by`."""
     bounds = df.groupBy(*by).agg(F.min(month).alias("desde"), F.max(month).alias("hasta"))

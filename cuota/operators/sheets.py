@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cuota.functions.amounts import to_double
 from cuota.functions.dates import parse_month
 from cuota.functions.text import normalize_name, normalize_text
-from cuota.operators.entities import Lookup, group_banks
+from cuota.operators.entities import Lookup, group_banks, group_names
 from cuota.operators.fill import CHUNK_ROWS, carried, chunk_of, fill_within_chunks, join_chunks
 from cuota.specs import BANK_GROUPS, CARD_SHEET, CREDIT_SHEET, SHEET_TARGETS, SheetTarget, WideSheet
 
@@ -64,8 +64,8 @@ def _relevant_rows(rows: DataFrame, layouts: Sequence[WideSheet], chunk_rows: in
     return marked.filter(wanted | F.col("_stop")).withColumn("cells", F.when(F.col("producto").isNotNull(), values))
 
 
-def _chunk_bounds(marked: DataFrame) -> DataFrame:
-    """Per chunk: the sheet's header row, institution names, end row and the month carried in from before.
+def _chunk_bounds(marked: DataFrame, groups: Mapping | None) -> DataFrame:
+    """Per chunk: the sheet's header row, institution names (or groups), end row and the month carried in from before.
 
     A chunk gives one small row (at most its own row count of end rows); the windows run over those.
     """
@@ -74,9 +74,9 @@ def _chunk_bounds(marked: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("_stop"), F.col("row_no"))).alias("_stops"),
         F.max(F.when(F.col("_month").isNotNull(), F.struct("row_no", "_month"))).alias("_last"),
     )
-    sheet = Window.partitionBy(*_SHEET)
+    sheet, names = Window.partitionBy(*_SHEET), F.col("_head._names")
     headed = chunks.withColumn("_head", F.min("_head").over(sheet)).select(
-        *_CHUNK, F.col("_head.row_no").alias("_header"), F.col("_head._names").alias("_entities"),
+        *_CHUNK, F.col("_head.row_no").alias("_header"), (names if groups is None else group_names(names, groups)).alias("_entities"),
         F.array_min(F.filter("_stops", lambda row: row > F.col("_head.row_no"))).alias("_stop_here"),
         F.when(F.col("_last.row_no") > F.col("_head.row_no"), F.col("_last._month")).alias("_last_month"),
     )
@@ -85,14 +85,14 @@ def _chunk_bounds(marked: DataFrame) -> DataFrame:
 
 
 def body_rows(rows: DataFrame, layouts: Sequence[WideSheet] = (CREDIT_SHEET, CARD_SHEET), *,
-              on_bad_month: str = "raise", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+              on_bad_month: str = "raise", chunk_rows: int = CHUNK_ROWS, groups: Mapping | None = None) -> DataFrame:
     """Product rows between header and end row with their month filled down: file, sheet, row_no, fecha, producto,
-    month text, institution names and values.
+    month text, institution names and values. With `groups` the names are replaced by their groups, once per header.
 
     With on_bad_month='null' an unreadable month gives a null `fecha` (see `rejected_months`).
     """
     marked = _relevant_rows(rows, layouts, chunk_rows)
-    inside = join_chunks(marked, _chunk_bounds(marked), _CHUNK).filter(
+    inside = join_chunks(marked, _chunk_bounds(marked, groups), _CHUNK).filter(
         (F.col("row_no") > F.col("_header")) & (F.col("_end").isNull() | (F.col("row_no") < F.col("_end"))))
     if on_bad_month == "raise":
         unread = F.col("_month").isNotNull() & F.col("_month.month").isNull()
@@ -116,7 +116,8 @@ def unpivot_wide_sheets(rows: DataFrame, layouts: Sequence[WideSheet] = (CREDIT_
                         groups: Lookup = BANK_GROUPS, on_bad_month: str = "raise", chunk_rows: int = CHUNK_ROWS
                         ) -> DataFrame:
     """fecha, banco, producto, monto: one row per institution cell that holds a value."""
-    body = body_rows(rows, layouts, on_bad_month=on_bad_month, chunk_rows=chunk_rows)
+    known = groups if isinstance(groups, Mapping) else None  # a lookup table has to be joined per cell
+    body = body_rows(rows, layouts, on_bad_month=on_bad_month, chunk_rows=chunk_rows, groups=known)
     # Header and values pair up by position; the shorter list wins.
     width = F.least(F.size("_entities"), F.size("cells"))
     pairs = F.arrays_zip(F.slice("_entities", 1, width).alias("entity"), F.slice("cells", 1, width).alias("value"))
@@ -125,10 +126,18 @@ def unpivot_wide_sheets(rows: DataFrame, layouts: Sequence[WideSheet] = (CREDIT_
     stated = cells.filter(F.col("_value").isNotNull() & (F.lower(F.trim("_value")) != "nan"))
     amounts = stated.withColumn("monto", F.coalesce(to_double(F.col("_value")), F.raise_error(
         F.concat(F.lit("no number: "), "_value")).cast("double")))
-    named = group_banks(amounts, "_entity", groups)
+    named = amounts.withColumnRenamed("_entity", "banco") if known is not None else group_banks(amounts, "_entity", groups)
     return named.select("fecha", "banco", "producto", "monto")
 
 
+def missing_sheets(sheets: DataFrame, targets: Sequence[SheetTarget] = SHEET_TARGETS, **columns: str) -> DataFrame:
+    """file, target: the targets no sheet of a workbook fits. Takes what `select_sheets` takes."""
+    file = columns.get("file", "file")
+    wanted = F.explode(F.array(*[F.lit(target.label) for target in targets])).alias("target")
+    asked = sheets.select(F.col(file).alias("file")).distinct().select("file", wanted)
+    return asked.join(select_sheets(sheets, targets, **columns), ["file", "target"], "left_anti")
+
+
 def select_sheets(sheets: DataFrame, targets: Sequence[SheetTarget] = SHEET_TARGETS, *, file: str = "file",
                   title: str = "sheet", position: str = "sheet_pos") -> DataFrame:
     """file, target, sheet: for each target the first sheet, in workbook order, whose title has all its keywords."""

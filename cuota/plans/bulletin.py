@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cuota.operators.consolidate import (classify_income, consolidate_cards, consolidate_credit, consolidate_income,
-                                         profile_tables)
+                                         profile_tables, repeated_keys)
 from cuota.operators.entities import Lookup
-from cuota.operators.shares import monthly_cards_by_class, monthly_credit_by_product, period_bounds
+from cuota.operators.shares import absent_values, monthly_cards_by_class, monthly_credit_by_product, period_bounds
 from cuota.sinks.tables import write_table
-from cuota.sources.staging import read_bulletin, read_income_index
-from cuota.specs import ENTITY_NAMES, ENTITY_SUCCESSORS, STAGING_FILES, TableSpec
+from cuota.sources.staging import DATE_FORMATS, read_bulletin, read_income_index, rejected_bulletin
+from cuota.specs import CARD_CLASSES, CREDIT_PRODUCTS, ENTITY_NAMES, ENTITY_SUCCESSORS, STAGING_FILES, TableSpec
 
 # Final tables and the order their rows are stored in.
 FINAL_ORDER = {
@@ -36,21 +36,29 @@ def consolidate_bulletin(staging: dict[str, DataFrame], index: DataFrame, *, suc
 
 def load_bulletin(spark: SparkSession, folder: str, out: str, *, files: Mapping[str, tuple[str, TableSpec]] = STAGING_FILES,
                   index_path: str | None = None, on_bad_date: str = "raise", multi_line: bool = False,
-                  scale: int | None = None) -> dict[str, DataFrame]:
+                  scale: int | None = None, date_formats: Iterable[str] = DATE_FORMATS) -> dict[str, DataFrame]:
     """Read a folder of tidy CSV files, write the final tables under `out` and return them with their profile.
 
-    For a folder of exported sheets pass files=EXPORTED_FILES and multi_line=True.
+    `rechazos` lists the rows that lost a cell and `claves_repetidas` the index keys that multiply income lines; both are
+    lazy, so they cost a scan only where they are used. For a folder of exported sheets pass files=EXPORTED_FILES and
+    multi_line=True.
     """
-    staging = read_bulletin(spark, folder, files, on_bad_date=on_bad_date, multi_line=multi_line)
-    finals = consolidate_bulletin(staging, read_income_index(spark, index_path), scale=scale)
+    formats = tuple(date_formats)
+    staging = read_bulletin(spark, folder, files, on_bad_date=on_bad_date, multi_line=multi_line, date_formats=formats)
+    index = read_income_index(spark, index_path)
+    finals = consolidate_bulletin(staging, index, scale=scale)
     stored = {name: write_table(df, f"{out.rstrip('/')}/{name}", sort_by=FINAL_ORDER[name])
               for name, df in finals.items()}
-    return {**stored, "perfil": profile_tables(stored)}
+    return {**stored, "perfil": profile_tables(stored), "claves_repetidas": repeated_keys(index),
+            "rechazos": rejected_bulletin(spark, folder, files, multi_line=multi_line, date_formats=formats)}
 
 
-def share_reports(finals: dict[str, DataFrame], *, scale: int | None = None) -> dict[str, DataFrame]:
-    """Monthly shares of the reported products and card classes, and the period each covers."""
-    credit = monthly_credit_by_product(finals["credito_sector"], scale=scale)
-    cards = monthly_cards_by_class(finals["tarjetas"], scale=scale)
+def share_reports(finals: dict[str, DataFrame], *, products: Sequence[str] = CREDIT_PRODUCTS,
+                  classes: Sequence[str] = CARD_CLASSES, scale: int | None = None) -> dict[str, DataFrame]:
+    """Monthly shares of the asked products and card classes, the period each covers, and those without any rows."""
+    credit = monthly_credit_by_product(finals["credito_sector"], products, scale=scale)
+    cards = monthly_cards_by_class(finals["tarjetas"], classes, scale=scale)
     return {"credito": credit, "tarjetas": cards, "periodo_credito": period_bounds(credit, by=["producto"]),
-            "periodo_tarjetas": period_bounds(cards, by=["clasificacion"])}
+            "periodo_tarjetas": period_bounds(cards, by=["clasificacion"]),
+            "sin_filas": absent_values(finals["credito_sector"], "actividad", products).unionByName(
+                absent_values(finals["tarjetas"], "clasificacion", classes))}

@@ -175,6 +175,18 @@ cats AS (
   FROM links
 )"""
 
+_CHOSEN = """
+s AS (
+  SELECT o_custkey AS file, o_orderpriority || ' - ' || o_orderstatus AS sheet, o_orderkey AS pos,
+         lower(replace(replace(o_orderpriority || ' ' || o_orderstatus, '-', ' '), '   ', ' ')) AS t FROM orders
+),
+m AS (
+  SELECT *, 'Urgente' AS target FROM s WHERE t LIKE '%urgent%'
+  UNION ALL SELECT *, 'Alto F' FROM s WHERE t LIKE '%high%' AND t LIKE '% f%'
+  UNION ALL SELECT *, 'Bajo' FROM s WHERE t LIKE '%low%' AND t LIKE '%5%'
+),
+chosen AS (SELECT file, target, sheet FROM m QUALIFY row_number() OVER (PARTITION BY file, target ORDER BY pos) = 1)"""
+
 _FOLDED = "regexp_replace(strip_accents({0}), '[^\\x00-\\x7F]', '', 'g')"
 
 
@@ -188,6 +200,9 @@ def oracles() -> dict[str, str]:
                    CASE WHEN l_returnflag <> 'R' THEN l_returnflag END AS sub_rubro,
                    CASE WHEN l_linestatus <> 'O' THEN l_extendedprice END AS importe
             FROM lineitem""",
+        "staging_rejects": """
+            SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN l_linenumber IN (1, 3) THEN 'codigo_entidad' END, CASE WHEN l_linestatus = 'O' THEN 'importe' END) AS rechazadas
+            FROM lineitem WHERE l_linenumber IN (1, 3) OR l_linestatus = 'O'""",
         "union_institutions": f"WITH {_CREDIT_UNION} SELECT * FROM cr",
         "entity_remap": f"""WITH {_CREDIT_UNION}
             SELECT fecha, CAST({_SUCCESSOR} AS BIGINT) AS codigo_entidad, actividad_destino_vs2 FROM cr""",
@@ -253,7 +268,7 @@ def oracles() -> dict[str, str]:
             f"max(share_producto) FILTER (producto = '{p}') AS \"{p}\"" for p in _PRODUCTS
         ) + " FROM mezcla GROUP BY banco",
         "stack_base": f"""WITH {_MIX},
-            g AS (SELECT banco, producto FROM (SELECT DISTINCT banco FROM mezcla), (SELECT DISTINCT producto FROM mezcla))
+            g AS (SELECT banco, producto FROM (SELECT DISTINCT banco FROM mezcla), (SELECT unnest({list(_PRODUCTS)}) AS producto))
             SELECT banco, producto, share_producto, coalesce(sum(coalesce(share_producto, 0.0)) OVER (
                    PARTITION BY banco ORDER BY producto ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS base
             FROM g LEFT JOIN mezcla USING (banco, producto)""",
@@ -293,6 +308,8 @@ def oracles() -> dict[str, str]:
             FROM customer JOIN nation ON c_nationkey = n_nationkey""",
         "portfolio_consolidated": f"""WITH {_FACTS} SELECT fecha, banco, producto, CAST(sum(monto) AS DOUBLE) AS monto
             FROM hechos GROUP BY 1, 2, 3""",
+        "portfolio_stored": f"""WITH {_FACTS} SELECT fecha, banco, producto, CAST(sum(monto) AS DOUBLE) AS monto
+            FROM hechos GROUP BY 1, 2, 3""",
         "full_refresh": f"""WITH {_FACTS} SELECT fecha, banco, producto, CAST(sum(monto) AS DOUBLE) AS monto
             FROM hechos WHERE producto IN (SELECT p_type FROM part) GROUP BY 1, 2, 3""",
         "csv_roundtrip": f"WITH {_WINDOW} SELECT * FROM cuota",
@@ -313,14 +330,17 @@ def oracles() -> dict[str, str]:
             SELECT page_id, 'tabla_a', 'https://boletin.example/a.xls?v=1', 'archivo_a.xls', 'fallback' FROM n WHERE n < 2
             UNION ALL
             SELECT page_id, 'tabla_b', 'https://boletin.example/b/7f3c', 'tabla_b.xlsx', 'fallback' FROM n WHERE n < 2""",
-        "sheet_select": """WITH s AS (
-              SELECT o_custkey AS file, o_orderpriority || ' - ' || o_orderstatus AS sheet, o_orderkey AS pos,
-                     lower(replace(replace(o_orderpriority || ' ' || o_orderstatus, '-', ' '), '   ', ' ')) AS t FROM orders),
-            m AS (SELECT *, 'Urgente' AS target FROM s WHERE t LIKE '%urgent%'
-                  UNION ALL SELECT *, 'Alto F' FROM s WHERE t LIKE '%high%' AND t LIKE '% f%'
-                  UNION ALL SELECT *, 'Bajo' FROM s WHERE t LIKE '%low%' AND t LIKE '%5%')
-            SELECT file, target, sheet FROM m
-            QUALIFY row_number() OVER (PARTITION BY file, target ORDER BY pos) = 1""",
+        "sheet_select": f"WITH {_CHOSEN} SELECT file, target, sheet FROM chosen",
+        "sheet_missing": f"""WITH {_CHOSEN}, asked AS (SELECT DISTINCT o_custkey AS file,
+              unnest(['Urgente', 'Alto F', 'Bajo']) AS target FROM orders)
+            SELECT file, target FROM asked ANTI JOIN chosen USING (file, target)""",
+        "sheet_lines": f"""WITH {_CHOSEN}
+            SELECT CASE WHEN file % 2 = 0 THEN '/m/tabla_de_bancos.' ELSE '/m/otra.' END || file || '.xlsx' AS file,
+                   CASE target WHEN 'Urgente' THEN 'UR' WHEN 'Alto F' THEN 'HF' ELSE 'LO' END ||
+                   CASE WHEN file % 2 = 0 THEN 'BI' ELSE 'XX' END AS salida, o_orderkey AS row_no,
+                   o_orderkey || ',,"' || o_orderpriority || ', ' || repeat('"', 2) || 'x' || repeat('"', 3) || ',' ||
+                   CASE WHEN o_orderstatus = 'F' THEN 'True' ELSE 'False' END AS value
+            FROM chosen JOIN orders ON o_custkey = file AND o_orderpriority || ' - ' || o_orderstatus = sheet""",
         "file_manifest": """SELECT '2000-01-01T00:00:00' AS timestamp, 'page-' || page_id || '.html' AS filename,
               '/pages/page-' || page_id || '.html' AS path, octet_length(encode(html)) AS size,
               strftime(DATE '2000-01-01' + (page_id % 3650)::INTEGER, '%Y-%m-%d') AS modified FROM pages""",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType
 
-from cuota.functions.dates import parse_month
+from cuota.functions.dates import add_months, parse_month
 from cuota.functions.text import normalize_name, normalize_text, percent_label
 from cuota.operators.consolidate import (classify_income, consolidate_cards, consolidate_credit, consolidate_income,
                                          profile_tables, repeated_keys, union_institutions)
@@ -21,15 +21,16 @@ from cuota.operators.portfolio import (adjust_cutoffs, adjusted_cutoff, composit
                                        cutoff_composition, stack_bases, trailing_share)
 from cuota.operators.shares import (distinct_values, monthly_cards, monthly_cards_by_class, monthly_credit,
                                     monthly_credit_by_product, period_bounds, share_cap)
-from cuota.operators.sheets import select_sheets, unpivot_wide_sheets
+from cuota.operators.sheets import missing_sheets, select_sheets, unpivot_wide_sheets
 from cuota.plans import bindings as b
+from cuota.plans.market_share import open_portfolio
 from cuota.session import scratch_path
-from cuota.sinks.files import manifest, write_manifest
+from cuota.sinks.files import manifest, sheet_lines, write_manifest
 from cuota.sinks.tables import read_csv_table, refresh_table, write_csv, write_table
 from cuota.sources.html import link_candidates
 from cuota.sources.listing import is_valid_file
-from cuota.sources.staging import read_staging
-from cuota.specs import CREDIT, PORTFOLIO, TableSpec
+from cuota.sources.staging import normalize_columns, read_staging, rejected_cells
+from cuota.specs import CREDIT, PORTFOLIO, WINDOW_MONTHS, TableSpec
 
 CUTOFF = "2001-03-31"
 CUTOFF_MONTH, WINDOW_START = date(2001, 3, 1), date(1999, 4, 1)
@@ -75,10 +76,13 @@ def _trailing_share(spark, sf):
     return trailing_share(_window_facts(spark, sf), CUTOFF, scale=SCALE)
 
 
-@query("staging_typed")
-def _staging_typed(spark, sf):
-    """Line items written as untidy CSV text, then read back as a declared table."""
-    text = b.table(spark, sf, "lineitem").select(
+DECLARED = TableSpec("prueba", (("fecha", DateType()), ("codigo_entidad", LongType()), ("sub_rubro", StringType()),
+                                ("importe", DoubleType())))
+
+
+def _untidy(spark, sf, *further):
+    """Line items as the untidy text of a CSV table."""
+    return b.table(spark, sf, "lineitem").select(
         F.date_format("l_shipdate", "yyyy-MM-dd").alias(" Fecha "),
         F.when(F.col("l_linenumber") == 1, F.lit("n/d")).when(
             F.col("l_linenumber") == 2, F.concat(F.col("l_suppkey").cast("string"), F.lit(".0"))).when(
@@ -87,12 +91,22 @@ def _staging_typed(spark, sf):
         F.when(F.col("l_returnflag") == "R", F.lit("NA")).otherwise(F.col("l_returnflag")).alias("Sub  Rubro"),
         F.when(F.col("l_linestatus") == "O", F.lit("12d")).otherwise(
             F.col("l_extendedprice").cast("string")).alias("IMPORTE"),
-        F.lit("x").alias("sobra"))
+        F.lit("x").alias("sobra"), *further)
+
+
+@query("staging_typed")
+def _staging_typed(spark, sf):
+    """Line items written as untidy CSV text, then read back as a declared table."""
     path = scratch_path(spark, "staging")
-    text.write.option("header", True).csv(path)
-    declared = TableSpec("prueba", (("fecha", DateType()), ("codigo_entidad", LongType()), ("sub_rubro", StringType()),
-                                    ("importe", DoubleType())))
-    return read_staging(spark, path, declared)
+    _untidy(spark, sf).write.option("header", True).csv(path)
+    return read_staging(spark, path, DECLARED)
+
+
+@query("staging_rejects")
+def _staging_rejects(spark, sf):
+    """The line items that lose a cell to the declared types, with the names of the columns that lose it."""
+    text = normalize_columns(_untidy(spark, sf, "l_orderkey", "l_linenumber"))
+    return rejected_cells(text, DECLARED).select("l_orderkey", "l_linenumber", F.concat_ws(",", "rechazadas").alias("rechazadas"))
 
 
 @query("union_institutions")
@@ -187,7 +201,7 @@ def _adjust_cutoff(spark, sf):
 def _share_at_adjusted_cutoff(spark, sf):
     """A cutoff beyond the data, moved to its last month first."""
     month = adjusted_cutoff(b.portfolio(spark, sf), "2030-12-31")
-    return trailing_share(b.portfolio(spark, sf, until=month), month, scale=SCALE)
+    return trailing_share(b.portfolio(spark, sf, since=add_months(month, 1 - WINDOW_MONTHS), until=month), month, scale=SCALE)
 
 
 @query("cutoff_composition")
@@ -202,7 +216,7 @@ def _composition_matrix(spark, sf):
 
 @query("stack_base")
 def _stack_base(spark, sf):
-    return stack_bases(_composition(spark, sf))
+    return stack_bases(_composition(spark, sf), b.PRODUCTS)
 
 
 @query("distinct_entities")
@@ -303,6 +317,14 @@ def _full_refresh(spark, sf):
                          sort_by=["fecha", "banco", "producto"])
 
 
+@query("portfolio_stored")
+def _portfolio_stored(spark, sf):
+    """The stored portfolio, opened as a later job does."""
+    path = scratch_path(spark, "cartera_pf")
+    refresh_table(consolidate_portfolio([b.portfolio(spark, sf)], scale=SCALE), path, PORTFOLIO)
+    return open_portfolio(spark, path)
+
+
 @query("csv_roundtrip")
 def _csv_roundtrip(spark, sf):
     shares = trailing_share(_window_facts(spark, sf), CUTOFF, scale=SCALE, ordered=False)
@@ -342,13 +364,35 @@ def _link_first(spark, sf):
     return select_links(pages, links, b.PAGE_LINKS, b.PAGE_FALLBACK, files=b.PAGE_FILES)
 
 
-@query("sheet_select")
-def _sheet_select(spark, sf):
+def _order_sheets(spark, sf):
     """Customers as workbooks and their orders as sheets titled by priority and status."""
-    sheets = b.table(spark, sf, "orders").select(
+    return b.table(spark, sf, "orders").select(
         F.col("o_custkey").alias("file"), F.concat_ws(" - ", "o_orderpriority", "o_orderstatus").alias("sheet"),
         F.col("o_orderkey").alias("sheet_pos"))
-    return select_sheets(sheets, b.SHEET_LIKE)
+
+
+@query("sheet_select")
+def _sheet_select(spark, sf):
+    return select_sheets(_order_sheets(spark, sf), b.SHEET_LIKE)
+
+
+@query("sheet_missing")
+def _sheet_missing(spark, sf):
+    return missing_sheets(_order_sheets(spark, sf), b.SHEET_LIKE)
+
+
+@query("sheet_lines")
+def _sheet_lines(spark, sf):
+    """Each customer's orders as the rows of sheets titled by priority and status, exported as CSV lines."""
+    cells = F.array(F.col("o_orderkey").cast("string"), F.lit(None).cast("string"),
+                    F.concat("o_orderpriority", F.lit(', "x"')), F.when(F.col("o_orderstatus") == "F", "1").otherwise("0"))
+    rows = b.table(spark, sf, "orders").select(
+        F.concat(F.when(F.col("o_custkey") % 2 == 0, "/m/tabla_de_bancos.").otherwise("/m/otra."), F.col("o_custkey"),
+                 F.lit(".xlsx")).alias("file"),
+        F.concat_ws(" - ", "o_orderpriority", "o_orderstatus").alias("sheet"), F.col("o_orderkey").alias("sheet_pos"),
+        F.col("o_orderkey").alias("row_no"), cells.alias("cells"),
+        F.array(F.lit("n"), F.lit(None).cast("string"), F.lit("s"), F.lit("b")).alias("types"))
+    return sheet_lines(rows, b.SHEET_LIKE)
 
 
 @query("file_validity")

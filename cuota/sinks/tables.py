@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -17,13 +19,30 @@ def write_table(df: DataFrame, path: str, *, sort_by: list[str] | None = None,
                 partition_by: list[str] | None = None) -> DataFrame:
     """Replace a Parquet table and return it as stored.
 
-    `sort_by` spreads the rows by range before sorting inside files, so row-group statistics prune later reads.
+    `sort_by` spreads the rows by range before sorting inside files, so row-group statistics prune later reads. The rows
+    are written beside the table and take its place when all are there: a failed job leaves the old table, and `df` may
+    read it.
     """
     ordered = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by) if sort_by else df
-    ordered.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    ordered.write.partitionBy(*(partition_by or [])).parquet(fresh)
+    _switch(df.sparkSession, fresh, path.rstrip("/"))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _switch(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder `fresh` in the place of `path`, whose former content goes last."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    new, current, old = (jvm.Path(p) for p in (fresh, path, f"{fresh}.old"))
+    files = current.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaced = files.exists(current)
+    if replaced and not files.rename(current, old) or not files.rename(new, current):
+        raise OSError(f"cannot put {fresh} in the place of {path}")
+    if replaced:
+        files.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def refresh_table(df: DataFrame, path: str, spec: TableSpec, *, sort_by: list[str] | None = None) -> DataFrame:
     """Full refresh: the declared columns in declared order replace whatever the table held."""
     columns = [df[name].cast(dtype).alias(name) for name, dtype in spec.columns]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,19 +90,39 @@ def rejected_cells(df: DataFrame, spec: TableSpec, *, date_formats: Iterable[str
 
 
 def read_staging(spark: SparkSession, path: str | list[str], spec: TableSpec, *, on_bad_date: str = "raise",
-                 multi_line: bool = False) -> DataFrame:
+                 multi_line: bool = False, date_formats: Iterable[str] = DATE_FORMATS) -> DataFrame:
     """One staging table; `path` may be a glob over many months."""
     text = normalize_columns(read_csv_text(spark, path, multi_line=multi_line))
-    return apply_types(text, spec, on_bad_date=on_bad_date)
+    return apply_types(text, spec, on_bad_date=on_bad_date, date_formats=date_formats)
 
 
 def read_bulletin(spark: SparkSession, folder: str, files: Mapping[str, tuple[str, TableSpec]] = STAGING_FILES, *,
-                  on_bad_date: str = "raise", multi_line: bool = False) -> dict[str, DataFrame]:
+                  on_bad_date: str = "raise", multi_line: bool = False, date_formats: Iterable[str] = DATE_FORMATS
+                  ) -> dict[str, DataFrame]:
     """All staging tables of a folder. Every file must exist."""
+    paths = _bulletin_paths(spark, folder, files)
+    return {table: read_staging(spark, paths[table], spec, on_bad_date=on_bad_date, multi_line=multi_line,
+                                date_formats=date_formats)
+            for table, (_, spec) in files.items()}
+
+
+def rejected_bulletin(spark: SparkSession, folder: str, files: Mapping[str, tuple[str, TableSpec]] = STAGING_FILES, *,
+                      multi_line: bool = False, date_formats: Iterable[str] = DATE_FORMATS) -> DataFrame:
+    """tabla, rechazadas, fila: the rows of all staging tables that lose a cell, with the lost columns and the row's text."""
+    paths = _bulletin_paths(spark, folder, files)
+
+    def rejects(table: str, spec: TableSpec) -> DataFrame:
+        text = normalize_columns(read_csv_text(spark, paths[table], multi_line=multi_line))
+        return rejected_cells(text, spec, date_formats=date_formats).select(
+            F.lit(table).alias("tabla"), "rechazadas", F.to_json(F.struct(*spec.names)).alias("fila"))
+
+    return reduce(DataFrame.unionByName, [rejects(table, spec) for table, (_, spec) in files.items()])
+
+
+def _bulletin_paths(spark: SparkSession, folder: str, files: Mapping[str, tuple[str, TableSpec]]) -> dict[str, str]:
     paths = {table: f"{folder.rstrip('/')}/{name}" for table, (name, _) in files.items()}
     require_paths(spark, paths.values())
-    return {table: read_staging(spark, paths[table], spec, on_bad_date=on_bad_date, multi_line=multi_line)
-            for table, (_, spec) in files.items()}
+    return paths
 
 
 def read_income_index(spark: SparkSession, path: str | None) -> DataFrame:

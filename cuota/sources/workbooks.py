@@ -26,27 +26,49 @@ _DATE_FORMATS = frozenset((14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47))
 _FORMAT_NOISE = re.compile(r'"[^"]*"|\[(?!h+\]|m+\]|s+\])[^\]]*\]|\\.|_.', re.I)
 
 
-def read_workbooks(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(file, sheet, sheet_pos, row_no, cells, types): values only, rows numbered from 0 in sheet order."""
+def read_workbooks(spark: SparkSession, path: str | list[str], *, on_bad_file: str = "raise") -> DataFrame:
+    """(file, sheet, sheet_pos, row_no, cells, types): values only, rows numbered from 0 in sheet order.
+
+    A sheet without rows gives one row without cells. With on_bad_file='reject' a file that cannot be read does not end
+    the job; store the rows and part them with `rejected_workbooks` and `whole_workbooks`.
+    """
+    if on_bad_file not in ("raise", "reject"):
+        raise ValueError(f"on_bad_file must be 'raise' or 'reject', not {on_bad_file!r}")
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInPandas(_sheet_rows, SHEET_ROWS_DDL)
+    return files.mapInPandas(lambda batches: _sheet_rows(batches, on_bad_file == "reject"), SHEET_ROWS_DDL)
+
+
+def rejected_workbooks(rows: DataFrame) -> DataFrame:
+    """(file, problem) of every file that could not be read to its end."""
+    return rows.filter(F.col("sheet").isNull()).select("file", F.get("cells", F.lit(0)).alias("problem"))
+
+
+def whole_workbooks(rows: DataFrame) -> DataFrame:
+    """The rows of files that were read to their end. Pass stored rows: they are read twice."""
+    return rows.join(rejected_workbooks(rows).select("file"), "file", "left_anti")
 
 
 def workbook_sheets(rows: DataFrame) -> DataFrame:
-    """(file, sheet, sheet_pos) of every sheet that has rows."""
-    return rows.groupBy("file", "sheet").agg(F.min("sheet_pos").alias("sheet_pos"))
+    """(file, sheet, sheet_pos) of every sheet."""
+    return rows.filter(F.col("sheet").isNotNull()).groupBy("file", "sheet").agg(F.min("sheet_pos").alias("sheet_pos"))
 
 
-def _sheet_rows(batches):
+def _sheet_rows(batches, reject):
     columns = ["file", "sheet", "sheet_pos", "row_no", "cells", "types"]
     for batch in batches:
         for path, content in zip(batch["path"], batch["content"]):
             buffer = []
-            for row in _workbook_rows(content):
-                buffer.append((path, *row))
-                if len(buffer) == _BATCH_ROWS:
-                    yield pd.DataFrame(buffer, columns=columns)
-                    buffer = []
+            try:
+                for row in _workbook_rows(content):
+                    buffer.append((path, *row))
+                    if len(buffer) == _BATCH_ROWS:
+                        yield pd.DataFrame(buffer, columns=columns)
+                        buffer = []
+            except Exception as problem:  # whatever a damaged archive or its XML leads to
+                if not reject:
+                    raise
+                # One row without a sheet marks the file; rows handed on before are told apart by it.
+                buffer = [(path, None, 0, 0, [f"{type(problem).__name__}: {problem}"], ["s"])]
             if buffer:
                 yield pd.DataFrame(buffer, columns=columns)
 
@@ -93,14 +115,21 @@ def _workbook_rows(content):
             relation = next(v for k, v in sheet.attrib.items() if _local(k) == "id")
             target = targets[relation]
             name = target.lstrip("/") if target.startswith("/") else posixpath.normpath("xl/" + target)
+            empty = True
             with archive.open(name) as stream:
                 for row_no, cells, types in _rows(stream, strings, dates, epoch):
+                    empty = False
                     yield sheet.get("name"), position, row_no, cells, types
+            if empty:
+                yield sheet.get("name"), position, 0, [], []
 
 
 def _rows(stream, strings, dates, epoch):
-    expected = 0
-    for _, node in ElementTree.iterparse(stream):
+    expected, parent = 0, None
+    for event, node in ElementTree.iterparse(stream, events=("start", "end")):
+        if event == "start":
+            parent = node if _local(node.tag) == "sheetData" else parent
+            continue
         if _local(node.tag) != "row":
             continue
         row_no = int(node.get("r", expected + 1)) - 1
@@ -118,6 +147,8 @@ def _rows(stream, strings, dates, epoch):
         yield row_no, cells, types
         expected = row_no + 1
         node.clear()
+        if parent is not None:
+            parent.clear()  # else a full sheet leaves a million emptied rows behind
 
 
 def _column(reference, default):

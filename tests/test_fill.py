@@ -40,3 +40,19 @@ def test_rows_with_null_keys_and_orders_come_back(spark):
     expected = [(None, 1, 5), (None, 2, 5), ("a", None, None), ("a", None, 8), ("a", 3, None), ("a", 9_000_000_000, None),
                 ("b", -7, 1), ("b", 5_000_000, 1)]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+
+
+@pytest.mark.parametrize("section_chunks", [1, 2, 5])
+def test_sections_hand_values_on_over_wide_gaps(spark, section_chunks):
+    rng = random.Random(section_chunks)
+    orders = sorted(rng.sample(range(-10**15, 10**15), 60))
+    rows = [("hot", n, rng.choice([None, None, None, rng.randint(0, 9)])) for n in orders]
+    rows += [("hot", None, 77)] * 5 + [("hot", None, None)]
+    expected, last = [r for r in rows if r[1] is None], None
+    for group, n, v in rows[:60]:
+        last = v if v is not None else last
+        expected.append((group, n, last))
+    df = spark.createDataFrame(rows, "g string, n long, v int").repartition(4)
+    for chunk_rows in (1, 65_536, 10**14):
+        got = forward_fill(df, ["g"], "n", "v", chunk_rows=chunk_rows, section_chunks=section_chunks).collect()
+        assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))

@@ -4,13 +4,15 @@ from collections import defaultdict
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from cuota.functions.dates import as_date
 from cuota.operators.consolidate import repeated_keys, union_institutions
+from cuota.operators.entities import look_up
 from cuota.operators.portfolio import (adjust_cutoffs, adjusted_cutoff, composition, composition_matrix,
                                        consolidate_portfolio, cutoff_composition, dense_composition, stack_bases,
                                        trailing_share)
-from cuota.operators.shares import distinct_values, monthly_cards, monthly_credit, period_bounds, share_cap
+from cuota.operators.shares import absent_values, distinct_values, monthly_cards, monthly_credit, period_bounds, share_cap
 from cuota.plans.market_share import market_share_report, write_report
 from cuota.specs import CARDS, PORTFOLIO
 
@@ -88,10 +90,10 @@ def test_dense_views(portfolio):
     mix = cutoff_composition(portfolio, "2025-06-30", scale=2)
     present = {(r.banco, r.producto): r.share_producto for r in mix.collect()}
     products = sorted({p for _, p in present})
-    dense = {(r.banco, r.producto): r.share_producto for r in dense_composition(mix).collect()}
+    dense = {(r.banco, r.producto): r.share_producto for r in dense_composition(mix, products).collect()}
     assert set(dense) == {(b, p) for b in "ABCDE" for p in products}
     assert all(dense[k] == v for k, v in present.items())
-    for r in stack_bases(mix).collect():
+    for r in stack_bases(mix, products).collect():
         below = sum(dense[r.banco, p] or 0.0 for p in products if p < r.producto)
         assert math.isclose(r.base, below, abs_tol=1e-12)
     matrix = composition_matrix(mix, products).collect()
@@ -145,3 +147,20 @@ def test_report_files(spark, portfolio, tmp_path):
         assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
     with pytest.raises(Exception, match="is empty|no portfolio rows"):
         write_report(portfolio.limit(0), str(tmp_path))
+
+
+def test_a_lookup_key_listed_twice_is_an_error(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "code long")
+    names = spark.createDataFrame([(1, "a"), (3, "c"), (None, "x"), (None, "y")], "k long, v string")
+    got = look_up(df, names, df["code"], F.lit("?"), "name").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(["(1, 'a')", "(2, '?')", "(None, '?')"])
+    twice = names.unionByName(names)
+    with pytest.raises(Exception, match="lookup key listed twice: "):
+        look_up(df, twice, df["code"], F.lit("?"), "name").collect()
+
+
+def test_asked_values_without_rows(spark):
+    df = spark.createDataFrame([("Consumo",), ("otro",), (None,)], "actividad string")
+    got = absent_values(df, "actividad", ["consumo", "Vivienda", "X"]).collect()
+    assert sorted(map(tuple, got)) == [("actividad", "VIVIENDA"), ("actividad", "X")]
+    assert absent_values(df.limit(0), "actividad", ["a"]).count() == 1

@@ -137,3 +137,12 @@ def test_values_must_be_numbers(spark):
         df = spark.createDataFrame(sheet("f.xlsx", CREDIT, lines), SHEET_ROWS_DDL)
         with pytest.raises(Exception, match=f"no number: {text}"):
             unpivot_wide_sheets(df).select(F.sum("monto")).collect()
+
+
+def test_groups_per_header_and_per_cell_agree(spark):
+    lines = [["Fecha", "Sector", "BNF", "atlas", "Itaú ", "d'oro"], ["2025/03", "Consumo", 1, 2, 3, 4]]
+    df = spark.createDataFrame(sheet("f.xlsx", CREDIT, lines), SHEET_ROWS_DDL)
+    as_table = spark.createDataFrame([("ATLAS", "Grupo A"), ("BNF", "Grupo B")], "k string, v string")
+    for mapping, lookup in (({"ATLAS": "Grupo A", "BNF": "Grupo B"}, as_table), ({}, as_table.limit(0))):
+        per_header, per_cell = (unpivot_wide_sheets(df, groups=g).collect() for g in (mapping, lookup))
+        assert sorted(map(tuple, per_header)) == sorted(map(tuple, per_cell)) and len(per_cell) == 4

@@ -128,6 +128,17 @@ def test_whole_bulletin(spark, folder):
     assert [tuple(r) for r in reports["periodo_tarjetas"].collect()] == [
         ("SALDO", date(2025, 1, 1), date(2025, 1, 1), "Jan-25 a Jan-25")]
     assert reports["periodo_credito"].count() == 1
+    assert ("actividad", "VIVIENDA") in {tuple(r) for r in reports["sin_filas"].collect()}
+    assert ("csfi", ["codigo_entidad"]) in [(r.tabla, r.rechazadas) for r in out["rechazos"].collect()]
+    assert [r.sub_rubro_base for r in out["claves_repetidas"].collect()] == ["Intereses"]
+
+
+def test_other_date_formats(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("fecha,codigo_entidad,clasificacion,total\n31/01/2025,1,x,2\n")
+    with pytest.raises(Exception, match="bad date"):
+        read_staging(spark, f"{tmp_path}/t.csv", CARDS).collect()
+    got = read_staging(spark, f"{tmp_path}/t.csv", CARDS, date_formats=("dd/MM/yyyy",)).collect()
+    assert [r.fecha for r in got] == [date(2025, 1, 31)]
 
 
 def test_views_and_empty_tables(spark):

@@ -9,10 +9,12 @@ from xml.sax.saxutils import escape
 import pytest
 from pyspark.sql import functions as F
 
+from cuota.operators.sheets import missing_sheets, select_sheets
 from cuota.plans.market_share import load_portfolio, open_portfolio
 from cuota.sinks.files import export_sheets, write_manifest
 from cuota.sources.listing import is_valid_file, list_files
-from cuota.sources.workbooks import read_workbooks, workbook_sheets
+from cuota.sinks.tables import write_table
+from cuota.sources.workbooks import read_workbooks, rejected_workbooks, whole_workbooks, workbook_sheets
 from cuota.sources.staging import read_bulletin
 from cuota.specs import CARD_SHEET, CREDIT_SHEET, EXPORTED_FILES
 
@@ -150,3 +152,42 @@ def test_valid_files(spark):
     df = spark.createDataFrame(rows, "path string, size long")
     assert [r[0] for r in df.select(is_valid_file(F.col("path"), F.col("size"))).collect()] == [
         True, True, False, False, False, False]
+
+
+def test_a_damaged_workbook_is_told_and_left_out(spark, folder):
+    whole = (folder / "tabla_de_bancos.xlsx").read_bytes()
+    (folder / "cortado.xlsx").write_bytes(whole[: len(whole) // 2])
+    broken = workbook({CREDIT_SHEET.sheet: credit(5, 5), CARD_SHEET.sheet: [[None, "x"]]})
+    text = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(broken)) as source, zipfile.ZipFile(text, "w") as target:
+        for name in source.namelist():
+            target.writestr(name, source.read(name)[: -20 if name.endswith("sheet2.xml") else None])
+    (folder / "roto.xlsx").write_bytes(text.getvalue())  # its first sheet can be read
+    with pytest.raises(Exception, match="BadZipFile|ParseError"):
+        read_workbooks(spark, f"{folder}/*.xlsx").collect()
+    rows = read_workbooks(spark, f"{folder}/*.xlsx", on_bad_file="reject")
+    told = {r.file.rsplit("/", 1)[1]: r.problem.split(":")[0] for r in rejected_workbooks(rows).collect()}
+    assert told == {"cortado.xlsx": "BadZipFile", "roto.xlsx": "ParseError"}
+    kept = {r.file.rsplit("/", 1)[1] for r in whole_workbooks(rows).select("file").distinct().collect()}
+    assert kept == {"tabla_de_bancos.xlsx", "tabla_de_financieras.xlsx"}
+    load_portfolio(spark, [f"{folder}/*.xlsx"], f"{folder}/rows", f"{folder}/cartera_pf", on_bad_file="reject", scale=2)
+    assert open_portfolio(spark, f"{folder}/cartera_pf").agg(F.sum("monto")).first()[0] == 11 + 20.5 + 14 + 11 + 20.5
+    with pytest.raises(ValueError, match="on_bad_file"):
+        read_workbooks(spark, str(folder), on_bad_file="x")
+
+
+def test_sheets_without_rows_are_seen(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(workbook({"EEFF": [], "EEFF 2": [["k"]]}))
+    sheets = workbook_sheets(read_workbooks(spark, f"{tmp_path}/*.xlsx"))
+    assert [(r.target, r.sheet) for r in select_sheets(sheets).collect()] == [("EEFF", "EEFF")]
+    assert sorted(r.target for r in missing_sheets(sheets).collect()) == ["Credito Sector", "TC"]
+
+
+def test_a_refresh_may_read_what_it_replaces(spark, tmp_path):
+    path = f"{tmp_path}/tabla"
+    table = write_table(spark.range(5), path)
+    assert sorted(r.id for r in write_table(table.select((F.col("id") + 1).alias("id")), path).collect()) == [1, 2, 3, 4, 5]
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_table(broken, path)
+    assert spark.read.parquet(path).count() == 5
