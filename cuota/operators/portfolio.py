@@ -67,6 +67,7 @@ def trailing_share(portfolio: DataFrame, cutoff: Cutoff, *, months: int = WINDOW
         in_window(portfolio, cutoff, months)
         .groupBy(month_start(F.col("fecha")).alias("mes"), "banco", "producto")
         .agg(total(F.col("monto"), scale).alias("monto_mes"))
+        .filter(F.col("mes").isNotNull())  # the join would test it on the totals' side only and part the two uses
     )
     totals = base.groupBy("mes").agg(F.sum("monto_mes").alias("total_mes"))
     # `totals` has `months` rows at most, whatever the input; it reuses the shuffle of `base`. Every month has a total: the
