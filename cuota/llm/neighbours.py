@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 import math
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +26,19 @@ LEAF = 256
 # for the final counts every pair of parts is compared.
 PART = 1024
 ROUNDS = 4
-# About this many vectors are compared with all others; below the recall, more trees are grown and refined.
+# Vectors compared with all others: about AUDIT from the components of 2 to SMALL vectors and AUDIT from the larger ones,
+# all of which have a link; of those without a found link so many that SHOWN of them would turn up if what they miss
+# brought the recall of the small groups down to the limit, but AUDIT at least and AUDIT_MOST at most.
 AUDIT = 256
+AUDIT_MOST = 8192
+SHOWN = 3
+SMALL = 64
+# Below this recall, of the small groups or of the large ones, more trees are grown and refined.
 RECALL = 0.99
 PASSES = 5
 
+_LOG = logging.getLogger(__name__)
+
 _ADDED = ("n_links", "component_id", "kept")
 _OUT = "a bigint, b bigint, cosine double"
 
@@ -162,44 +172,95 @@ def _refine(lists: DataFrame, vectors: DataFrame, turn: int, threshold: float, f
     return _dealt(members, turn, PART).mapInArrow(_compare(threshold, floor), _OUT)
 
 
-def _audit(placed: DataFrame, total: int, threshold: float, audit: int, turn: int) -> tuple[float, DataFrame]:
-    """Recall of a sample of about `audit` vectors against all others, and the links that were missed.
+def _samples(numbers: list[int], audit: int, recall: float) -> list[int]:
+    """How many vectors to audit of those alone, in small and in large components, from how many there are of each."""
+    alone, small, large = numbers
+    # as many missed vectors as would bring the small groups below the recall, if all the missed ones were alone
+    tolerable = max(1.0, (1 - recall) * small)
+    return [min(alone, AUDIT_MOST, max(audit, math.ceil(SHOWN * alone / tolerable))), min(small, audit), min(large, audit)]
+
+
+def _recall(numbers: list[int], sampled: list[list[tuple[int, int]]]) -> float:
+    """The lower of the recalls of small and of large components, each the average over vectors that have a link.
 
-    `placed` has each vector's component. The sample is bounded; all rows are compared with it in blocks, and only those
-    linked with a sample vector of another component leave their task, beside one count per task.
+    `sampled` has (links, missed) of the sampled vectors, alone, in small and in large components. A vector alone that
+    has a link misses all of them; such vectors count as small groups, as often as the sample stands for.
     """
-    chance = F.pmod(F.xxhash64(F.lit(1000 + turn), "node"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1, audit / total)))
-    rows = placed.where(chance).limit(4 * audit).collect()
+    means = [sum(1 - missed / links for links, missed in rows if links) / max(1, sum(links > 0 for links, _ in rows))
+             for rows in sampled]
+    lost = numbers[0] * sum(links > 0 for links, _ in sampled[0]) / max(1, len(sampled[0]))
+    held = numbers[1] if sampled[1] else 0
+    small = means[1] * held / (held + lost) if held + lost else 1.0
+    return min(small, means[2] if sampled[2] else 1.0)
+
+
+def _audit(placed: DataFrame, threshold: float, audit: int, recall: float, turn: int) -> tuple[float, DataFrame]:
+    """Recall of the vectors that have a link, from a sample compared with all others, and the links that were missed.
+
+    `placed` has each vector's component. Vectors alone, in small and in large components are sampled apart, so that a
+    large group, whose vectors have many links, says nothing of the small ones. The samples are bounded; all rows are
+    compared with them in blocks. What leaves a task is two counts per sampled vector and, of the missed links, one for
+    each sampled vector and foreign component of a block, which connects the same.
+    """
+    sizes = placed.groupBy("component").agg(F.count("*").alias("_n"))
+    kind = F.when(F.col("_n") == 1, 0).when(F.col("_n") <= SMALL, 1).otherwise(2)
+    known_sizes = sizes.withColumn("_kind", kind)
+    per_kind = {r["_kind"]: int(r["n"]) for r in known_sizes.groupBy("_kind").agg(F.sum("_n").alias("n")).collect()}
+    numbers = [per_kind.get(k, 0) for k in range(3)]
+    wanted = _samples(numbers, audit, recall)
+    share = F.element_at(F.array(*[F.lit(int((1 << 30) * w / max(1, n))) for w, n in zip(wanted, numbers)]),
+                         F.col("_kind") + 1)
+    chance = F.pmod(F.xxhash64(F.lit(1000 + turn), "node"), F.lit(1 << 30)) < share
+    chosen = placed.join(known_sizes.select("component", "_kind"), "component").where(chance)
+    rows = chosen.limit(2 * sum(wanted) + 1000).select("node", "component", "vec", "_kind").collect()
     sample = placed.sparkSession.sparkContext.broadcast(
         [(r["node"], r["component"], np.asarray(r["vec"], np.float64)) for r in rows])
+    names = ["a", "b", "links", "missed"]
 
     def compare(batches):
-        links = missed = 0
         by_length: dict[int, list] = {}
         for node, component, vec in sample.value:
             by_length.setdefault(len(vec), []).append((node, component, vec))
+        known = {length: (np.array([k[0] for k in own], np.int64), np.array([k[1] for k in own], np.int64),
+                          units(np.stack([k[2] for k in own]))) for length, own in by_length.items()}
+        links = {length: np.zeros((2, len(own)), np.int64) for length, own in by_length.items()}
         for batch in batches:
             lengths = np.diff(np.asarray(batch.column("vec").offsets))
-            for length, known in by_length.items():
+            for length, (nodes, places, own) in known.items():
                 mine = batch.take(pa.array(np.flatnonzero(lengths == length)))
-                for start in range(0, mine.num_rows, 4096):
-                    block = mine.slice(start, 4096)
-                    near = units(_matrix(block.column("vec"))) @ units(np.stack([k[2] for k in known])).T >= threshold
+                step = max(1, (1 << 22) // len(nodes))
+                for start in range(0, mine.num_rows, step):
+                    block = mine.slice(start, step)
+                    near = units(_matrix(block.column("vec"))) @ own.T >= threshold
                     node, place = block.column("node").to_numpy(), block.column("component").to_numpy()
-                    near &= node[:, None] != np.array([k[0] for k in known])
-                    lost = near & (place[:, None] != np.array([k[1] for k in known]))
-                    links, missed = links + int(near.sum()), missed + int(lost.sum())
+                    near &= node[:, None] != nodes
+                    lost = near & (place[:, None] != places)
+                    links[length] += np.stack([near.sum(axis=0), lost.sum(axis=0)])
                     a, b = np.nonzero(lost)
+                    _, first = np.unique(np.stack([place[a], b]), axis=1, return_index=True)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(node[a]), pa.array(np.array([known[i][0] for i in b], np.int64)),
-                         pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64())], ["a", "b", "links", "missed"])
-        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([links]),
-                                          pa.array([missed])], ["a", "b", "links", "missed"])
+                        [pa.array(node[a[first]]), pa.array(nodes[b[first]]), pa.nulls(len(first), pa.int64()),
+                         pa.nulls(len(first), pa.int64())], names)
+        for length, (nodes, _, _) in known.items():
+            some = np.flatnonzero(links[length][0])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(some), pa.int64()), pa.array(nodes[some]),
+                                              *[pa.array(n[some]) for n in links[length]]], names)
 
     result = stored(placed.select("node", "component", "vec").mapInArrow(
         compare, "a bigint, b bigint, links bigint, missed bigint"), "neighbours-audit")
-    links, missed = result.agg(F.sum("links"), F.sum("missed")).first()
-    return (1 - (missed or 0) / links if links else 1.0), result.where("a is not null").select("a", "b")
+    counted = result.where("a is null").groupBy("b").agg(F.sum("links").alias("links"), F.sum("missed").alias("missed"))
+    found = {r["b"]: (r["links"], r["missed"]) for r in counted.collect()}
+    sampled = [[found.get(r["node"], (0, 0)) for r in rows if r["_kind"] == k] for k in range(3)]
+    reached = _recall(numbers, sampled)
+    _LOG.info("recall %.5f, vectors alone, in small, in large components: %s, sampled %s", reached, numbers,
+              [len(s) for s in sampled])
+    return reached, result.where("a is not null").select("a", "b")
+
+
+def _placed(vectors: DataFrame, links: DataFrame) -> DataFrame:
+    """`vectors` with the `component` of each, its own `node` if it has no link."""
+    return stored(vectors.join(components(links), "node", "left")
+                  .withColumn("component", F.coalesce("component", "node")), "neighbours-placed")
 
 
 def _counts(placed: DataFrame, threshold: float) -> DataFrame:
@@ -243,9 +304,10 @@ def near_vectors(df: DataFrame, *, id: str = "vec_id", vec: str = "embedding", t
     Equal vectors are folded. A forest of random trees gives the first neighbour lists; rounds of NN-descent compare the
     neighbours of neighbours until the lists stand still, lists full of links getting twice the room. What a group finds
     linked is also kept as spanning links, so lists need not hold a large group of copies. The components of these links
-    are audited: about `AUDIT` vectors against all. Below `recall`, what was missed is added and more trees are grown, at
-    most `passes` times. Links are then counted exactly, in double precision, among all pairs of each component; a pair
-    below the threshold never counts.
+    are audited: bounded samples of the vectors alone, in small and in large components against all. What was missed is
+    added. Below `recall`, the average over vectors that have a link, of small or of large groups, more trees are grown,
+    at most `passes` times; a `RuntimeWarning` tells if the last time was below it too. Links are then counted exactly, in
+    double precision, among all pairs of each component; a pair below the threshold never counts.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do vectors of
     different lengths with each other, nor rows with a null id (their `component_id` is null; they are kept). Rows that
@@ -285,13 +347,17 @@ def near_vectors(df: DataFrame, *, id: str = "vec_id", vec: str = "embedding", t
             found = held.select("a", F.col("_n.id").alias("b"), (-F.col("_n.far")).alias("cosine")).unionAll(more)
         links = stored(links.unionAll(found.where("cosine is null").select("a", "b")).distinct(), "neighbours-links")
         found = found.where("cosine is not null")
-        tied = components(links)
-        placed = stored(vectors.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node")),
-                        "neighbours-placed")
-        reached, missed = _audit(placed, total, threshold, AUDIT, number)
+        placed = _placed(vectors, links)
+        reached, missed = _audit(placed, threshold, AUDIT, recall, number)
+        if not missed.isEmpty():
+            links = links.unionAll(missed)
+            placed = _placed(vectors, links)
         if reached >= recall:
             break
-        links = links.unionAll(missed)
+    else:
+        if placed is not None:
+            warnings.warn(f"near_vectors: recall {reached:.4f} after {passes} passes, {recall} is asked for",
+                          RuntimeWarning, stacklevel=2)
     if placed is None:
         return rest.select(*kept, F.lit(0).cast("long").alias("n_links"), F.col(id).alias("component_id"),
                            F.lit(True).alias("kept"))

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 import xxhash
@@ -171,6 +172,43 @@ def test_near_vectors_with_a_large_group(spark, monkeypatch):
     assert neighbours.near_vectors(df.limit(0)).count() == 0
 
 
+def _near_pairs(spark, random_numbers, copies, pairs, dims=32):
+    """A group of near copies and isolated pairs of cosine about 0.97 or more, as (vec_id, embedding)."""
+    centre = random_numbers.standard_normal(dims)
+    data = [centre + 0.1 * random_numbers.standard_normal(dims) for _ in range(copies)]
+    for _ in range(pairs):
+        first = random_numbers.standard_normal(dims)
+        data += [first, first + 0.15 * random_numbers.standard_normal(dims)]
+    return spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)],
+                                 "vec_id long, embedding array<double>")
+
+
+def test_audit_sees_small_groups_beside_a_large_one(spark, monkeypatch):
+    """The search finds the large group and no pair: the audit must say so, add what it found and tell."""
+    monkeypatch.setattr(neighbours, "ROUNDS", 0)
+    monkeypatch.setattr(neighbours, "_compare", _only_large(neighbours._compare))
+    df = _near_pairs(spark, np.random.default_rng(3), 200, 40)
+    with pytest.warns(RuntimeWarning, match="recall 0.0000"):
+        rows = neighbours.near_vectors(df, passes=1).collect()
+    assert all(r["n_links"] == (199 if r["vec_id"] < 200 else 1) for r in rows)
+    assert neighbours._recall([80, 0, 200], [[(1, 1)] * 80, [], [(199, 0)] * 200]) == 0
+    assert neighbours._recall([5000, 100, 0], [[(0, 0)] * 999 + [(1, 1)], [(1, 0)] * 100, []]) == pytest.approx(100 / 105)
+    assert neighbours._samples([3000, 1000, 10**6], 256, 0.99) == [900, 256, 256]
+
+
+def _only_large(compare):
+    """`_compare` that loses what no large group links."""
+    def changed(*args):
+        def run(batches):
+            for batch in compare(*args)(batches):
+                a = batch.column(0).to_numpy()
+                spanning = batch.column(2).is_null().to_numpy(zero_copy_only=False)
+                values, counts = np.unique(a[spanning], return_counts=True)
+                yield batch.filter(pa.array(spanning & np.isin(a, values[counts > 1])))
+        return run
+    return changed
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(i, 7) for i in range(1, 7)] + [(9, 9)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
