@@ -17,11 +17,12 @@ from cuota.llm.components import components
 THRESHOLD = 0.95
 # Neighbours a vector's list holds at first; the list of a vector doubles when all of it is above the threshold.
 LIST = 16
-# Neighbours below this cosine are not kept: what is so far off rarely leads to a vector within the threshold.
-FLOOR = 0.8
-# First graph: random trees, each cutting the vectors into leaves of about LEAF by the sides of random planes.
+# First graph: random trees, each cutting the vectors into leaves of about LEAF by the sides of random planes. TREES at
+# least; the deeper they are, the more of them, so that a pair at the threshold shares no leaf with a chance of at most
+# MISS. (A leaf of more than PART vectors is dealt out, so pairs near a large group may still miss each other there.)
 TREES = 8
 LEAF = 256
+MISS = 0.005
 # No task compares more than this many vectors at once. Larger groups are dealt out over parts, another way each time;
 # for the final counts every pair of parts is compared.
 PART = 1024
@@ -87,20 +88,31 @@ def _spanning(cosines: np.ndarray, threshold: float) -> list[tuple[int, int]]:
     return links
 
 
-def _compare(threshold: float, floor: float):
-    """Per group: for each row the best others above the floor (as many as its list may hold), and spanning links. The
-    latter are rows with a null cosine."""
+def _forest(total: int, threshold: float, least: int) -> tuple[int, int]:
+    """Planes per tree and number of trees for `total` vectors."""
+    bits = min(60, max(0, math.ceil(math.log2(total / LEAF))))
+    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits  # chance of a pair to share a leaf
+    return bits, least if together >= 1 else max(least, math.ceil(math.log(MISS) / math.log1p(-together)))
+
+
+def _compare(threshold: float):
+    """Per group: for each row the best others (as many as its list may hold, and closer than `worst`), and spanning
+    links. The latter are rows with a null cosine."""
     def run(batches):
         for _, table in _groups(batches, 2):
             table = table.combine_chunks()
             node = table["node"].to_numpy()
             if len(node) < 2:
                 continue
-            limit = table["most"].to_numpy()
+            limit, worst = table["most"].to_numpy(), table["worst"].to_numpy()
             own = units(_matrix(table["vec"].chunk(0)))
             cosines = own @ own.T
             np.fill_diagonal(cosines, -2)
-            a, b = np.nonzero(cosines >= floor)
+            entering = cosines > np.maximum(worst, -1.5)[:, None]
+            room = int(limit.max())
+            if room < len(node) - 1:  # those that are no longer among the first `room` of their row need no sorting
+                entering &= cosines >= np.partition(cosines, len(node) - room, axis=1)[:, len(node) - room, None]
+            a, b = np.nonzero(entering)
             order = np.lexsort((node[b], -cosines[a, b], a))
             a, b = a[order], b[order]
             rank = np.arange(len(a)) - np.searchsorted(a, a)
@@ -122,7 +134,7 @@ def _dealt(members: DataFrame, turn: int, part: int) -> DataFrame:
     parts = F.ceil(F.col("_n") / part)
     number = F.coalesce(F.pmod(F.xxhash64(F.lit(turn), "node"), parts), F.lit(0))
     return (members.join(sizes, "_group", "left").withColumn("_part", number)
-            .select("_group", "_part", "node", "most", "vec").repartition("_group", "_part")
+            .select("_group", "_part", "node", "most", "worst", "vec").repartition("_group", "_part")
             .sortWithinPartitions("_group", "_part", "node"))
 
 
@@ -146,11 +158,13 @@ def _leaves(vectors: DataFrame, bits: int, trees: int, turn: int) -> DataFrame:
     kind = vectors.schema["vec"].dataType.simpleString()
     coded = vectors.select("node", "vec").mapInArrow(sides, f"node bigint, vec {kind}, _leaves array<bigint>")
     apart = coded.select("node", "vec", F.posexplode("_leaves").alias("_tree", "_leaf"))
-    return apart.select(F.xxhash64("_tree", "_leaf", F.size("vec")).alias("_group"), "node", F.lit(LIST).alias("most"), "vec")
+    return apart.select(F.xxhash64("_tree", "_leaf", F.size("vec")).alias("_group"), "node", F.lit(LIST).alias("most"),
+                        F.lit(-2.0).alias("worst"), "vec")
 
 
 def _lists(found: DataFrame, threshold: float, limit: DataFrame | None) -> DataFrame:
-    """(`node`, `most`, `near`): each vector's best neighbours, and twice the room for those whose list is saturated."""
+    """(`node`, `most`, `worst`, `near`): each vector's best neighbours, however far they are, twice the room for those
+    whose list is full of links, and the cosine that a new neighbour must exceed."""
     room = F.lit(LIST) if limit is None else F.coalesce("_room", F.lit(LIST))
     lists = found.where("cosine is not null").groupBy(F.col("a").alias("node")).agg(
         F.collect_set(F.struct((-F.col("cosine")).alias("far"), F.col("b").alias("id"))).alias("_all"))
@@ -158,18 +172,20 @@ def _lists(found: DataFrame, threshold: float, limit: DataFrame | None) -> DataF
         lists = lists.join(limit, "node", "left")
     cut = lists.select("node", room.alias("most"), F.slice(F.array_sort("_all"), F.lit(1), room).alias("near"))
     saturated = (F.size("near") >= F.col("most")) & (F.element_at("near", -1)["far"] <= -threshold)
-    return cut.select("node", F.when(saturated, 2 * F.col("most")).otherwise(F.col("most")).alias("most"), "near")
+    worst = F.when(~saturated & (F.size("near") >= F.col("most")), -F.element_at("near", -1)["far"]).otherwise(F.lit(-2.0))
+    return cut.select("node", F.when(saturated, 2 * F.col("most")).otherwise(F.col("most")).alias("most"),
+                      worst.alias("worst"), "near")
 
 
-def _refine(lists: DataFrame, vectors: DataFrame, turn: int, threshold: float, floor: float) -> DataFrame:
+def _refine(lists: DataFrame, vectors: DataFrame, turn: int, threshold: float) -> DataFrame:
     """Neighbours of neighbours: around each vector, those on its list and those that list it are compared."""
     pairs = lists.select("node", F.explode("near.id").alias("_other"))
     around = (pairs.select(F.col("node").alias("_group"), F.col("_other").alias("node"))
               .unionAll(pairs.select(F.col("_other").alias("_group"), "node"))
               .unionAll(lists.select(F.col("node").alias("_group"), "node")).distinct())
-    members = (around.join(lists.select("node", "most"), "node", "left").join(vectors.select("node", "vec"), "node")
-               .withColumn("most", F.coalesce("most", F.lit(LIST))))
-    return _dealt(members, turn, PART).mapInArrow(_compare(threshold, floor), _OUT)
+    members = (around.join(lists.select("node", "most", "worst"), "node", "left").join(vectors.select("node", "vec"), "node")
+               .withColumn("most", F.coalesce("most", F.lit(LIST))).withColumn("worst", F.coalesce("worst", F.lit(-2.0))))
+    return _dealt(members, turn, PART).mapInArrow(_compare(threshold), _OUT)
 
 
 def _samples(numbers: list[int], audit: int, recall: float) -> list[int]:
@@ -301,7 +317,8 @@ def near_vectors(df: DataFrame, *, id: str = "vec_id", vec: str = "embedding", t
                  trees: int = TREES, recall: float = RECALL, passes: int = PASSES) -> DataFrame:
     """Every row of `df` with `n_links`, `component_id` and `kept`: vectors of cosine `threshold` or more are linked.
 
-    Equal vectors are folded. A forest of random trees gives the first neighbour lists; rounds of NN-descent compare the
+    Equal vectors are folded. A forest of random trees, `trees` at least and more for more vectors, gives the first
+    neighbour lists, which hold the nearest however far they are; rounds of NN-descent compare the
     neighbours of neighbours until the lists stand still, lists full of links getting twice the room. What a group finds
     linked is also kept as spanning links, so lists need not hold a large group of copies. The components of these links
     are audited: bounded samples of the vectors alone, in small and in large components against all. What was missed is
@@ -329,19 +346,20 @@ def near_vectors(df: DataFrame, *, id: str = "vec_id", vec: str = "embedding", t
     links = spark.createDataFrame([], "a bigint, b bigint")
     found, limit, placed = None, None, None
     for number in range(passes if total else 0):
-        bits = min(60, max(0, math.ceil(math.log2(total / LEAF))))
-        grown = _dealt(_leaves(vectors, bits, trees, number), number, PART)
-        new = stored(grown.mapInArrow(_compare(threshold, FLOOR), _OUT), "neighbours-trees")
+        bits, grown_trees = _forest(total, threshold, trees)
+        grown = _dealt(_leaves(vectors, bits, grown_trees, number), number, PART)
+        new = stored(grown.mapInArrow(_compare(threshold), _OUT), "neighbours-trees")
         found = new if found is None else found.unionAll(new)
         before = None
         for turn in range(ROUNDS):
             lists = stored(_lists(found, threshold, limit), "neighbours-lists")
             limit = lists.select("node", F.col("most").alias("_room"))
-            state = lists.agg(F.sum(F.size("near")), F.sum("most")).first()
+            state = lists.agg(F.sum(F.size("near")), F.sum("most"),
+                              F.sum(F.xxhash64("node", "near.id").cast("decimal(38,0)"))).first()
             if state == before or not state[0]:
                 break
             before = state
-            more = stored(_refine(lists, vectors, 100 * number + turn, threshold, FLOOR), "neighbours-refined")
+            more = stored(_refine(lists, vectors, 100 * number + turn, threshold), "neighbours-refined")
             links = links.unionAll(found.where("cosine is null").select("a", "b"))
             held = lists.select(F.col("node").alias("a"), F.explode("near").alias("_n"))
             found = held.select("a", F.col("_n.id").alias("b"), (-F.col("_n.far")).alias("cosine")).unionAll(more)

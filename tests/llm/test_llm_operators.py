@@ -209,6 +209,21 @@ def _only_large(compare):
     return changed
 
 
+@pytest.mark.parametrize("total", [1, 300, 59_000, 3_500_000, 10**9])
+def test_enough_trees_at_every_size(total):
+    bits, trees = neighbours._forest(total, 0.95, neighbours.TREES)
+    apart = 1 - (1 - np.arccos(0.95) / np.pi) ** bits
+    assert trees >= neighbours.TREES and apart ** trees <= neighbours.MISS
+
+
+def test_lists_hold_the_nearest_however_far():
+    vectors = [[1.0, 0.0], [0.0, 1.0], [-1.0, 0.2]]
+    table = pa.RecordBatch.from_pydict({"_group": [1] * 3, "_part": [0] * 3, "node": [0, 1, 2], "most": [1] * 3,
+                                        "worst": [-2.0, -2.0, 0.5], "vec": vectors})
+    rows = [r for b in neighbours._compare(0.95)([table]) for r in b.to_pylist()]
+    assert sorted((r["a"], r["b"]) for r in rows) == [(0, 1), (1, 2)]
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(i, 7) for i in range(1, 7)] + [(9, 9)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
