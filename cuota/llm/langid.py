@@ -18,10 +18,11 @@ SAMPLE_PER_LANG = 500
 MAX_LANGS = 256
 CENTROIDS = 4
 DIMENSIONS = 16384
-# A text is rejected if its cosine to the nearest centroid is below this share of the lowest that the language's own
-# sample shows at about the same number of n-grams. A length class with fewer texts than FLOOR_TEXTS in the sample has
-# no floor: too little is known of it to reject anything.
+# A text is rejected if its cosine to the nearest centroid is below this share of a low quantile of the cosines that the
+# language's labelled texts of about the same number of n-grams have to centroids fitted without them. A length class
+# with fewer than FLOOR_TEXTS texts is filled with longer ones, thinned to such a length.
 FLOOR_SHARE = 0.25
+FLOOR_QUANTILE = 0.05
 FLOOR_TEXTS = 20
 # Upper ends of the classes of text length, in n-grams, with a floor each.
 LENGTHS = (8, 32, 128, 512)
@@ -96,11 +97,38 @@ def cluster(vectors: np.ndarray, count: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
-def _floors(near: np.ndarray, grams: np.ndarray) -> list[float]:
-    """Per length class, the cosine below which a text is too far from every centroid."""
-    classes = np.searchsorted(LENGTHS, grams)
-    own = [near[classes == c] for c in range(len(LENGTHS) + 1)]
-    return [FLOOR_SHARE * float(n.min()) if len(n) >= FLOOR_TEXTS else 0.0 for n in own]
+def _thinned(counts: np.ndarray, grams: int, random: np.random.Generator) -> np.ndarray:
+    """`grams` of the n-grams that a row counts, drawn without putting back."""
+    places = np.repeat(np.flatnonzero(counts), counts[counts > 0].astype(np.int64))
+    return np.bincount(random.choice(places, grams, replace=False), minlength=len(counts)).astype(counts.dtype)
+
+
+def _floors(counts: np.ndarray, idf: np.ndarray, centroids: int) -> list[float]:
+    """Per length class, the cosine below which a text is too far from every centroid.
+
+    Each half of the texts is measured against centroids of the other half. A class that is sparse, with no longer texts
+    to thin, takes the floor of the class below it; a single text has nothing to be measured against, and no floor.
+    """
+    if len(counts) < 2:
+        return [0.0] * (len(LENGTHS) + 1)
+    random, halves = np.random.default_rng(0), np.arange(len(counts)) % 2
+    centres = [cluster(_unit(counts[halves != h] * idf), centroids) for h in range(2)]
+    grams, floors = counts.sum(axis=1), []
+    low = [1, *(n + 1 for n in LENGTHS)]
+    for c, least in enumerate(low):
+        own = np.flatnonzero(np.searchsorted(LENGTHS, grams) == c)
+        rows, sides = [counts[i] for i in own], halves[own].tolist()
+        longer = np.flatnonzero(grams > LENGTHS[c]) if c < len(LENGTHS) else own[:0]
+        if len(own) < FLOOR_TEXTS:
+            for i in random.permutation(longer)[:10 * FLOOR_TEXTS]:
+                rows.append(_thinned(counts[i], int(random.integers(least, LENGTHS[c] + 1)), random))
+                sides.append(halves[i])
+        if not rows or len(rows) < FLOOR_TEXTS and floors and not len(longer):
+            floors.append(floors[-1] if floors else 0.0)
+            continue
+        near = [float((centres[h] @ v).max()) for v, h in zip(_unit(np.stack(rows) * idf), sides)]
+        floors.append(FLOOR_SHARE * float(np.quantile(near, FLOOR_QUANTILE)))
+    return floors
 
 
 def fit_languages(df: DataFrame, *, text: str = "text", lang: str = "lang", id: str = "doc_id",
@@ -151,7 +179,7 @@ def fit_languages(df: DataFrame, *, text: str = "text", lang: str = "lang", id:
             counts[i, places] = values
         vectors = _unit(counts * idf)
         centres = cluster(vectors, centroids)
-        floors = _floors((vectors @ centres.T).max(axis=1), counts.sum(axis=1))
+        floors = _floors(counts, idf, centroids)
         return rows.head(1)[["lang"]].merge(_frame(centres, floors), how="cross")
 
     def _frame(centres, floors):
@@ -172,8 +200,8 @@ def identify_languages(df: DataFrame, model: LanguageModel, *, text: str = "text
     """Every row of `df` with `lang_pred`, `score` (cosine to the nearest centroid, 0 to 1) and `rejected`.
 
     Only the text decides. A text that is null or has no letter is `und`, with score 0, and rejected; any other gets the
-    language of the nearest centroid, and is rejected if even that is much farther away than the language's own
-    sample ever was at such a length. Ties go to the language first in order. Each row gives one row, repeated ones too; an empty
+    language of the nearest centroid, and is rejected if even that is farther away than nearly all of the
+    language's labelled texts of such a length are from centroids fitted without them. Ties go to the language first in order. Each row gives one row, repeated ones too; an empty
     table gives an empty result. Columns of `df` named like the added ones are replaced.
     """
     ship(df.sparkSession)

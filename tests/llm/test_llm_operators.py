@@ -97,6 +97,26 @@ def test_language_of_odd_texts(spark, odd, documents):
     assert langid.identify_languages(odd.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("unlearned", ["de", "fr"])
+def test_unlearned_language_in_a_learned_script(spark, unlearned):
+    """Also with wrong labels in the sample, what no label names is rejected and clean held-out texts are not."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    wrong = spark.createDataFrame([(10**9 + i, "Привет как дела " * 40, "en") for i in range(4)], docs.schema)
+    model = langid.fit_languages(docs.where(F.col("lang") != unlearned).unionAll(wrong), usable=~langid.held_out())
+    rows = langid.identify_languages(docs.where(langid.held_out()), model).collect()
+    far = [r["rejected"] for r in rows if r["lang"] == unlearned]
+    near = [r["rejected"] for r in rows if r["lang"] != unlearned]
+    assert sum(far) >= 0.9 * len(far) > 0 and sum(near) <= 0.01 * len(near)
+    noise = random.Random(1)
+    assert model.predict(" ".join("".join(noise.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(60)))[2]
+
+
+def test_floors_of_sparse_length_classes():
+    counts = np.stack([langid.gram_counts(f"some words of a text number {i} " * 20) for i in range(30)]).astype(np.float32)
+    floors = langid._floors(counts, np.ones(langid.DIMENSIONS, np.float32), 2)
+    assert len(floors) == len(langid.LENGTHS) + 1 and min(floors) > 0
+
+
 def test_grams_do_not_depend_on_slices(monkeypatch):
     text = "".join(random.Random(1).choices("abc é.\n漢", k=500))
     whole = langid.gram_counts(text)
