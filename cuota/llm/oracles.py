@@ -117,4 +117,100 @@ SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(reached) AS component_i
 FROM reach LEFT JOIN counts ON a = vec_id GROUP BY vec_id
 """
 
-ORACLES = {"op4_near_vectors": _OP4, "op3_warc_captures": _OP3, "op2_exact_dedup": _OP2, "op9_secret_scan": _OP9, "op10_mix_sources": _OP10}
+_OP12 = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id FROM documents),
+marked AS (
+  SELECT part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+         100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * len(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+         doc_id > first_id AS e,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = texts.doc_id AND quality = 1) AS good,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = texts.doc_id AND toxic = 1) AS toxic FROM texts),
+counted AS (
+  SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+         || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN coalesce(e, false) THEN 'E' ELSE '' END) AS fails, count(*) AS n,
+         count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM marked GROUP BY ALL),
+orders AS (
+  SELECT v.x || w.x || x.x || y.x || z.x AS filter_order
+  FROM (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) v, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) w,
+       (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) x, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) y,
+       (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) z
+  WHERE len(list_distinct([v.x, w.x, x.x, y.x, z.x])) = 5),
+placed AS (
+  SELECT c.part, o.filter_order, s.step, o.filter_order[s.step] AS f, c.fails, n, good, toxic,
+         len(regexp_replace(c.fails, '[^' || substr(o.filter_order, 1, s.step) || ']', '', 'g')) > 0 AS gone,
+         s.step > 1 AND len(regexp_replace(c.fails, '[^' || substr(o.filter_order, 1, s.step - 1) || '_]', '', 'g')) > 0
+         AS gone_before
+  FROM counted c, orders o, (SELECT unnest(range(1, 6)) AS step) s),
+steps AS (
+  SELECT part, filter_order, step, f, sum(CASE WHEN NOT gone THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN gone AND NOT gone_before THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN contains(fails, f) AND gone_before THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN gone AND NOT gone_before THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN gone AND NOT gone_before THEN toxic ELSE 0 END) AS toxic_lost
+  FROM placed GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM steps
+"""
+
+# CRC-32 of the decimal id, byte by byte; each byte's eight shifts are undone one by one.
+_CRC = """xor(list_reduce(list_transform(range(1, len({0}) + 1), lambda i: ord({0}[i]))::BIGINT[],
+    lambda crc, byte: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[], lambda c, bit: CASE WHEN c % 2 = 1
+      THEN xor(c // 2, 3988292384) ELSE c // 2 END, xor(crc, byte)), 4294967295), 4294967295)"""
+
+_OP13 = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, crc % 7 = 0 AS hit, n_chars,
+         octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id
+         || coalesce(octet_length(encode(source)) || ':' || source, '-')
+         || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS head,
+         coalesce(octet_length(encode(text)) || ':' || text, '-') AS tail
+  FROM (SELECT *, CRC_OF_ID AS crc FROM documents)),
+leaves AS (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS place,
+         sha256(head || coalesce(len(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+         CASE WHEN hit THEN sha256(head || coalesce(len((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END
+           AS tampered FROM fields),
+lower_levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM leaves GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range((len(nodes) + 1) // 2), lambda i:
+         sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM lower_levels WHERE len(nodes) > 1),
+subroots AS (
+  SELECT lang, nodes[1] AS subroot, level AS height, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place
+  FROM lower_levels WHERE len(nodes) = 1),
+upper_levels AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range((len(nodes) + 1) // 2), lambda i:
+         sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], ''))) FROM upper_levels WHERE len(nodes) > 1),
+sides AS (
+  SELECT l.doc_id, t.level, (l.place >> t.level) % 2 = 1 AS second,
+         coalesce(t.nodes[xor(l.place >> t.level, 1) + 1], '') AS sibling
+  FROM leaves l JOIN lower_levels t ON l.lang IS NOT DISTINCT FROM t.lang WHERE len(t.nodes) > 1
+  UNION ALL
+  SELECT l.doc_id, s.height + u.level, (s.place >> u.level) % 2 = 1,
+         coalesce(u.nodes[xor(s.place >> u.level, 1) + 1], '')
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang, upper_levels u WHERE len(u.nodes) > 1),
+proofs AS (
+  SELECT doc_id, list(CASE WHEN second THEN sibling ELSE '' END ORDER BY level) AS lefts,
+         list(CASE WHEN second THEN '' ELSE sibling END ORDER BY level) AS rights FROM sides GROUP BY doc_id),
+folds AS (
+  SELECT doc_id, 0 AS level, coalesce(tampered, leaf) AS node FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.level + 1, sha256(p.lefts[f.level + 1] || f.node || p.rights[f.level + 1])
+  FROM folds f JOIN proofs p USING (doc_id) WHERE f.level < len(p.lefts))
+SELECT l.doc_id, l.leaf, s.subroot, u.nodes[1] AS root,
+       sha256(coalesce(array_to_string(list_transform(p.lefts, lambda x, i: x || p.rights[i]), ''), '')) AS proof_sha256,
+       f.node AS folded_root, f.node = u.nodes[1] AS verified
+FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang JOIN upper_levels u ON len(u.nodes) = 1
+LEFT JOIN proofs p ON p.doc_id = l.doc_id JOIN folds f ON f.doc_id = l.doc_id AND f.level = coalesce(len(p.lefts), 0)
+""".replace("CRC_OF_ID", _CRC.format("(doc_id::VARCHAR)"))
+
+ORACLES = {"op4_near_vectors": _OP4, "op3_warc_captures": _OP3, "op2_exact_dedup": _OP2, "op9_secret_scan": _OP9,
+           "op10_mix_sources": _OP10, "op12_filter_audit": _OP12, "op13_merkle_manifest": _OP13}

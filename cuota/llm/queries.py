@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from cuota.llm.bpe import bpe_decode, bpe_encode, ids_sha256
 from cuota.llm.exact_dedup import exact_dedup
+from cuota.llm.filter_audit import audit_documents
 from cuota.llm.langid import fit_languages, held_out, identify_languages
+from cuota.llm.merkle import fold, leaf_digest, merkle_manifest, siblings
 from cuota.llm.mixing import mix_sources
 from cuota.llm.neighbours import near_vectors
+from cuota.llm.packing import ids_crc32 as packed_crc32
+from cuota.llm.packing import pack_documents
 from cuota.llm.secrets import scan_secrets
 from cuota.llm.simhash import simhash_groups
 from cuota.llm.token_files import ids_crc32, read_token_files, write_token_files
@@ -98,3 +102,27 @@ def _(spark, sf):
 @query("op10_mix_sources")
 def _(spark, sf):
     return mix_sources(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_pack_documents")
+def _(spark, sf):
+    packed = pack_documents(_table(spark, sf, "documents"))
+    return packed.select("doc_id", "start", "length", packed_crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
+@query("op12_filter_audit")
+def _(spark, sf):
+    return audit_documents(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+@query("op13_merkle_manifest")
+def _(spark, sf):
+    """Rows of every seventh checksum are tampered with: their leaf, remade from one character more, must not verify."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    columns = [F.col(c) for c in ("doc_id", "source", "lang")]
+    tampered = F.when(hit, leaf_digest(*columns, F.col("n_chars") + 1, F.col("text")))
+    proven = merkle_manifest(_table(spark, sf, "documents"), carry={"tampered": tampered})
+    folded = proven.withColumn("folded_root", fold(F.col("sides"), F.coalesce("tampered", "leaf")))
+    return folded.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("sides")), 256).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
