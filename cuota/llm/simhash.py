@@ -66,6 +66,10 @@ class LinkTree:
             node = owner[node]
         return node
 
+    def tie(self, node: int, new: int) -> None:
+        a, b = self._root(node), self._root(new)
+        self.owner[max(a, b)] = min(a, b)
+
     def add(self, point: int) -> None:
         new, radius, stack = len(self.points), self.radius, [0]
         self.points.append(point)
@@ -78,8 +82,7 @@ class LinkTree:
             distance = (point ^ self.points[node]).bit_count()
             low, high = distance - radius, distance + radius
             if distance <= radius:
-                a, b = self._root(node), self._root(new)
-                self.owner[max(a, b)] = min(a, b)
+                self.tie(node, new)
                 low = radius + 1
             stack += [child for edge, child in self.children[node].items() if low <= edge <= high]
         node = 0
@@ -182,12 +185,3 @@ def simhash_groups(df: DataFrame, *, text: str = "text", id: str = "doc_id", sha
     joined = own.join(by_point, F.col("_point") == F.col("_p"))
     return joined.select(F.col(id), F.lpad(F.lower(F.hex("_point")), 16, "0").alias("fingerprint"), "component_id",
                          F.col(id).eqNullSafe(F.col("component_id")).alias("kept"))
-
-
-def simhash_dedup(df: DataFrame, *, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """`df` with one document of each group of near duplicates: the one with the smallest id. Other columns of `df`, with
-    whatever names, stay as they are."""
-    groups = simhash_groups(df.select(F.col(id), F.col(text)), text=text, id=id)
-    dropped = groups.where("not kept").select(F.col(id).alias("_dropped")).where("_dropped is not null").distinct()
-    dropped = stored(dropped, "simhash-dropped")
-    return df.join(dropped, df[id] == dropped["_dropped"], "left_anti")

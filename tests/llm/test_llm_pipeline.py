@@ -1,7 +1,7 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
 import regex
-from test_llm_operators import linked, slow_fingerprint
+from test_llm_near_texts import groups_of
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -26,10 +26,8 @@ def test_stages_and_run(spark):
         first.setdefault(regex.sub(r"[\x20\x09-\x0D]+", " ", rows[i]["text"]), i)
     assert {r["doc_id"] for r in single.collect()} == set(first.values())
 
-    apart = stages["simhash_dedup"](spark, single, SF)
-    ids = sorted(first.values())
-    owner = linked([slow_fingerprint(rows[i]["text"]) for i in ids])
-    left = {i for n, i in enumerate(ids) if owner[n] == n}
+    apart = stages["near_dedup"](spark, single, SF)
+    left = set(groups_of({i: rows[i]["text"] for i in first.values()}).values())
     assert {r["doc_id"] for r in apart.collect()} == left and apart.columns == docs.columns
 
     mixed = stages["mix_sources"](spark, apart, SF)
