@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuota.llm.common import SPACES, stored, text_or_empty, without
 
-# Bits of each of the filter's two slices. The filter is broadcast as 64-bit words, so it never exceeds FILTER_BITS / 64
-# rows a slice (262,144 rows, about 8 MB) however large the input. A full filter costs shuffled rows, never results.
-FILTER_BITS = 1 << 24
+# Bits of each of the filter's two slices per row, at least. A row that repeats no other is a suspect where both of its
+# positions are taken: with a chance of at most (1 - exp(-1 / LOAD)) ** 2, 0.4 %, whatever the number of rows.
+LOAD = 16
+LEAST_BITS = 1 << 16
+# A filter of up to this many bits a slice (2^20 rows of 64 bits) is broadcast. A larger one is joined on its words.
+BROADCAST_BITS = 1 << 26
 
 _WORD_BITS = 64
 _ADDED = ("keep_id", "group_size", "kept", "text_sha256")
@@ -20,13 +25,17 @@ def normalised_sha256(text: str) -> Column:
     return F.sha2(F.regexp_replace(text_or_empty(text), f"[{SPACES}]+", " "), 256)
 
 
+def filter_bits(rows: int) -> int:
+    return max(LEAST_BITS, 1 << math.ceil(math.log2(max(1, LOAD * rows))))
+
+
 def _bit(slice_no: int, bits: int) -> Column:
-    """Position of a row in one slice of the filter: two disjoint parts of one 64-bit hash."""
-    return F.pmod(F.shiftrightunsigned(F.xxhash64("text_sha256"), 32 * slice_no), F.lit(bits))
+    """Position of a row in one slice of the filter."""
+    return F.pmod(F.xxhash64(F.lit(slice_no), "text_sha256"), F.lit(bits).cast("long"))
 
 
 def _word(position: Column) -> Column:
-    return F.call_function("div", position, F.lit(_WORD_BITS)).cast("int")
+    return F.call_function("div", position, F.lit(_WORD_BITS))
 
 
 def repeat_filter(prints: DataFrame, slice_no: int, bits: int) -> DataFrame:
@@ -41,48 +50,85 @@ def repeat_filter(prints: DataFrame, slice_no: int, bits: int) -> DataFrame:
         F.bit_or(mask).alias(f"_bits{slice_no}"))
 
 
-def flag_repeats(rows: DataFrame, filters: list[DataFrame], bits: int) -> DataFrame:
-    """Second pass: adds `_suspect`, true where every slice has the row's bit set. No row moves."""
-    suspect = F.lit(True)
+def flag_repeats(prints: DataFrame, filters: list[DataFrame], bits: int) -> DataFrame:
+    """Second pass: adds `_suspect`, true where every slice has the row's bit set. Where the filter is broadcast no row
+    moves; beyond that ids and hashes are sent to the words of the filter, never texts."""
+    suspect, rows = F.lit(True), prints
     for number, words in enumerate(filters):
         position = _bit(number, bits)
+        words = F.broadcast(words) if bits <= BROADCAST_BITS else words
         rows = (rows.withColumn(f"_at{number}", F.pmod(position, F.lit(_WORD_BITS)).cast("int"))
-                .withColumn(f"_word{number}", _word(position)).join(F.broadcast(words), f"_word{number}", "left"))
+                .withColumn(f"_word{number}", _word(position)).join(words, f"_word{number}", "left"))
         set_bit = F.expr(f"(shiftrightunsigned(coalesce(_bits{number}, 0L), _at{number}) & 1L) = 1L")
         suspect = suspect & set_bit
     extra = [f"{p}{n}" for n in range(len(filters)) for p in ("_at", "_word", "_bits")]
     return rows.withColumn("_suspect", suspect).drop(*extra)
 
 
+def _flagged(df: DataFrame, text: str, id: str, bits: int | None) -> tuple[DataFrame, DataFrame]:
+    """Ids and hashes of all rows with `_suspect`, and the groups of more than one among the suspects."""
+    prints = stored(df.select(F.col(id), normalised_sha256(text).alias("text_sha256")), "exact-dedup-prints")
+    bits = bits or filter_bits(prints.count())
+    filters = [stored(repeat_filter(prints, n, bits), "exact-dedup-filter") for n in range(2)]
+    flagged = flag_repeats(prints, filters, bits)
+    groups = stored(flagged.where("_suspect").groupBy("text_sha256")
+                    .agg(F.min(id).alias("keep_id"), F.count("*").alias("group_size"))
+                    .where("group_size > 1"), "exact-dedup-groups")
+    return flagged, groups
+
+
+def _decided(rows: DataFrame, groups: DataFrame, id: str) -> DataFrame:
+    own = F.col("group_size").isNull()
+    return (rows.join(groups, "text_sha256", "left").withColumn("keep_id", F.when(own, F.col(id)).otherwise(F.col("keep_id")))
+            .withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("long"))))
+
+
 def exact_dedup(df: DataFrame, *, text: str = "text", id: str = "doc_id", only_decisions: bool = False,
-                filter_bits: int = FILTER_BITS) -> DataFrame:
+                bits: int | None = None) -> DataFrame:
     """Every row of `df` with `keep_id`, `group_size`, `kept` and `text_sha256` of its group of equal texts.
 
-    The first pass counts filter positions, the second finds the rows whose positions all repeat. Only those rows
-    (true repeats and a few false alarms) are grouped and joined with their group; the rest pass straight through as
-    groups of one, with their texts never shuffled. The join's hot keys are split by AQE; each group is one row there.
+    Texts are read once for their hashes. The first pass counts filter positions, the second finds the rows whose
+    positions all repeat. Only those rows (true repeats and a few false alarms, `bits` being sized by the number of rows)
+    are grouped and joined with their group; the rest pass straight through as groups of one. The join's hot keys are
+    split by AQE; each group is one row there. With `only_decisions` the result has just the id and the added columns and
+    no text moves. Without, the whole rows join the groups of more than one.
 
     The row with the smallest `id` of a group stays. Null text is the empty text. Rows with equal text and equal id are
     the same document and share one decision. A null id never wins over another id; if all ids of a group are null,
     `keep_id` is null and all are kept. An empty table gives an empty result. Columns of `df` named like the added
-    ones are replaced. With `only_decisions` the result has just the id and the added columns and the texts are
-    read once.
+    ones are replaced.
     """
-    hashed = without(df, *_ADDED).withColumn("text_sha256", normalised_sha256(text))
-    prints = stored(hashed.select(F.col(id), "text_sha256"), "exact-dedup-prints")
-    filters = [stored(repeat_filter(prints, n, filter_bits), "exact-dedup-filter") for n in range(2)]
-    groups = stored(flag_repeats(prints, filters, filter_bits).where("_suspect").groupBy("text_sha256")
-                    .agg(F.min(id).alias("keep_id"), F.count("*").alias("group_size"))
-                    .where("group_size > 1"), "exact-dedup-groups")
-
-    flagged = flag_repeats(prints if only_decisions else hashed, filters, filter_bits)
-    alone = (flagged.where("not _suspect").withColumn("keep_id", F.col(id))
-             .withColumn("group_size", F.lit(1).cast("long")))
-    own = F.col("group_size").isNull()
-    repeated = (flagged.where("_suspect").join(groups, "text_sha256", "left")
-                .withColumn("keep_id", F.when(own, F.col(id)).otherwise(F.col("keep_id")))
-                .withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("long"))))
-    both = alone.unionByName(repeated).drop("_suspect")
+    rest = without(df, *_ADDED)
+    flagged, groups = _flagged(rest, text, id, bits)
+    if only_decisions:
+        alone = (flagged.where("not _suspect").withColumn("keep_id", F.col(id))
+                 .withColumn("group_size", F.lit(1).cast("long")))
+        both = alone.unionByName(_decided(flagged.where("_suspect"), groups, id))
+    else:
+        both = _decided(rest.withColumn("text_sha256", normalised_sha256(text)), groups, id)
     kept = F.col(id).eqNullSafe(F.col("keep_id"))
-    first = [F.col(id)] if only_decisions else [F.col(f"`{c}`") for c in hashed.columns if c != "text_sha256"]
+    first = [F.col(id)] if only_decisions else [F.col(f"`{c}`") for c in rest.columns]
     return both.select(*first, "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+
+
+def exact_distinct(df: DataFrame, *, text: str = "text", id: str = "doc_id", bits: int | None = None) -> DataFrame:
+    """`df` with one row of each group of equal texts, all columns as they are: the one with the smallest id.
+
+    Decisions are made on ids and hashes; the rows themselves only leave out those that go. Of rows that are equal in
+    text and id (or have a null id each) one stays too, any of them; only such rows are grouped, as rows. Null text is the
+    empty text; an empty table gives an empty result.
+    """
+    flagged, groups = _flagged(df, text, id, bits)
+    decided = stored(_decided(flagged.where("_suspect"), groups, id).select(
+        F.col(id).alias("_of"), F.col("text_sha256").alias("_sha"), F.col(id).eqNullSafe(F.col("keep_id")).alias("_kept")),
+        "exact-dedup-decided")
+    gone = decided.where("not _kept").select("_of", "_sha").distinct()
+    again = stored(decided.where("_kept").groupBy("_of", "_sha").agg(F.count("*").alias("_n")).where("_n > 1"),
+                   "exact-dedup-again").drop("_n")
+    same = F.col(f"`{id}`").eqNullSafe(F.col("_of")) & (F.col("_text_sha") == F.col("_sha"))
+    hashed = df.withColumn("_text_sha", normalised_sha256(text)).join(gone, same, "left_anti")
+    if again.isEmpty():
+        return hashed.drop("_text_sha")
+    single = hashed.join(again, same, "left_anti")
+    repeated = hashed.join(again, same, "left_semi").dropDuplicates([id, "_text_sha"])
+    return single.unionByName(repeated).drop("_text_sha")

@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 
 from cuota.llm import bpe, langid, neighbours, simhash, token_files, warc, word_pieces
 from cuota.llm.components import components
-from cuota.llm.exact_dedup import exact_dedup
+from cuota.llm.exact_dedup import exact_dedup, exact_distinct, filter_bits, flag_repeats, repeat_filter
 from cuota.llm.mixing import mix_sources
 from cuota.llm.oracles import ORACLES
 from cuota.llm.queries import QUERIES
@@ -126,9 +126,17 @@ def test_grams_do_not_depend_on_slices(monkeypatch):
 
 # exact duplicates ----------------------------------------------------------------------------------------------------
 
+@pytest.mark.parametrize("most", [0, 1 << 26])
 @pytest.mark.parametrize("bits", [64, 1 << 20])
-def test_exact_groups_of_odd_rows(odd, bits):
-    rows = exact_dedup(odd, filter_bits=bits).collect()
+def test_exact_groups_of_odd_rows(odd, monkeypatch, bits, most):
+    monkeypatch.setattr("cuota.llm.exact_dedup.BROADCAST_BITS", most)
+    rows = exact_dedup(odd, bits=bits).collect()
+    decided = exact_dedup(odd, bits=bits, only_decisions=True).collect()
+    assert sorted(str(r.asDict()) for r in decided) == sorted(str({c: r[c] for c in decided[0].asDict()}) for r in rows)
+    left = exact_distinct(odd, bits=bits)
+    assert left.columns == odd.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left.collect()) == sorted(
+        {(r["keep_id"] or 0, r["text"]) for r in rows if r["kept"]})
     groups = {}
     for number, text, *_ in ROWS:
         groups.setdefault(regex.sub(r"[\x20\x09-\x0D]+", " ", text or ""), []).append(number)
@@ -139,7 +147,25 @@ def test_exact_groups_of_odd_rows(odd, bits):
         keep = min(known) if known else None
         assert (row["keep_id"], row["group_size"], row["kept"]) == (keep, len(groups[key]), row["doc_id"] == keep)
         assert row["text_sha256"] == hashlib.sha256(key.encode()).hexdigest() and row["size"] == "s"
-    assert exact_dedup(odd.limit(0)).count() == 0
+    assert exact_dedup(odd.limit(0)).count() == exact_distinct(odd.limit(0)).count() == 0
+
+
+def test_one_row_of_those_without_id(spark):
+    rows = [(None, "a  b")] * 3 + [(5, "x"), (5, "x"), (5, "y"), (None, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in exact_distinct(df).collect()) == [(0, "a  b"), (5, "x"), (5, "y")]
+
+
+@pytest.mark.parametrize("rows", [1, 10**6, 10**7, 10**9])
+def test_filter_grows_with_the_rows(rows):
+    assert (1 - np.exp(-rows / filter_bits(rows))) ** 2 <= 0.004
+
+
+def test_false_alarms_are_as_few_as_stated(spark):
+    prints = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("text_sha256"))
+    bits = filter_bits(200_000)
+    flagged = flag_repeats(prints, [repeat_filter(prints, n, bits) for n in range(2)], bits)
+    assert flagged.where("_suspect").count() <= 0.005 * 200_000
 
 
 # archives ------------------------------------------------------------------------------------------------------------

@@ -44,3 +44,23 @@ def test_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_repeated_and_missing_ids(spark):
+    """Rows that repeat an id, have none, or clash in their columns go through all stages; of equal texts one row stays."""
+    some = [r for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").orderBy("doc_id").limit(60).collect()]
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"], "k", "i") for r in some]
+    rows += [(rows[0][0], *rows[0][1:])] * 5 + [(None, *rows[1][1:]), (None, "", "en", None, "k", "i")]
+    rows += [(None, "another text " + rows[2][1], "en", None, "k", "i")] * 3 + [(rows[3][0], rows[4][1] + " end", "en", "hot", "k", "i")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, kept string, ids string").repartition(3)
+    stages = dict(corpus_pipeline.STAGES)
+    single = stages["exact_dedup"](spark, df, SF)
+    texts = [regex.sub(r"[\x20\x09-\x0D]+", " ", r["text"]) for r in single.collect()]
+    assert single.columns == df.columns and len(texts) == len(set(texts)) == len({
+        regex.sub(r"[\x20\x09-\x0D]+", " ", r[1]) for r in rows})
+    apart = stages["near_dedup"](spark, single, SF)
+    owner = groups_of(dict(enumerate(sorted(texts))))
+    assert apart.columns == df.columns and apart.count() == len(set(owner.values()))
+    mixed = stages["mix_sources"](spark, apart, SF)
+    assert mixed.columns == df.columns
+    assert stages["bpe_encode"](spark, mixed, SF).where("exact").count() == mixed.count()
