@@ -37,9 +37,9 @@ _KINDS = "\n  UNION ALL\n".join(
 _OP9 = f"""
 WITH found AS ({_KINDS}),
 classes AS (
-  SELECT value_hash, CASE WHEN count(DISTINCT coalesce('s' || source, '')) >= 3 OR count(DISTINCT doc_id) >= 20
-                          THEN 'example'
-                          WHEN count(DISTINCT coalesce('s' || source, '')) = 1 THEN 'live' ELSE 'shared' END AS class
+  SELECT value_hash, CASE WHEN count(DISTINCT coalesce('s' || source, '')) = 1 THEN 'live'
+                          WHEN count(DISTINCT coalesce('s' || source, '')) >= 3 OR count(DISTINCT doc_id) >= 20
+                          THEN 'example' ELSE 'shared' END AS class
   FROM found GROUP BY value_hash),
 spans AS (
   SELECT f.doc_id, f.kind, f.start_at, f.end_at, c.class,

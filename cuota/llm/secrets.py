@@ -32,7 +32,8 @@ BASE = (ASSIGN, ACCESS, HEX)
 # The kind that ownership adds: long mixed strings that no base match covers and that one owner alone has.
 OWNED = Kind("owned", r"[A-Za-z0-9+/_-]{20,}", 20, holds=("[0-9]", "[a-z]", "[A-Z]"))
 
-# A value found with this many owners, or in this many repositories, is a copied example.
+# A value found with this many owners, or with several and in this many repositories, is a copied example. What one owner
+# alone has is live, however many of its repositories hold it.
 EXAMPLE_OWNERS = 3
 EXAMPLE_REPOS = 20
 
@@ -79,7 +80,7 @@ def candidates(df: DataFrame, kinds: tuple[Kind, ...], text: str, keep: list[Col
 
 
 def ownership(found: DataFrame, owner: str, repo: str, example_owners: int, example_repos: int) -> DataFrame:
-    """Per value hash: `example` (copied by many), `live` (one owner's own) or `shared`; nulls are an owner of their own.
+    """Per value hash: `live` (one owner's own), `example` (copied by many) or `shared`; nulls are an owner of their own.
 
     Repeats within an owner and repository are folded before the counts, so a widely copied value is a row per task.
     """
@@ -87,8 +88,8 @@ def ownership(found: DataFrame, owner: str, repo: str, example_owners: int, exam
     counts = named.groupBy("_hash").agg(F.countDistinct("_owner").alias("_owners"),
                                         F.countDistinct("_repo").alias("_repos"))
     many = (F.col("_owners") >= example_owners) | (F.col("_repos") >= example_repos)
-    return counts.select(F.col("_hash").alias("_judged"), F.when(many, "example")
-                         .when(F.col("_owners") == 1, "live").otherwise("shared").alias("_class"))
+    return counts.select(F.col("_hash").alias("_judged"), F.when(F.col("_owners") == 1, "live")
+                         .when(many, "example").otherwise("shared").alias("_class"))
 
 
 def _listing(spans: Column, names: tuple[str, ...]) -> Column:
@@ -103,7 +104,8 @@ def scan_secrets(df: DataFrame, *, text: str = "text", owner: str = "source", re
     """The columns of `df` but `text`, with the secrets of each text.
 
     Adds `n_assign`, `n_access`, `n_hex` (base matches), `n_owned` (added ones), `n_live` and `n_example` (of all spans,
-    by the ownership of their value over the whole input: one owner's own, or copied by many owners or repositories),
+    by the ownership of their value over the whole input: one owner's own in however many repositories, or copied by
+    several owners into many),
     `base_sha256` and `spans`. Base matches are always listed; ownership decides which long mixed strings are added:
     those that overlap no base match and that one owner alone has.
 
