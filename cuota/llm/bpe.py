@@ -85,7 +85,8 @@ def cut(text: str, coder: Codec, limit: int) -> list[tuple[int, bytes]]:
     they are. Run n: a part of the n-th pre-token that is itself longer than `limit`; its parts have to be joined.
 
     A plain piece ends only after a character that is no white space, as only trailing white space would be split
-    otherwise if the text ended there.
+    otherwise if the text ended there. The white space between such a place and a long pre-token is a run of its own per
+    pre-token, whose bytes are merged as they are.
     """
     pieces: list[tuple[int, bytes]] = []
     runs, start, position = 0, 0, 0
@@ -96,18 +97,25 @@ def cut(text: str, coder: Codec, limit: int) -> list[tuple[int, bytes]]:
             pieces.append((0, text[start:end].encode()))
         start = end
 
+    def run(data: str) -> None:
+        nonlocal runs
+        runs += 1
+        pieces.extend((runs, part) for part in halves(data.encode(), limit))
+
     def walk(begin: int, stop: int) -> None:
-        nonlocal runs, start
-        closed = True  # the text so far can be cut here
+        nonlocal start
+        blanks: list[str] = []  # pre-tokens since the text could last be cut, which end in white space
         for match in coder.pattern.finditer(text, begin, stop):
-            long = match.end() - match.start() > limit
-            if closed and (long or match.end() - start > limit):
+            token = match.group()
+            if len(token) > limit:
+                plain(match.start() - sum(map(len, blanks)))
+                for part in (*blanks, token):
+                    run(part)
+                start, blanks = match.end(), []
+                continue
+            if not blanks and match.end() - start > limit:
                 plain(match.start())
-            if long and closed:
-                runs += 1
-                pieces.extend((runs, part) for part in halves(match.group().encode(), limit))
-                start = match.end()
-            closed = not text[match.end() - 1].isspace() or long
+            blanks = [*blanks, token] if token[-1].isspace() else []
 
     for special in coder.special.finditer(text):
         walk(position, special.start())

@@ -28,6 +28,7 @@ from cuota.llm.secrets import scan_secrets
 
 SF = "/root/testdata/sf0.001"
 WORD = regex.compile(rb"[^\x20\x09-\x0D]+")
+LIBRARY = Tokenizer.from_file(bpe.VOCABULARY)
 
 # Columns that clash with what operators add or use, nulls everywhere, ties, repeats, an empty and a long text.
 ODD = StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType()),
@@ -401,6 +402,39 @@ def test_bpe_is_the_library_s(spark, piece_chars):
         assert row["ids"] == library.encode(text, add_special_tokens=False).ids and row["decoded"] == text
 
 
+@pytest.mark.parametrize("front", ["", "intro", "intro\n", "intro\t", "intro  ", "intro \n\n ", "a. \u3000", "<|endoftext|> \n"])
+def test_long_runs_are_halved_behind_any_front(front):
+    coder, library = bpe.codec(bpe.VOCABULARY), Tokenizer.from_file(bpe.VOCABULARY)
+    for run in ("x" * 4000, " " * 4000 + "y", "漢" * 2000, "1" * 3000):
+        text = f"{front}{run} and more"
+        pieces = bpe.cut(text, coder, 500)
+        assert b"".join(p for _, p in pieces) == text.encode() and max(len(p) for _, p in pieces) <= 500 + 40
+        runs = {}
+        for number, part in pieces:
+            runs.setdefault(number, []).append(part)
+        assert max(len(parts) for number, parts in runs.items() if number) >= 8
+        ids, done = [], set()
+        for number, part in pieces:
+            if not number:
+                ids += coder.encode(part.decode()).tolist()
+            elif number not in done:
+                done.add(number)
+                ids += bpe.join_tree([coder.merge(p) for p in runs[number]], coder)
+        assert ids == library.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b" * 30, " ", "\n", "\t", "  ", "'s", "1" * 9, "!", "é", "漢" * 7, "<|endoftext|>", "\r\n"]),
+                max_size=30), st.integers(3, 20))
+def test_pieces_give_the_library_s_ids(parts, limit):
+    coder, text = bpe.codec(bpe.VOCABULARY), "".join(parts)
+    pieces, ids = bpe.cut(text, coder, limit), []
+    for number in dict.fromkeys((n if n else -i) for i, (n, _) in enumerate(pieces, 1)):
+        own = [p for i, (n, p) in enumerate(pieces, 1) if (n if n else -i) == number]
+        ids += bpe.join_tree([coder.merge(p) for p in own], coder) if number > 0 else coder.encode(own[0].decode()).tolist()
+    assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_query_and_odd_rows(spark, odd, texts):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for row in QUERIES["op8_bpe_round_trip"](spark, SF).collect():
@@ -430,6 +464,16 @@ def test_secrets_of_odd_rows(odd):
     assert scan_secrets(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("copies", [1, 19, 20, 300])
+def test_one_owner_s_key_is_live_however_often_it_is_held(spark, copies):
+    key, common = "Ab1" + "xY9" * 8, "Zz9" + "qW3" * 8
+    rows = [(i, f"deploy with {key} now", "one") for i in range(copies)]
+    rows += [(1000 + i, f"see {common} here", f"s{i % 2}") for i in range(30)] + [(2000, f"see {key}7", "two")]
+    found = {r["doc_id"]: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(found[i]["n_owned"] == found[i]["n_live"] == 1 and found[i]["spans"] for i in range(copies))
+    assert all(found[1000 + i]["spans"] == "" for i in range(30)) and found[2000]["n_live"] == 1
+
+
 def test_mix_of_odd_rows(odd):
     rows = mix_sources(odd).collect()
     assert len(rows) == len(ROWS) and sorted(map(str, rows)) == sorted(map(str, mix_sources(odd).collect()))
