@@ -55,11 +55,13 @@ def quality_filters(words: Column, text: Column) -> dict[str, Column]:
 
 def failures(df: DataFrame, labels: DataFrame, *, text: str = "text", id: str = "doc_id", part: str = "source",
              repeats: str = "E", filters: Mapping[str, object] | None = None) -> tuple[DataFrame, list[str]]:
-    """(`part`, `mask`, `good`, `toxic`) per row of `df`, and the names of the filters in the order of the mask's bits.
+    """(`part`, `mask`, `good`, `toxic`, `n`): how many rows of `df` are alike in all of these, and the names of the
+    filters in the order of the mask's bits.
 
     `filters(words, text)` gives the conditions on one text; the filter `repeats` is the last bit: the text is that of a
-    smaller id. Texts are read once; what is stored and joined is a digest per row. The digests that occur more than once
-    are one row each, and the rows join them with hot digests split by AQE.
+    smaller id. Texts are read once; what is stored and shuffled is a digest per row. Copies of a text are counted per
+    part and label, with how many of them have the smallest id there, before they meet the smallest id of all, so a text
+    that most rows have is a few rows.
     """
     whole = df.select(F.col(f"`{id}`").alias("_id"), F.coalesce(F.col(f"`{part}`").cast("string"), F.lit("")).alias("part"),
                       text_or_empty(f"`{text}`").alias("_text"))
@@ -68,22 +70,29 @@ def failures(df: DataFrame, labels: DataFrame, *, text: str = "text", id: str =
     names = [*tests, repeats]
     mask = sum((F.when(test, 1 << n).otherwise(0) for n, test in enumerate(tests.values())), F.lit(0))
     own = stored(words.select("_id", "part", mask.alias("_own"), F.sha2("_text", 256).alias("_hash")), "audit-masks")
-    firsts = (own.groupBy("_hash").agg(F.min("_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
-              .select(F.col("_hash").alias("_same"), "_first"))
     label = labels.groupBy(F.col("doc_id").alias("_labelled")).agg(
         F.max((F.col("quality") == 1).cast("int")).alias("_good"), F.max((F.col("toxic") == 1).cast("int")).alias("_toxic"))
-    joined = (own.join(firsts, F.col("_hash") == F.col("_same"), "left")
-              .join(label, F.col("_id") == F.col("_labelled"), "left"))
-    again = F.when(F.col("_id") > F.col("_first"), 1 << len(tests)).otherwise(0)
-    return joined.select("part", (F.col("_own") + again).alias("mask"), F.coalesce("_good", F.lit(0)).alias("good"),
-                         F.coalesce("_toxic", F.lit(0)).alias("toxic")), names
+    joined = own.join(label, F.col("_id") == F.col("_labelled"), "left").select(
+        "_id", "part", "_own", "_hash", F.coalesce("_good", F.lit(0)).alias("good"), F.coalesce("_toxic", F.lit(0)).alias("toxic"))
+    like = ["_hash", "part", "_own", "good", "toxic"]
+    per_id = joined.groupBy("_id", *like).agg(F.count("*").alias("_n"))
+    named = F.when(F.col("_id").isNotNull(), F.struct("_id", "_n"))
+    counted = stored(per_id.groupBy(*like).agg(F.sum("_n").alias("_n"), F.min(named).alias("_least"),
+                                               F.sum(F.when(F.col("_id").isNull(), F.col("_n")).otherwise(0)).alias("_bare")),
+                     "audit-copies")
+    firsts = counted.groupBy("_hash").agg(F.min("_least._id").alias("_first"))
+    both = counted.join(firsts.withColumnRenamed("_hash", "_same"), F.col("_hash") == F.col("_same"))
+    fresh = F.col("_bare") + F.when(F.col("_least._id") == F.col("_first"), F.col("_least._n")).otherwise(0)
+    kinds = F.array(F.struct(F.col("_own").alias("mask"), fresh.alias("n")),
+                    F.struct((F.col("_own") + (1 << len(tests))).alias("mask"), (F.col("_n") - fresh).alias("n")))
+    return both.select("part", "good", "toxic", F.inline(kinds)).where("n > 0"), names
 
 
 def interaction_audit(failed: DataFrame, names: list[str]) -> DataFrame:
     """(`part`, `filter_order`, `step`, counts) for every part of `failed`, order of the filters and step.
 
-    `failed` (`part`, `mask`, `good`, `toxic`) has a row per document, bit n of the mask telling that it fails filter n.
-    Rows are counted per part and mask first, at most 2^n rows a part. An edge of the lattice leads from a set of filters
+    `failed` (`part`, `mask`, `good`, `toxic`, `n`) stands for `n` documents a row, bit n of the mask telling that they fail
+    filter n. They are counted per part and mask first, at most 2^n rows a part. An edge of the lattice leads from a set of filters
     to that set and one filter more; what that filter removes there are the documents that fail it and none of the set.
     Every mask adds its count to the edges that remove it. All else is read from the edges: a step of an order is an
     edge; a filter's edge from the empty set has all that fail it, its edge from all the others what only it fails; the
@@ -93,8 +102,9 @@ def interaction_audit(failed: DataFrame, names: list[str]) -> DataFrame:
     if count > MOST_FILTERS:
         raise ValueError(f"{count} filters have too many orders to list; {MOST_FILTERS} at most")
     spark, full = failed.sparkSession, (1 << count) - 1
-    counted = stored(failed.groupBy("part", "mask").agg(F.count("*").alias("n"), F.sum("good").cast("long").alias("good"),
-                                                        F.sum("toxic").cast("long").alias("toxic")), "audit-counts")
+    of = lambda label: F.sum(F.col(label) * F.col("n")).cast("long").alias(label)
+    counted = stored(failed.groupBy("part", "mask").agg(F.sum("n").cast("long").alias("n"), of("good"), of("toxic")),
+                     "audit-counts")
     lattice = edges(count)
     removing = _small(spark, ["mask", "before", "filter"], [
         (mask, state, f) for mask in range(1, full + 1) for state, f, _ in lattice if not mask & state and mask >> f & 1])
