@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuota.llm.common import ship, without
+from cuota.llm.common import release, ship, without
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 # Texts up to this many characters are encoded at once. Longer ones are cut into pieces of about this size, which other
@@ -162,7 +162,9 @@ def _encoder(path: str):
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         coder = codec(path)
-        return _lists([coder.encode(t.as_py() or "") for t in texts])
+        found = _lists([coder.encode(t.as_py() or "") for t in texts])
+        release()
+        return found
 
     return encode
 
@@ -206,7 +208,10 @@ def _joiner(path: str):
                 else:
                     whole.append(ids[at[begin]:at[number]])
             out.append(np.concatenate(whole))
-        return _lists(out)
+        found = _lists(out)
+        del out
+        release()
+        return found
 
     return joined
 
@@ -260,7 +265,10 @@ def bpe_decode(df: DataFrame, *, ids: str = "ids", out: str = "decoded", path: s
             numbers = (array.values if array.is_valid else pa.array([], pa.int32())).drop_null().to_numpy()
             known = (numbers >= 0) & (numbers < len(coder.table))
             texts.append(coder.decode((numbers if known.all() else numbers[known]).tolist()).decode("utf-8", "replace"))
-        return pa.array(texts, pa.string())
+        found = pa.array(texts, pa.string())
+        del texts
+        release()
+        return found
 
     return without(df, out).withColumn(out, decode(F.col(ids)))
 

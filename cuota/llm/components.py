@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuota.llm.common import stored
+from cuota.llm.common import discard, stored
 
 
 def _to_smallest(edges: DataFrame) -> DataFrame:
@@ -38,4 +38,5 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen or not state[0]:
             return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
         seen = state
-        current = stored(_below(_to_smallest(current)), "components")
+        before, current = current, stored(_below(_to_smallest(current)), "components")
+        discard(before)

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuota.llm.common import ship, stored, without
+from cuota.llm.common import release, ship, stored, without
 
 # About this many labelled texts per language (chosen by a hash of the id) fit the model. Prediction covers every text.
 SAMPLE_PER_LANG = 500
@@ -161,6 +161,7 @@ def fit_languages(df: DataFrame, *, text: str = "text", lang: str = "lang", id:
             counts = gram_counts(value, dimensions)
             places = np.flatnonzero(counts)
             out.append({"places": places.tolist(), "counts": counts[places].tolist()})
+        release()
         return pa.array(out, pa.struct([("places", pa.list_(pa.int32())), ("counts", pa.list_(pa.float32()))]))
 
     sample = stored(chosen.select(F.col(lang).alias("lang"), features(F.col(text)).alias("f")).select("lang", "f.*"),
@@ -180,6 +181,8 @@ def fit_languages(df: DataFrame, *, text: str = "text", lang: str = "lang", id:
         vectors = _unit(counts * idf)
         centres = cluster(vectors, centroids)
         floors = _floors(counts, idf, centroids)
+        del counts, vectors
+        release()
         return rows.head(1)[["lang"]].merge(_frame(centres, floors), how="cross")
 
     def _frame(centres, floors):
@@ -212,6 +215,7 @@ def identify_languages(df: DataFrame, model: LanguageModel, *, text: str = "text
         own = sent.value
         found = [own.predict(t) for t in texts.to_pylist()]
         kinds = (pa.string(), pa.float64(), pa.bool_())
+        release()
         return pa.StructArray.from_arrays([pa.array([bool(f[i]) if i == 2 else f[i] for f in found], kinds[i])
                                            for i in range(3)], list(_ADDED))
 
