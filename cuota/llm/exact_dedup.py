@@ -122,7 +122,8 @@ def exact_distinct(df: DataFrame, *, text: str = "text", id: str = "doc_id", bit
     decided = stored(_decided(flagged.where("_suspect"), groups, id).select(
         F.col(id).alias("_of"), F.col("text_sha256").alias("_sha"), F.col(id).eqNullSafe(F.col("keep_id")).alias("_kept")),
         "exact-dedup-decided")
-    gone = decided.where("not _kept").select("_of", "_sha").distinct()
+    # stored, so that its size is known when the rows meet it: they are not shuffled for the sake of a small table
+    gone = stored(decided.where("not _kept").select("_of", "_sha").distinct(), "exact-dedup-gone")
     again = stored(decided.where("_kept").groupBy("_of", "_sha").agg(F.count("*").alias("_n")).where("_n > 1"),
                    "exact-dedup-again").drop("_n")
     same = F.col(f"`{id}`").eqNullSafe(F.col("_of")) & (F.col("_text_sha") == F.col("_sha"))
