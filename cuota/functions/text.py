@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 _BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 _NON_ASCII = r"[^\x00-\x7F]"
 _MARK, _ENTRY = "\x01", "\x02"
+# Up to so many distinct characters are replaced one after the other; more are translated in one pass.
+_SHORT_ALPHABET = 48
 
 
 @lru_cache(maxsize=1)
@@ -43,19 +45,35 @@ def strip_blanks(col: Column) -> Column:
 
 
 def fold_ascii(col: Column) -> Column:
-    """NFKD fold to ASCII. Plain ASCII values skip all of it."""
+    """NFKD fold to ASCII. Plain ASCII values skip all of it.
+
+    What a text has to be folded is its alphabet: its few distinct characters beyond ASCII. They are folded one by one and
+    then replaced in the text, a byte search each. A text with a large alphabet is translated character by character.
+    """
     source, target, many = fold_tables()
     # One literal that the optimizer folds to a map: hundreds of separate literals would cost seconds of planning.
     entries = _ENTRY.join(f"{char}{_MARK}{ascii_form}" for char, ascii_form in many.items())
     lookup = F.str_to_map(F.lit(entries), F.lit(_ENTRY), F.lit(_MARK))
-    # `translate` looks characters up in a hash table; a regular expression would try hundreds of alternatives on each.
-    has_many = F.translate(col, "".join(many), "") != col
-    # Only the distinct characters that need it are replaced, each in one pass over the text.
-    special = F.array_distinct(F.split(F.translate(F.regexp_replace(col, "[\\x00-\\x7F]+", ""), source, ""), ""))
-    expanded = F.when(has_many, F.aggregate(special, col, lambda text, c: F.replace(
-        text, c, F.coalesce(F.try_element_at(lookup, c), c)))).otherwise(col)
-    folded = F.regexp_replace(F.translate(expanded, source, target), _NON_ASCII, "")
-    return F.when(col.rlike(_NON_ASCII), folded).otherwise(col)
+    several = "".join(many)
+
+    def folded(char: Column) -> Column:
+        one = F.translate(char, source, target)
+        longer = F.when(F.translate(char, several, "") == "", F.try_element_at(lookup, char)).otherwise("")
+        return F.when(one.rlike(_NON_ASCII), longer).otherwise(one)
+
+    def by_character(alphabet: Column) -> Column:
+        expanded = F.aggregate(F.filter(alphabet, lambda c: F.translate(c, several, "") == ""), col, lambda text, c: F.replace(
+            text, c, F.coalesce(F.try_element_at(lookup, c), c)))
+        return F.regexp_replace(F.translate(expanded, source, target), _NON_ASCII, "")
+
+    def by_alphabet(alphabet: Column) -> Column:
+        return F.aggregate(alphabet, col, lambda text, c: F.replace(text, c, folded(c)))
+
+    alphabet = F.array_remove(F.array_distinct(F.split(F.regexp_replace(col, "[\\x00-\\x7F]+", ""), "")), "")
+    # the one-element array names the alphabet, so that it is found once per text
+    fold = F.transform(F.array(alphabet), lambda a: F.when(F.size(a) <= _SHORT_ALPHABET, by_alphabet(a)).otherwise(
+        by_character(a)))
+    return F.when(col.rlike(_NON_ASCII), F.element_at(fold, 1)).otherwise(col)
 
 
 def normalize_name(col: Column) -> Column:

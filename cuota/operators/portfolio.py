@@ -94,27 +94,39 @@ def cutoff_composition(portfolio: DataFrame, cutoff: Cutoff, *, scale: int | Non
     return composition(trailing_share(portfolio, cutoff, months=1, scale=scale, ordered=False), cutoff, scale=scale)
 
 
-def dense_composition(compo: DataFrame, products: Sequence[str]) -> DataFrame:
-    """banco, producto, share_producto for every bank and every product of the list; null where a bank lacks one.
+def product_names(compo: DataFrame) -> list[str]:
+    """The products of a composition in name order. Runs a job; give it a stored composition, which is small."""
+    return [row["producto"] for row in compo.select("producto").where("producto is not null").distinct()
+            .orderBy("producto").collect()]
 
-    The composition is read once: a bank's shares, one per product, become a map that the list is looked up in.
-    Products that are not on the list are left out, as in `composition_matrix`.
+
+def dense_composition(compo: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
+    """banco, producto, share_producto for every bank and every product of `compo`; null where a bank lacks one.
+
+    A bank's shares, one per product, become a map that the products are looked up in. Without a list the products are
+    those of the composition, which is read for them: store it before. With a list a product that is not on it is an error.
     """
-    listed = F.array(*[F.lit(p) for p in sorted(set(products))])
-    # Tested inside the sum: as a filter it would reach one use of the scan only and part it from the other.
+    names = sorted(set(product_names(compo) if products is None else products))
     share = F.when(F.col("producto").isNotNull(), F.struct("producto", "share_producto"))
     per_bank = compo.groupBy("banco").agg(F.map_from_entries(F.collect_list(share)).alias("_shares"))
-    return per_bank.select("banco", "_shares", F.explode(listed).alias("producto")).select(
+    listed = F.array(*[F.lit(p) for p in names]).cast("array<string>")
+    others = F.array_except(F.map_keys("_shares"), listed)
+    known = F.when(F.size(others) > 0, F.raise_error(F.concat(F.lit("products not listed: "), F.array_join(others, ", ")))
+                   .cast("array<string>")).otherwise(listed)
+    return per_bank.select("banco", "_shares", F.explode(known).alias("producto")).select(
         "banco", "producto", F.try_element_at("_shares", F.col("producto")).alias("share_producto"))
 
 
-def stack_bases(compo: DataFrame, products: Sequence[str]) -> DataFrame:
+def stack_bases(compo: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
     """banco, producto, share_producto, base: where each bar of the stacked view starts, products in name order."""
     below = Window.partitionBy("banco").orderBy("producto").rowsBetween(Window.unboundedPreceding, -1)
     height = F.coalesce(F.col("share_producto"), F.lit(0.0))
     return dense_composition(compo, products).withColumn("base", F.coalesce(F.sum(height).over(below), F.lit(0.0)))
 
 
-def composition_matrix(compo: DataFrame, products: Sequence[str]) -> DataFrame:
-    """One row per bank, one column per product; null where a bank lacks it."""
-    return compo.groupBy("banco").pivot("producto", list(products)).agg(F.max("share_producto")).orderBy("banco")
+def composition_matrix(compo: DataFrame, products: Sequence[str] | None = None) -> DataFrame:
+    """One row per bank, one column per product of `compo` (or of the list, others being an error); null where a bank
+    lacks it."""
+    names = product_names(compo) if products is None else list(products)
+    dense = dense_composition(compo, names)
+    return dense.groupBy("banco").pivot("producto", names).agg(F.max("share_producto")).orderBy("banco")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cuota.operators.portfolio import adjusted_cutoff, composition, consolidate_portfolio, in_window, trailing_share
 from cuota.operators.sheets import unpivot_wide_sheets
-from cuota.sinks.tables import refresh_table, write_csv, write_table
+from cuota.sinks.tables import read_table, refresh_table, write_csv, write_table
 from cuota.sources.listing import require_paths
 from cuota.sources.workbooks import read_workbooks, whole_workbooks
 from cuota.specs import DEFAULT_CUTOFF, PORTFOLIO
@@ -32,7 +32,7 @@ def load_portfolio(spark: SparkSession, workbooks: list[str], rows_path: str, ta
 
 def open_portfolio(spark: SparkSession, table_path: str) -> DataFrame:
     """The portfolio table as loaded before."""
-    return spark.read.schema(PORTFOLIO.schema).parquet(table_path)
+    return read_table(spark, table_path, PORTFOLIO.schema)
 
 
 def market_share_report(portfolio: DataFrame, cutoff: str = DEFAULT_CUTOFF, *, scale: int | None = None

@@ -71,6 +71,11 @@ def _composition(spark, sf):
     return cutoff_composition(b.portfolio(spark, sf, CUTOFF_MONTH, CUTOFF_MONTH), CUTOFF, scale=SCALE)
 
 
+def _stored_composition(spark, sf):
+    """The composition as a table: its products are read from it before its shares are laid out."""
+    return write_table(_composition(spark, sf), scratch_path(spark, "composicion"))
+
+
 @query("trailing_share")
 def _trailing_share(spark, sf):
     return trailing_share(_window_facts(spark, sf), CUTOFF, scale=SCALE)
@@ -211,12 +216,12 @@ def _cutoff_composition(spark, sf):
 
 @query("composition_matrix")
 def _composition_matrix(spark, sf):
-    return composition_matrix(_composition(spark, sf), b.PRODUCTS)
+    return composition_matrix(_stored_composition(spark, sf))
 
 
 @query("stack_base")
 def _stack_base(spark, sf):
-    return stack_bases(_composition(spark, sf), b.PRODUCTS)
+    return stack_bases(_stored_composition(spark, sf))
 
 
 @query("distinct_entities")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -19,28 +17,58 @@ def write_table(df: DataFrame, path: str, *, sort_by: list[str] | None = None,
                 partition_by: list[str] | None = None) -> DataFrame:
     """Replace a Parquet table and return it as stored.
 
-    `sort_by` spreads the rows by range before sorting inside files, so row-group statistics prune later reads. The rows
-    are written beside the table and take its place when all are there: a failed job leaves the old table, and `df` may
-    read it.
+    A table is a folder of versions. The rows become a new version, which counts once the mark that Spark writes last is
+    there; until then, and if the job fails, `read_table` finds the former one. Nothing is renamed, so there is no moment
+    without a table, on object stores either. The former version stays for jobs that still read it, and `df` may be one;
+    older ones and remains of failed jobs go. One job at a time may write a table.
+
+    `sort_by` spreads the rows by range before sorting inside files, so row-group statistics prune later reads.
     """
+    spark, base = df.sparkSession, path.rstrip("/")
     ordered = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by) if sort_by else df
-    fresh = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    ordered.write.partitionBy(*(partition_by or [])).parquet(fresh)
-    _switch(df.sparkSession, fresh, path.rstrip("/"))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _switch(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the folder `fresh` in the place of `path`, whose former content goes last."""
-    jvm = spark._jvm.org.apache.hadoop.fs
-    new, current, old = (jvm.Path(p) for p in (fresh, path, f"{fresh}.old"))
-    files = current.getFileSystem(spark._jsc.hadoopConfiguration())
-    replaced = files.exists(current)
-    if replaced and not files.rename(current, old) or not files.rename(new, current):
-        raise OSError(f"cannot put {fresh} in the place of {path}")
-    if replaced:
-        files.delete(old, True)
-    spark.catalog.refreshByPath(path)
+    versions = _versions(spark, base)
+    fresh = 1 + max(versions, default=0)
+    ordered.write.partitionBy(*(partition_by or [])).option(_MARKS, "true").parquet(_version_path(base, fresh))
+    former = max((n for n, complete in versions.items() if complete), default=None)
+    for number in versions:
+        if number != former:
+            _file_system(spark, base).delete(_hadoop_path(spark, _version_path(base, number)), True)
+    return spark.read.schema(df.schema).parquet(_version_path(base, fresh))
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The newest complete version of a table."""
+    base = path.rstrip("/")
+    complete = [n for n, done in _versions(spark, base).items() if done]
+    if not complete:
+        raise FileNotFoundError(f"no table at {path}")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(_version_path(base, max(complete)))
+
+
+_MARKS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
+
+def _version_path(base: str, number: int) -> str:
+    return f"{base}/v-{number:09d}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    return _hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, base: str) -> dict[int, bool]:
+    """The versions in a table's folder, and whether each is complete. There are three at most, as older ones go."""
+    files, folder = _file_system(spark, base), _hadoop_path(spark, base)
+    if not files.exists(folder):
+        return {}
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return {int(name[2:]): files.exists(_hadoop_path(spark, f"{base}/{name}/_SUCCESS"))
+            for name in names if name.startswith("v-") and name[2:].isdigit()}
 
 
 def refresh_table(df: DataFrame, path: str, spec: TableSpec, *, sort_by: list[str] | None = None) -> DataFrame:

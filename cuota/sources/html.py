@@ -36,8 +36,9 @@ _SPACES = " \n\t\f\r"
 def link_candidates(pages: DataFrame, spec: LinkSpec, *, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """(page_id, method_rank 1-4, pos, url, text, type) in discovery order, before gating and de-duplication.
 
-    Pages that cannot hold a matching href are dropped before any Python runs. Spark bounds each batch of pages by
-    bytes, so a batch and its rows stay small however long the pages are.
+    Pages that cannot hold a matching href are dropped before any Python runs; those that can are spread over all tasks by
+    page, so that one big row group of pages is not one task. Spark bounds each batch of pages by bytes, so a batch and
+    its rows stay small however long the pages are.
     """
     source = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(html).alias("html"))
     wanted = spec.href_contains
@@ -51,7 +52,7 @@ def link_candidates(pages: DataFrame, spec: LinkSpec, *, page_id: str = "page_id
                     for row in _candidates(text, spec)]
             yield pd.DataFrame(rows, columns=["page_id", "method_rank", "pos", "url", "text", "type"])
 
-    return source.mapInPandas(scan, CANDIDATE_DDL)
+    return source.repartition("page_id").mapInPandas(scan, CANDIDATE_DDL)
 
 
 class _Node:

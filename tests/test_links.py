@@ -91,6 +91,8 @@ def test_pages_without_the_wanted_href_never_reach_python(spark):
     pages = spark.createDataFrame([(1, "u", "<a href='/a.pdf'>x</a>")] * 3, "page_id long, url string, html string")
     plan = link_candidates(pages, SPEC)._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter" in plan.split("MapInPandas")[1]
+    spread, gated = plan.index("Repartition"), plan.rindex("Filter")
+    assert plan.index("MapInPandas") < spread < gated  # pages are gated before they are spread over tasks
 
 
 def test_categories(spark):

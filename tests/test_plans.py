@@ -53,7 +53,9 @@ def test_stored_portfolio_is_pruned_by_month(spark):
 
 def test_each_family_is_shuffled_once(spark):
     for name in ("credit_consolidated", "card_consolidated", "portfolio_consolidated", "sheet_select", "link_extract"):
-        assert fact_shuffles(queries()[name](spark, SF)) == 1, name
+        spread = int(name == "link_extract")  # the pages that pass the gate are dealt out before they are parsed
+        text = plan(df := queries()[name](spark, SF))
+        assert text.count("REPARTITION_BY_COL") == spread and fact_shuffles(df) == 1 + spread, name
 
 
 def test_shared_work_is_computed_once(spark):

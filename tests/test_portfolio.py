@@ -99,6 +99,17 @@ def test_dense_views(portfolio):
     matrix = composition_matrix(mix, products).collect()
     assert [r.banco for r in matrix] == list("ABCDE")
     assert all(r[p] == dense[r.banco, p] for r in matrix for p in products)
+    for view in (dense_composition, stack_bases, composition_matrix):  # the products of the data, or none left out
+        assert sorted(map(str, view(mix).collect())) == sorted(map(str, view(mix, products).collect()))
+        with pytest.raises(Exception, match=f"products not listed: {products[-1]}"):
+            view(mix, products[:-1]).collect()
+
+
+def test_a_product_nobody_listed_is_in_the_dense_views(spark, portfolio):
+    more = spark.createDataFrame([(date(2025, 6, 1), "A", "ZZ nuevo", 5.0)], PORTFOLIO.schema)
+    mix = cutoff_composition(portfolio.unionAll(more), "2025-06-30", scale=2)
+    assert "ZZ nuevo" in {r.producto for r in stack_bases(mix).collect()}
+    assert "ZZ nuevo" in composition_matrix(mix).columns
 
 
 def test_consolidation_drops_null_keys_and_strips(spark):

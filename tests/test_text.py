@@ -24,6 +24,13 @@ def test_fold_of_every_code_point(spark):
     assert evaluate(spark, lines, fold_ascii) == [ascii_form(line) for line in lines]
 
 
+def test_fold_of_short_and_long_alphabets(spark):
+    """Few distinct characters are replaced one by one, many translated; both with ligatures, marks and what has no form."""
+    few, many = "ñandú ﬁn ½ Ⅷ 漢 é" * 50, "".join(map(chr, range(0x80, 0x480))) + "ﬁ½ plain"
+    texts = [few, many, few + many, "漢字" * 9, "", None]
+    assert evaluate(spark, texts, fold_ascii) == [t if t is None else ascii_form(t) for t in texts]
+
+
 TEXTS = st.lists(st.text(st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \t\n'-ñÁüßﬁ½Ⅷ３")),
                          max_size=30), min_size=1, max_size=40)
 

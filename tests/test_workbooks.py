@@ -13,7 +13,7 @@ from cuota.operators.sheets import missing_sheets, select_sheets
 from cuota.plans.market_share import load_portfolio, open_portfolio
 from cuota.sinks.files import export_sheets, write_manifest
 from cuota.sources.listing import is_valid_file, list_files
-from cuota.sinks.tables import write_table
+from cuota.sinks.tables import read_table, write_table
 from cuota.sources.workbooks import read_workbooks, rejected_workbooks, whole_workbooks, workbook_sheets
 from cuota.sources.staging import read_bulletin
 from cuota.specs import CARD_SHEET, CREDIT_SHEET, EXPORTED_FILES
@@ -190,4 +190,20 @@ def test_a_refresh_may_read_what_it_replaces(spark, tmp_path):
     broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
     with pytest.raises(Exception, match="no"):
         write_table(broken, path)
-    assert spark.read.parquet(path).count() == 5
+    assert read_table(spark, path).count() == 5
+
+
+def test_a_table_is_there_at_every_step_of_its_replacement(spark, tmp_path):
+    """Whatever a failed job leaves behind, the former version is read; the one before it goes, and so do remains."""
+    path = f"{tmp_path}/tabla"
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, path)
+    for rows in (1, 2, 3):
+        former = write_table(spark.range(rows), path)
+    assert sorted(p.name for p in (tmp_path / "tabla").iterdir()) == ["v-000000002", "v-000000003"]
+    unfinished = tmp_path / "tabla" / "v-000000004"
+    spark.range(9).write.parquet(str(unfinished))
+    (unfinished / "_SUCCESS").unlink()  # as a crash before the last step leaves it
+    assert read_table(spark, path).count() == 3
+    assert write_table(former.unionAll(former), path).count() == 6 and former.count() == 3
+    assert sorted(p.name for p in (tmp_path / "tabla").iterdir()) == ["v-000000003", "v-000000005"]
