@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import logging
 import math
 import warnings
@@ -36,7 +37,8 @@ SHOWN = 3
 SMALL = 64
 # Below this recall, of the small groups or of the large ones, more trees are grown and refined.
 RECALL = 0.99
-PASSES = 5
+# Links within rounding of the threshold, on which two ways to add up may differ, are added but do not lower the recall.
+TIE = 1e-12
 
 _LOG = logging.getLogger(__name__)
 
@@ -247,11 +249,12 @@ def _audit(placed: DataFrame, threshold: float, audit: int, recall: float, turn:
                 step = max(1, (1 << 22) // len(nodes))
                 for start in range(0, mine.num_rows, step):
                     block = mine.slice(start, step)
-                    near = units(_matrix(block.column("vec"))) @ own.T >= threshold
+                    cosines = units(_matrix(block.column("vec"))) @ own.T
                     node, place = block.column("node").to_numpy(), block.column("component").to_numpy()
-                    near &= node[:, None] != nodes
-                    lost = near & (place[:, None] != places)
-                    links[length] += np.stack([near.sum(axis=0), lost.sum(axis=0)])
+                    cosines[node[:, None] == nodes] = -2
+                    apart = place[:, None] != places
+                    clear, lost = cosines >= threshold + TIE, apart & (cosines >= threshold)
+                    links[length] += np.stack([clear.sum(axis=0), (apart & clear).sum(axis=0)])
                     a, b = np.nonzero(lost)
                     _, first = np.unique(np.stack([place[a], b]), axis=1, return_index=True)
                     yield pa.RecordBatch.from_arrays(
@@ -314,7 +317,7 @@ def _counts(placed: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_vectors(df: DataFrame, *, id: str = "vec_id", vec: str = "embedding", threshold: float = THRESHOLD,
-                 trees: int = TREES, recall: float = RECALL, passes: int = PASSES) -> DataFrame:
+                 trees: int = TREES, recall: float = RECALL, passes: int | None = None) -> DataFrame:
     """Every row of `df` with `n_links`, `component_id` and `kept`: vectors of cosine `threshold` or more are linked.
 
     Equal vectors are folded. A forest of random trees, `trees` at least and more for more vectors, gives the first
@@ -323,7 +326,8 @@ def near_vectors(df: DataFrame, *, id: str = "vec_id", vec: str = "embedding", t
     linked is also kept as spanning links, so lists need not hold a large group of copies. The components of these links
     are audited: bounded samples of the vectors alone, in small and in large components against all. What was missed is
     added. Below `recall`, the average over vectors that have a link, of small or of large groups, more trees are grown,
-    at most `passes` times; a `RuntimeWarning` tells if the last time was below it too. Links are then counted exactly, in
+    other ones each time and more the longer it takes, until it is reached. Only a caller that sets `passes` can end that
+    early; a `RuntimeWarning` then tells that the recall is below. Links are then counted exactly, in
     double precision, among all pairs of each component; a pair below the threshold never counts.
 
     Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, nor do vectors of
@@ -345,9 +349,11 @@ def near_vectors(df: DataFrame, *, id: str = "vec_id", vec: str = "embedding", t
 
     links = spark.createDataFrame([], "a bigint, b bigint")
     found, limit, placed = None, None, None
-    for number in range(passes if total else 0):
+    for number in itertools.count() if passes is None else range(passes):
+        if not total:
+            break
         bits, grown_trees = _forest(total, threshold, trees)
-        grown = _dealt(_leaves(vectors, bits, grown_trees, number), number, PART)
+        grown = _dealt(_leaves(vectors, bits, (number + 1) * grown_trees, number), number, PART)
         new = stored(grown.mapInArrow(_compare(threshold), _OUT), "neighbours-trees")
         found = new if found is None else found.unionAll(new)
         before = None

@@ -243,6 +243,45 @@ def test_audit_sees_small_groups_beside_a_large_one(spark, monkeypatch):
     assert neighbours._samples([3000, 1000, 10**6], 256, 0.99) == [900, 256, 256]
 
 
+def test_trees_are_grown_until_the_recall_is_reached(spark, monkeypatch):
+    """The first two passes find no pair, nor does the refinement: only further passes can, and they do."""
+    passes = []
+
+    def leaves(vectors, bits, trees, turn):
+        passes.append(trees)
+        monkeypatch.setattr(neighbours, "_compare", original if turn > 1 else _only_large(original))
+        return whole(vectors, bits, trees, turn)
+
+    original, whole = neighbours._compare, neighbours._leaves
+    monkeypatch.setattr(neighbours, "ROUNDS", 0)
+    monkeypatch.setattr(neighbours, "AUDIT", 8)
+    monkeypatch.setattr(neighbours, "AUDIT_MOST", 8)  # the audit sees, and adds, only some of what is missing
+    monkeypatch.setattr(neighbours, "_leaves", leaves)
+    rows = neighbours.near_vectors(_near_pairs(spark, np.random.default_rng(3), 200, 40)).collect()
+    assert all(r["n_links"] == (199 if r["vec_id"] < 200 else 1) for r in rows)
+    assert len(passes) > 2 and passes[1] == 2 * passes[0]
+
+
+def test_links_of_planted_groups_by_size(spark):
+    """Groups of 2 to 300 near vectors among others: recall of the links per group size, none below the threshold."""
+    random_numbers, data, sizes = np.random.default_rng(8), [], []
+    for size, many in ((1, 900), (2, 150), (5, 40), (40, 5), (300, 1)):
+        for _ in range(many):
+            centre = random_numbers.standard_normal(64)
+            data += [centre + 0.2 * random_numbers.standard_normal(64) for _ in range(size)]
+            sizes += [size] * size
+    vectors, sizes = neighbours.units(np.stack(data)), np.array(sizes)
+    linked = vectors @ vectors.T >= 0.95
+    np.fill_diagonal(linked, False)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)],
+                               "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r["n_links"] for r in neighbours.near_vectors(df).collect()}
+    for size in (2, 5, 40, 300):
+        own = np.flatnonzero(sizes == size)
+        assert linked[own].sum() and sum(found[i] for i in own) >= 0.99 * linked[own].sum(), size
+    assert all(found[i] <= linked[i].sum() for i in range(len(data)))
+
+
 def _only_large(compare):
     """`_compare` that loses what no large group links."""
     def changed(*args):
