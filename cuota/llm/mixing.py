@@ -87,9 +87,12 @@ def _cuts(scored: DataFrame, plan: DataFrame) -> DataFrame:
 
 def mix_sources(df: DataFrame, *, text: str = "text", source: str = "source", id: str = "doc_id",
                 weight: Column | None = None, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
-                seed: int = 7) -> DataFrame:
+                seed: int = 7, only_decisions: bool = False) -> DataFrame:
     """Every row of `df` with `size`, `source_size`, `target`, `taken` words and `copies` the mix takes of it.
 
+    With `only_decisions` rows hold the id beside these alone, and the texts are read once, for sizes and keys; with the
+    texts in the result they are read a second time.
+
     Targets share the sum of all sizes by the sources' weights, no source above `max_epochs` times its size. A source is
     taken whole as often as its target holds it; the rest of the target is filled by whole documents in order of
     exponential keys scaled by `weight` (quality of a document, positive), to the nearest document. Sums are partially
@@ -101,11 +104,14 @@ def mix_sources(df: DataFrame, *, text: str = "text", source: str = "source", id
     together. The choice depends on ids, texts and `seed` alone, so reruns agree. An empty table gives an empty result.
     Columns of `df` named like the added ones are replaced.
     """
-    kept = [F.col(f"`{c}`") for c in without(df, *_ADDED).columns]
+    kept = [F.col(id)] if only_decisions else [F.col(f"`{c}`") for c in without(df, *_ADDED).columns]
     key = exponential_key(id, quality_weight(text) if weight is None else weight, seed)
     scored = df.select(*kept, words(text).alias("size"), F.col(source).alias("_source"), key.alias("_key"))
     scored = scored.withColumn("_slice", F.floor((1 - F.exp(-F.col("_key"))) * KEY_SLICES))
-    small = stored(scored.select("_source", "size", "_key", "_slice"), "mixing-sizes")
+    own = [F.col(id).alias("_id")] if only_decisions else []
+    small = stored(scored.select(*own, "_source", "size", "_key", "_slice"), "mixing-sizes")
+    if only_decisions:
+        scored = small.withColumnRenamed("_id", id)
     sizes = small.groupBy("_source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(1))

@@ -101,7 +101,8 @@ def _(spark, sf):
 
 @query("op10_mix_sources")
 def _(spark, sf):
-    return mix_sources(_table(spark, sf, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mix_sources(_table(spark, sf, "documents"), only_decisions=True)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op11_pack_documents")

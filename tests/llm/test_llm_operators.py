@@ -118,6 +118,38 @@ def test_floors_of_sparse_length_classes():
     assert len(floors) == len(langid.LENGTHS) + 1 and min(floors) > 0
 
 
+def test_languages_are_those_of_the_nearest_centroid(spark, odd, documents):
+    """Against plain loops over dictionaries: trigram weights, cosine to every centroid, floor, ties to the first name."""
+    docs = documents.select("doc_id", "text").unionAll(odd.select("doc_id", "text"))
+    model = langid.fit_languages(documents, usable=~langid.held_out())
+    model = langid.LanguageModel(model.languages + ["zz"], np.append(model.owner, len(model.languages)),
+                                 np.vstack([model.centroids, model.centroids[:1]]),
+                                 np.vstack([model.floors, model.floors[:1]]), model.idf)  # ties with the first centroid
+    centroids = [{p: float(c[p]) for p in np.flatnonzero(c)} for c in model.centroids]
+    shift = 33 - int(langid.DIMENSIONS).bit_length()
+    for row in langid.identify_languages(docs, model).collect():
+        text = row["text"]
+        if text is None or not regex.search(r"\p{L}", text):
+            assert (row["lang_pred"], row["score"], row["rejected"]) == ("und", 0.0, True)
+            continue
+        data = [b if b > 127 or chr(b).isalpha() else 32 for b in f" {text.lower()} ".encode("utf-8", "replace")]
+        weights, grams = {}, 0
+        for a, b, c in zip(data, data[1:], data[2:]):
+            if b != 32:
+                place = ((a << 16 | b << 8 | c) * 2654435761 % 2**32) >> shift
+                weights[place], grams = weights.get(place, 0.0) + float(model.idf[place]), grams + 1
+        norm = sum(w * w for w in weights.values()) ** 0.5
+        near = [sum(w * c.get(p, 0.0) for p, w in weights.items()) / norm for c in centroids]
+        best = max(range(len(near)), key=near.__getitem__)
+        own = model.owner[best]
+        floor = model.floors[own, sum(grams > end for end in langid.LENGTHS)]
+        assert row["score"] == pytest.approx(min(max(near[best], 0.0), 1.0), abs=1e-4)
+        if sorted(n for n, o in zip(near, model.owner) if o != own and o != len(model.languages) - 1)[-1] < near[best] - 1e-4:
+            assert row["lang_pred"] == model.languages[own] != "zz"
+        if abs(near[best] - floor) > 1e-4:
+            assert row["rejected"] == (near[best] < floor)
+
+
 def test_grams_do_not_depend_on_slices(monkeypatch):
     text = "".join(random.Random(1).choices("abc é.\n漢", k=500))
     whole = langid.gram_counts(text)
@@ -521,6 +553,10 @@ def test_mix_of_odd_rows(odd):
         assert row["taken"] == row["copies"] * row["size"] and 0 <= row["copies"] <= 3
         assert row["target"] <= 3 * row["source_size"] + 1e-6
     assert mix_sources(odd.limit(0)).count() == 0
+    decisions = mix_sources(odd, only_decisions=True)
+    names = ["doc_id", "size", "source_size", "target", "taken", "copies"]
+    assert decisions.columns == names
+    assert sorted(map(str, decisions.collect())) == sorted(map(str, mix_sources(odd).select(*names).collect()))
 
 
 def test_mix_comes_near_its_targets(spark):
