@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuota.functions.amounts import total_or_zero
@@ -79,10 +79,14 @@ def repeated_keys(index: DataFrame, key: str = "sub_rubro_base") -> DataFrame:
     return index.groupBy(key).agg(F.count("*").alias("veces")).filter(F.col("veces") > 1)
 
 
+def profile_metrics(date: str = "fecha") -> list[Column]:
+    """Number of rows and first and last date of a table."""
+    return [F.count(F.lit(1)).alias("filas"), F.min(date).alias("min_fecha"), F.max(date).alias("max_fecha")]
+
+
 def profile_tables(tables: dict[str, DataFrame], date: str = "fecha") -> DataFrame:
     """tabla, filas, min_fecha, max_fecha: one row per table."""
     return reduce(DataFrame.unionByName, [
-        df.agg(F.count("*").alias("filas"), F.min(date).alias("min_fecha"), F.max(date).alias("max_fecha"))
-        .select(F.lit(name).alias("tabla"), "filas", "min_fecha", "max_fecha")
+        df.agg(*profile_metrics(date)).select(F.lit(name).alias("tabla"), "filas", "min_fecha", "max_fecha")
         for name, df in tables.items()
     ])

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from cuota.operators.consolidate import (classify_income, consolidate_cards, consolidate_credit, consolidate_income,
-                                         profile_tables, repeated_keys)
+                                         profile_metrics, repeated_keys)
 from cuota.operators.entities import Lookup
 from cuota.operators.shares import absent_values, monthly_cards_by_class, monthly_credit_by_product, period_bounds
 from cuota.sinks.tables import write_table
@@ -39,6 +39,7 @@ def load_bulletin(spark: SparkSession, folder: str, out: str, *, files: Mapping[
                   scale: int | None = None, date_formats: Iterable[str] = DATE_FORMATS) -> dict[str, DataFrame]:
     """Read a folder of tidy CSV files, write the final tables under `out` and return them with their profile.
 
+    The profile (`perfil`) is taken of the rows as they are written, so no table is read again for it.
     `rechazos` lists the rows that lost a cell and `claves_repetidas` the index keys that multiply income lines; both are
     lazy, so they cost a scan only where they are used. For a folder of exported sheets pass files=EXPORTED_FILES and
     multi_line=True.
@@ -47,9 +48,13 @@ def load_bulletin(spark: SparkSession, folder: str, out: str, *, files: Mapping[
     staging = read_bulletin(spark, folder, files, on_bad_date=on_bad_date, multi_line=multi_line, date_formats=formats)
     index = read_income_index(spark, index_path)
     finals = consolidate_bulletin(staging, index, scale=scale)
-    stored = {name: write_table(df, f"{out.rstrip('/')}/{name}", sort_by=FINAL_ORDER[name])
+    seen = {name: Observation(name) for name in finals}
+    stored = {name: write_table(df, f"{out.rstrip('/')}/{name}", sort_by=FINAL_ORDER[name],
+                                watch=(seen[name], profile_metrics()))
               for name, df in finals.items()}
-    return {**stored, "perfil": profile_tables(stored), "claves_repetidas": repeated_keys(index),
+    profile = spark.createDataFrame([{"tabla": name, **observation.get} for name, observation in seen.items()],
+                                    "tabla string, filas bigint, min_fecha date, max_fecha date")
+    return {**stored, "perfil": profile, "claves_repetidas": repeated_keys(index),
             "rechazos": rejected_bulletin(spark, folder, files, multi_line=multi_line, date_formats=formats)}
 
 

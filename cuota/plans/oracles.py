@@ -344,6 +344,9 @@ def oracles() -> dict[str, str]:
         "file_manifest": """SELECT '2000-01-01T00:00:00' AS timestamp, 'page-' || page_id || '.html' AS filename,
               '/pages/page-' || page_id || '.html' AS path, octet_length(encode(html)) AS size,
               strftime(DATE '2000-01-01' + (page_id % 3650)::INTEGER, '%Y-%m-%d') AS modified FROM pages""",
+        "written_files": """SELECT '2000-01-01T00:00:00' AS timestamp, 'grupo=' || (page_id // 64) AS carpeta,
+              TRUE AS nombre_en_ruta, CAST(sum(octet_length(encode(coalesce(html, ''))) + 1) AS BIGINT) AS size,
+              TRUE AS reciente FROM pages GROUP BY page_id // 64""",
         "file_validity": """SELECT page_id, octet_length(encode(html)) BETWEEN 1024 AND 104857600
               AND (url LIKE '%/en/%' OR url LIKE '%/fr/%') AS valido FROM pages""",
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import date
 
@@ -28,7 +29,7 @@ from cuota.session import scratch_path
 from cuota.sinks.files import manifest, sheet_lines, write_manifest
 from cuota.sinks.tables import read_csv_table, refresh_table, write_csv, write_table
 from cuota.sources.html import link_candidates
-from cuota.sources.listing import is_valid_file
+from cuota.sources.listing import is_valid_file, list_files
 from cuota.sources.staging import normalize_columns, read_staging, rejected_cells
 from cuota.specs import CREDIT, PORTFOLIO, WINDOW_MONTHS, TableSpec
 
@@ -420,3 +421,19 @@ def _file_manifest(spark, sf):
     path = scratch_path(spark, "manifest")
     write_manifest(files, path, "2000-01-01T00:00:00")
     return spark.read.schema(manifest(files, "").schema).json(path)
+
+
+@query("written_files")
+def _written_files(spark, sf):
+    """Pages written as one text file for every 64 of them, then listed with what the file system says of each file."""
+    group = F.floor(F.col("page_id") / 64).alias("grupo")
+    pages = b.table(spark, sf, "pages").select(group, F.coalesce("html", F.lit("")).alias("value"))
+    folder, start = scratch_path(spark, "written-pages"), F.lit(int(time.time()))
+    pages.repartition("grupo").write.partitionBy("grupo").text(folder)
+    path = scratch_path(spark, "written-manifest")
+    write_manifest(list_files(spark, folder, "*.txt"), path, "2000-01-01T00:00:00")
+    listed = spark.read.json(path)
+    changed = F.to_timestamp("modified", "yyyy-MM-dd'T'HH:mm:ss.SSS").cast("long")
+    return listed.select("timestamp", F.regexp_extract("path", "/(grupo=[0-9]+)/", 1).alias("carpeta"),
+                         F.col("path").endswith(F.concat(F.lit("/"), "filename")).alias("nombre_en_ruta"), "size",
+                         (changed >= start - 3600).alias("reciente"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from cuota.specs import TableSpec
@@ -14,7 +16,8 @@ def empty_table(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, *, sort_by: list[str] | None = None,
-                partition_by: list[str] | None = None) -> DataFrame:
+                partition_by: list[str] | None = None, watch: tuple[Observation, Sequence[Column]] | None = None
+                ) -> DataFrame:
     """Replace a Parquet table and return it as stored.
 
     A table is a folder of versions. The rows become a new version, which counts once the mark that Spark writes last is
@@ -23,9 +26,12 @@ def write_table(df: DataFrame, path: str, *, sort_by: list[str] | None = None,
     older ones and remains of failed jobs go. One job at a time may write a table.
 
     `sort_by` spreads the rows by range before sorting inside files, so row-group statistics prune later reads.
+    `watch` names an observation and the aggregates it takes of the rows as they are written, which spares a read.
     """
     spark, base = df.sparkSession, path.rstrip("/")
     ordered = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by) if sort_by else df
+    if watch is not None:
+        ordered = ordered.observe(watch[0], *watch[1])  # above the shuffle by range, whose sampling reads rows as well
     versions = _versions(spark, base)
     fresh = 1 + max(versions, default=0)
     ordered.write.partitionBy(*(partition_by or [])).option(_MARKS, "true").parquet(_version_path(base, fresh))

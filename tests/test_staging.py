@@ -1,13 +1,16 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from cuota.functions.amounts import to_double, to_whole
+from cuota.operators.consolidate import profile_metrics
 from cuota.plans.bulletin import load_bulletin, share_reports
 from cuota.sources.listing import list_tables, require_paths
 from cuota.sources.staging import (apply_types, normalize_column_name, normalize_columns, read_csv_text,
                                    read_income_index, read_staging, rejected_cells)
-from cuota.sinks.tables import drop_views, empty_table
+from cuota.sinks.tables import drop_views, empty_table, write_table
 from cuota.specs import CARDS, CREDIT, INCOME_INDEX
 
 FILES = {
@@ -120,6 +123,7 @@ def test_whole_bulletin(spark, folder):
     ], key=str)
     assert [tuple(r) for r in out["perfil"].orderBy("tabla").collect()] == [
         ("credito_sector", 5, jan, feb), ("estado_resultados", 4, jan, jan), ("tarjetas", 2, jan, jan)]
+    assert "parquet" not in out["perfil"]._jdf.queryExecution().executedPlan().toString().lower()  # seen while writing
     reports = share_reports(out, scale=2)
     assert [(r.producto, r.entidad, r.share) for r in reports["credito"].collect()] == [
         ("CONSUMO", "ERROR", 12.0 / 151.25), ("CONSUMO", "UENO", 139.25 / 151.25)]
@@ -147,3 +151,14 @@ def test_views_and_empty_tables(spark):
     assert list_tables(spark, "em_tmp_*") == ["em_tmp_a", "em_tmp_b"]
     drop_views(spark, "em_tmp_a", "em_tmp_b", "no_such_view")
     assert list_tables(spark, "em_tmp_*") == []
+
+
+def test_metrics_are_taken_once_and_of_empty_tables_too(spark, tmp_path):
+    """The shuffle by range samples the rows before it writes them; the sample must not be counted."""
+    rows = spark.range(5000).select(F.expr("date_add(date'2020-01-01', int(id % 900))").alias("fecha"), "id")
+    for name, df, expected in (("full", rows, (5000, date(2020, 1, 1), date(2022, 6, 18))),
+                               ("empty", rows.where("id < 0"), (0, None, None)),
+                               ("nothing", rows.limit(0), (0, None, None))):
+        seen = Observation(name)
+        write_table(df, f"{tmp_path}/{name}", sort_by=["fecha"], watch=(seen, profile_metrics()))
+        assert tuple(seen.get[k] for k in ("filas", "min_fecha", "max_fecha")) == expected, name
