@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuota.llm.common import ship, stored, without
+from cuota.llm.common import discard, ship, stored, without
 from cuota.llm.components import components
 
 THRESHOLD = 0.95
@@ -28,6 +28,8 @@ MISS = 0.005
 # for the final counts every pair of parts is compared.
 PART = 1024
 ROUNDS = 4
+# Tables of rounds that the next pass may still read: the last lists, those before them and what was compared for both.
+HELD = 6
 # Vectors compared with all others: about AUDIT from the components of 2 to SMALL vectors and AUDIT from the larger ones,
 # all of which have a link; of those without a found link so many that SHOWN of them would turn up if what they miss
 # brought the recall of the small groups down to the limit, but AUDIT at least and AUDIT_MOST at most.
@@ -99,17 +101,23 @@ def _forest(total: int, threshold: float, least: int) -> tuple[int, int]:
 
 def _compare(threshold: float):
     """Per group: for each row the best others (as many as its list may hold, and closer than `worst`), and spanning
-    links. The latter are rows with a null cosine."""
+    links. The latter are rows with a null cosine. Rows of one `component` are known to be connected: nothing is given out
+    between them, so a large group of near vectors costs its own rows here, not their pairs. Nor is anything between two
+    rows that are not `fresh`, as those have met in this group before."""
     def run(batches):
         for _, table in _groups(batches, 2):
             table = table.combine_chunks()
-            node = table["node"].to_numpy()
-            if len(node) < 2:
+            node, component = table["node"].to_numpy(), table["component"].to_numpy()
+            if (component == component[0]).all():
                 continue
             limit, worst = table["most"].to_numpy(), table["worst"].to_numpy()
             own = units(_matrix(table["vec"].chunk(0)))
             cosines = own @ own.T
             np.fill_diagonal(cosines, -2)
+            links = np.array(_spanning(cosines, threshold), np.int64).reshape(-1, 2)
+            links = links[component[links[:, 0]] != component[links[:, 1]]]
+            fresh = table["fresh"].to_numpy()
+            cosines[(component[:, None] == component) | ~(fresh[:, None] | fresh)] = -2
             entering = cosines > np.maximum(worst, -1.5)[:, None]
             room = int(limit.max())
             if room < len(node) - 1:  # those that are no longer among the first `room` of their row need no sorting
@@ -120,7 +128,6 @@ def _compare(threshold: float):
             rank = np.arange(len(a)) - np.searchsorted(a, a)
             best = rank < limit[a]
             a, b = a[best], b[best]
-            links = np.array(_spanning(cosines, threshold), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([node[a], node[links[:, 0]]])),
                  pa.array(np.concatenate([node[b], node[links[:, 1]]])),
@@ -136,11 +143,11 @@ def _dealt(members: DataFrame, turn: int, part: int) -> DataFrame:
     parts = F.ceil(F.col("_n") / part)
     number = F.coalesce(F.pmod(F.xxhash64(F.lit(turn), "node"), parts), F.lit(0))
     return (members.join(sizes, "_group", "left").withColumn("_part", number)
-            .select("_group", "_part", "node", "most", "worst", "vec").repartition("_group", "_part")
+            .select("_group", "_part", "node", "component", "fresh", "most", "worst", "vec").repartition("_group", "_part")
             .sortWithinPartitions("_group", "_part", "node"))
 
 
-def _leaves(vectors: DataFrame, bits: int, trees: int, turn: int) -> DataFrame:
+def _leaves(placed: DataFrame, bits: int, trees: int, turn: int) -> DataFrame:
     """A row per vector and tree with the leaf as `_group`: on which side of `bits` random planes the vector lies."""
     def sides(batches):
         for batch in batches:
@@ -157,35 +164,51 @@ def _leaves(vectors: DataFrame, bits: int, trees: int, turn: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(leaves), pa.list_(pa.int64()))],
                                              [*batch.schema.names, "_leaves"])
 
-    kind = vectors.schema["vec"].dataType.simpleString()
-    coded = vectors.select("node", "vec").mapInArrow(sides, f"node bigint, vec {kind}, _leaves array<bigint>")
-    apart = coded.select("node", "vec", F.posexplode("_leaves").alias("_tree", "_leaf"))
-    return apart.select(F.xxhash64("_tree", "_leaf", F.size("vec")).alias("_group"), "node", F.lit(LIST).alias("most"),
-                        F.lit(-2.0).alias("worst"), "vec")
-
-
-def _lists(found: DataFrame, threshold: float, limit: DataFrame | None) -> DataFrame:
-    """(`node`, `most`, `worst`, `near`): each vector's best neighbours, however far they are, twice the room for those
-    whose list is full of links, and the cosine that a new neighbour must exceed."""
-    room = F.lit(LIST) if limit is None else F.coalesce("_room", F.lit(LIST))
-    lists = found.where("cosine is not null").groupBy(F.col("a").alias("node")).agg(
-        F.collect_set(F.struct((-F.col("cosine")).alias("far"), F.col("b").alias("id"))).alias("_all"))
-    if limit is not None:
-        lists = lists.join(limit, "node", "left")
-    cut = lists.select("node", room.alias("most"), F.slice(F.array_sort("_all"), F.lit(1), room).alias("near"))
+    kind = placed.schema["vec"].dataType.simpleString()
+    coded = placed.select("node", "component", "vec").mapInArrow(
+        sides, f"node bigint, component bigint, vec {kind}, _leaves array<bigint>")
+    apart = coded.select("node", "component", "vec", F.posexplode("_leaves").alias("_tree", "_leaf"))
+    return apart.select(F.xxhash64("_tree", "_leaf", F.size("vec")).alias("_group"), "node", "component",
+                        F.lit(True).alias("fresh"), F.lit(LIST).alias("most"), F.lit(-2.0).alias("worst"), "vec")
+
+
+def _lists(found: DataFrame, threshold: float, former: DataFrame | None) -> DataFrame:
+    """(`node`, `most`, `worst`, `near`, `fresh`): each vector's best neighbours, however far they are, twice the room for
+    those whose list is full of links, the cosine that a new neighbour must exceed, and the ids that the `former` lists
+    did not hold."""
+    room = F.lit(LIST) if former is None else F.coalesce("_room", F.lit(LIST))
+    known = F.array().cast("array<bigint>") if former is None else F.coalesce("_known", F.array().cast("array<bigint>"))
+    # One row per pair: the same cosine, added up in another group, may differ in its last bits.
+    pairs = found.where("cosine is not null").groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+    lists = pairs.groupBy(F.col("a").alias("node")).agg(
+        F.collect_list(F.struct((-F.col("cosine")).alias("far"), F.col("b").alias("id"))).alias("_all"))
+    if former is not None:
+        lists = lists.join(former.select("node", F.col("most").alias("_room"), F.col("near.id").alias("_known")), "node", "left")
+    cut = lists.select("node", room.alias("most"), F.slice(F.array_sort("_all"), F.lit(1), room).alias("near"),
+                       known.alias("_known"))
     saturated = (F.size("near") >= F.col("most")) & (F.element_at("near", -1)["far"] <= -threshold)
     worst = F.when(~saturated & (F.size("near") >= F.col("most")), -F.element_at("near", -1)["far"]).otherwise(F.lit(-2.0))
     return cut.select("node", F.when(saturated, 2 * F.col("most")).otherwise(F.col("most")).alias("most"),
-                      worst.alias("worst"), "near")
+                      worst.alias("worst"), "near", F.array_except("near.id", "_known").alias("fresh"))
+
 
+def _refine(lists: DataFrame, placed: DataFrame, turn: int, threshold: float) -> DataFrame:
+    """Neighbours of neighbours: around each vector, those on its list and those that list it are compared.
 
-def _refine(lists: DataFrame, vectors: DataFrame, turn: int, threshold: float) -> DataFrame:
-    """Neighbours of neighbours: around each vector, those on its list and those that list it are compared."""
-    pairs = lists.select("node", F.explode("near.id").alias("_other"))
-    around = (pairs.select(F.col("node").alias("_group"), F.col("_other").alias("node"))
-              .unionAll(pairs.select(F.col("_other").alias("_group"), "node"))
-              .unionAll(lists.select(F.col("node").alias("_group"), "node")).distinct())
-    members = (around.join(lists.select("node", "most", "worst"), "node", "left").join(vectors.select("node", "vec"), "node")
+    Pairs of which neither came to the list in the last round have been compared already. Where that is so of all of a
+    group, or all are in one component, nothing is left to find, and no vector is moved.
+    """
+    pairs = lists.select("node", F.col("fresh").alias("_fresh"), F.explode("near.id").alias("_other")).select(
+        "node", "_other", F.array_contains("_fresh", F.col("_other")).alias("fresh"))
+    around = (pairs.select(F.col("node").alias("_group"), F.col("_other").alias("node"), "fresh")
+              .unionAll(pairs.select(F.col("_other").alias("_group"), "node", "fresh"))
+              .unionAll(lists.select(F.col("node").alias("_group"), "node", F.lit(False)))
+              .groupBy("_group", "node").agg(F.max("fresh").alias("fresh")))
+    known = around.join(placed.select("node", "component"), "node")
+    open_groups = known.groupBy("_group").agg(F.min("component").alias("_low"), F.max("component").alias("_high"),
+                                              F.max("fresh").alias("_any")).where("_low < _high and _any").select("_group")
+    members = (known.join(open_groups, "_group").join(lists.select("node", "most", "worst"), "node", "left")
+               .join(placed.select("node", "vec"), "node")
                .withColumn("most", F.coalesce("most", F.lit(LIST))).withColumn("worst", F.coalesce("worst", F.lit(-2.0))))
     return _dealt(members, turn, PART).mapInArrow(_compare(threshold), _OUT)
 
@@ -276,10 +299,17 @@ def _audit(placed: DataFrame, threshold: float, audit: int, recall: float, turn:
     return reached, result.where("a is not null").select("a", "b")
 
 
+def _connecting(compared: DataFrame) -> DataFrame:
+    return compared.where("cosine is null").select("a", "b")
+
+
 def _placed(vectors: DataFrame, links: DataFrame) -> DataFrame:
     """`vectors` with the `component` of each, its own `node` if it has no link."""
-    return stored(vectors.join(components(links), "node", "left")
-                  .withColumn("component", F.coalesce("component", "node")), "neighbours-placed")
+    tied = components(links)
+    placed = stored(vectors.join(tied, "node", "left")
+                    .withColumn("component", F.coalesce("component", "node")), "neighbours-placed")
+    discard(tied)
+    return placed
 
 
 def _counts(placed: DataFrame, threshold: float) -> DataFrame:
@@ -348,29 +378,36 @@ def near_vectors(df: DataFrame, *, id: str = "vec_id", vec: str = "embedding", t
     total = vectors.count()
 
     links = spark.createDataFrame([], "a bigint, b bigint")
-    found, limit, placed = None, None, None
+    found, former, placed, rounds = None, None, vectors.withColumn("component", F.col("node")), []
     for number in itertools.count() if passes is None else range(passes):
         if not total:
             break
         bits, grown_trees = _forest(total, threshold, trees)
-        grown = _dealt(_leaves(vectors, bits, (number + 1) * grown_trees, number), number, PART)
+        grown = _dealt(_leaves(placed, bits, (number + 1) * grown_trees, number), number, PART)
         new = stored(grown.mapInArrow(_compare(threshold), _OUT), "neighbours-trees")
+        rounds.append(new)
         found = new if found is None else found.unionAll(new)
-        before = None
+        links = stored(links.unionAll(_connecting(new)).distinct(), "neighbours-links")
+        placed, before = _placed(vectors, links), None
         for turn in range(ROUNDS):
-            lists = stored(_lists(found, threshold, limit), "neighbours-lists")
-            limit = lists.select("node", F.col("most").alias("_room"))
+            lists = stored(_lists(found, threshold, former), "neighbours-lists")
+            rounds.append(lists)
+            former = lists
             state = lists.agg(F.sum(F.size("near")), F.sum("most"),
                               F.sum(F.xxhash64("node", "near.id").cast("decimal(38,0)"))).first()
             if state == before or not state[0]:
                 break
             before = state
-            more = stored(_refine(lists, vectors, 100 * number + turn, threshold), "neighbours-refined")
-            links = links.unionAll(found.where("cosine is null").select("a", "b"))
+            more = stored(_refine(lists, placed, 100 * number + turn, threshold), "neighbours-refined")
+            rounds.append(more)
+            links = links.unionAll(_connecting(more))
             held = lists.select(F.col("node").alias("a"), F.explode("near").alias("_n"))
             found = held.select("a", F.col("_n.id").alias("b"), (-F.col("_n.far")).alias("cosine")).unionAll(more)
-        links = stored(links.unionAll(found.where("cosine is null").select("a", "b")).distinct(), "neighbours-links")
+        links = stored(links.distinct(), "neighbours-links")
         found = found.where("cosine is not null")
+        for superseded in rounds[:-HELD]:
+            discard(superseded)
+        rounds = rounds[-HELD:]
         placed = _placed(vectors, links)
         reached, missed = _audit(placed, threshold, AUDIT, recall, number)
         if not missed.isEmpty():
@@ -379,10 +416,10 @@ def near_vectors(df: DataFrame, *, id: str = "vec_id", vec: str = "embedding", t
         if reached >= recall:
             break
     else:
-        if placed is not None:
+        if passes:
             warnings.warn(f"near_vectors: recall {reached:.4f} after {passes} passes, {recall} is asked for",
                           RuntimeWarning, stacklevel=2)
-    if placed is None:
+    if not total or passes == 0:
         return rest.select(*kept, F.lit(0).cast("long").alias("n_links"), F.col(id).alias("component_id"),
                            F.lit(True).alias("kept"))
     least = placed.groupBy("component").agg(F.min("first").alias("component_id"))

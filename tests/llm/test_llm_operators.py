@@ -336,12 +336,50 @@ def test_enough_trees_at_every_size(total):
 
 def test_lists_hold_the_nearest_however_far():
     vectors = [[1.0, 0.0], [0.0, 1.0], [-1.0, 0.2]]
-    table = pa.RecordBatch.from_pydict({"_group": [1] * 3, "_part": [0] * 3, "node": [0, 1, 2], "most": [1] * 3,
-                                        "worst": [-2.0, -2.0, 0.5], "vec": vectors})
+    table = pa.RecordBatch.from_pydict({"_group": [1] * 3, "_part": [0] * 3, "node": [0, 1, 2], "component": [0, 1, 2],
+                                        "fresh": [True] * 3, "most": [1] * 3, "worst": [-2.0, -2.0, 0.5], "vec": vectors})
     rows = [r for b in neighbours._compare(0.95)([table]) for r in b.to_pylist()]
     assert sorted((r["a"], r["b"]) for r in rows) == [(0, 1), (1, 2)]
 
 
+def test_nothing_is_given_out_between_vectors_known_to_be_connected():
+    """Of a group with known components only pairs across them and links that join them come out."""
+    def compared(components, fresh=(True,) * 4):
+        table = pa.RecordBatch.from_pydict({"_group": [1] * 4, "_part": [0] * 4, "node": [0, 1, 2, 3],
+                                            "component": components, "fresh": fresh, "most": [8] * 4,
+                                            "worst": [-2.0] * 4, "vec": vectors})
+        rows = [r for b in neighbours._compare(0.95)([table]) for r in b.to_pylist()]
+        return ({(r["a"], r["b"]) for r in rows if r["cosine"] is not None},
+                {(r["a"], r["b"]) for r in rows if r["cosine"] is None})
+
+    vectors = [[1.0, 0.0], [1.0, 0.01], [1.0, 0.02], [0.0, 1.0]]
+    everything = {(a, b) for a in range(4) for b in range(4) if a != b}
+    assert compared([0, 1, 2, 3]) == (everything, {(0, 1), (0, 2)})
+    assert compared([0, 0, 2, 3]) == (everything - {(0, 1), (1, 0)}, {(0, 2)})
+    assert compared([0, 0, 0, 3]) == ({(a, b) for a, b in everything if 3 in (a, b)}, set())
+    assert compared([5, 5, 5, 5]) == (set(), set())
+    assert compared([0, 1, 2, 3], [True, False, False, False])[0] == {(a, b) for a, b in everything if 0 in (a, b)}
+
+
+def test_a_group_of_copies_costs_rows_not_pairs(spark, monkeypatch):
+    """What refinement gives out grows with the copies of a group, not with their square."""
+    def refined(copies):
+        written.clear()
+        rows = neighbours.near_vectors(_near_pairs(spark, np.random.default_rng(3), copies, 40)).collect()
+        assert all(r["n_links"] == (copies - 1 if r["vec_id"] < copies else 1) for r in rows)
+        return sum(written)
+
+    def counted(df, name, **options):
+        table = keep(df, name, **options)
+        if name == "neighbours-refined":
+            written.append(table.count())
+        return table
+
+    written, keep = [], neighbours.stored
+    monkeypatch.setattr(neighbours, "stored", counted)
+    assert refined(1600) <= 5 * refined(400)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(i, 7) for i in range(1, 7)] + [(9, 9)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
