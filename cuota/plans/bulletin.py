@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cuota.operators.consolidate import (classify_income, consolidate_cards, consolidate_credit, consolidate_income,
                                          profile_metrics, repeated_keys)
 from cuota.operators.entities import Lookup
 from cuota.operators.shares import absent_values, monthly_cards_by_class, monthly_credit_by_product, period_bounds
 from cuota.sinks.tables import write_table
-from cuota.sources.staging import DATE_FORMATS, read_bulletin, read_income_index, rejected_bulletin
+from cuota.sources.staging import DATE_FORMATS, read_bulletin, read_bulletin_with_rejects, read_income_index
 from cuota.specs import CARD_CLASSES, CREDIT_PRODUCTS, ENTITY_NAMES, ENTITY_SUCCESSORS, STAGING_FILES, TableSpec
 
 # Final tables and the order their rows are stored in.
@@ -36,16 +38,26 @@ def consolidate_bulletin(staging: dict[str, DataFrame], index: DataFrame, *, suc
 
 def load_bulletin(spark: SparkSession, folder: str, out: str, *, files: Mapping[str, tuple[str, TableSpec]] = STAGING_FILES,
                   index_path: str | None = None, on_bad_date: str = "raise", multi_line: bool = False,
-                  scale: int | None = None, date_formats: Iterable[str] = DATE_FORMATS) -> dict[str, DataFrame]:
+                  scale: int | None = None, date_formats: Iterable[str] = DATE_FORMATS, rejects: bool = True
+                  ) -> dict[str, DataFrame]:
     """Read a folder of tidy CSV files, write the final tables under `out` and return them with their profile.
 
     The profile (`perfil`) is taken of the rows as they are written, so no table is read again for it.
-    `rechazos` lists the rows that lost a cell and `claves_repetidas` the index keys that multiply income lines; both are
-    lazy, so they cost a scan only where they are used. For a folder of exported sheets pass files=EXPORTED_FILES and
-    multi_line=True.
+    `claves_repetidas` lists the index keys that multiply income lines, and `rechazos` (tabla, rechazadas, fila) the rows that
+    lost a cell. For the latter the typed rows are stored under `out`/staging first, so that the files are read once for
+    both; with rejects=False nothing is stored but the final tables, and `rechazos` is left out. For a folder of exported
+    sheets pass files=EXPORTED_FILES and multi_line=True.
     """
-    formats = tuple(date_formats)
-    staging = read_bulletin(spark, folder, files, on_bad_date=on_bad_date, multi_line=multi_line, date_formats=formats)
+    options = {"on_bad_date": on_bad_date, "multi_line": multi_line, "date_formats": tuple(date_formats)}
+    if rejects:
+        read = {name: write_table(df, f"{out.rstrip('/')}/staging/{name}")
+                for name, df in read_bulletin_with_rejects(spark, folder, files, **options).items()}
+        staging = {name: df.drop("rechazadas", "fila") for name, df in read.items()}
+        refused = {"rechazos": reduce(DataFrame.unionByName, [
+            df.filter(F.col("fila").isNotNull()).select(F.lit(name).alias("tabla"), "rechazadas", "fila")
+            for name, df in read.items()])}
+    else:
+        staging, refused = read_bulletin(spark, folder, files, **options), {}
     index = read_income_index(spark, index_path)
     finals = consolidate_bulletin(staging, index, scale=scale)
     seen = {name: Observation(name) for name in finals}
@@ -54,8 +66,7 @@ def load_bulletin(spark: SparkSession, folder: str, out: str, *, files: Mapping[
               for name, df in finals.items()}
     profile = spark.createDataFrame([{"tabla": name, **observation.get} for name, observation in seen.items()],
                                     "tabla string, filas bigint, min_fecha date, max_fecha date")
-    return {**stored, "perfil": profile, "claves_repetidas": repeated_keys(index),
-            "rechazos": rejected_bulletin(spark, folder, files, multi_line=multi_line, date_formats=formats)}
+    return {**stored, "perfil": profile, "claves_repetidas": repeated_keys(index), **refused}
 
 
 def share_reports(finals: dict[str, DataFrame], *, products: Sequence[str] = CREDIT_PRODUCTS,

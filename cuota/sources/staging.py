@@ -65,6 +65,10 @@ def apply_types(df: DataFrame, spec: TableSpec, *, on_bad_date: str = "raise",
 
     A declared column the input lacks is an error; further columns are dropped.
     """
+    return df.select(*_declared(df, spec, on_bad_date, date_formats))
+
+
+def _declared(df: DataFrame, spec: TableSpec, on_bad_date: str, date_formats: Iterable[str]) -> list[Column]:
     absent = [name for name in spec.names if name not in df.columns]
     if absent:
         raise ValueError(f"{spec.name}: missing columns {', '.join(absent)}")
@@ -76,17 +80,35 @@ def apply_types(df: DataFrame, spec: TableSpec, *, on_bad_date: str = "raise",
             value = F.when(bad, F.raise_error(F.concat(F.lit(f"{spec.name}.{name}: bad date "), F.col(name)))
                            .cast("date")).otherwise(value)
         out.append(value.alias(name))
-    return df.select(*out)
+    return out
 
 
-def rejected_cells(df: DataFrame, spec: TableSpec, *, date_formats: Iterable[str] = DATE_FORMATS) -> DataFrame:
-    """The text rows that lose a cell in `apply_types`, with the names of the lost columns in `rechazadas`."""
-    lost = [
+def _lost(spec: TableSpec, date_formats: Iterable[str]) -> Column:
+    """Names of the declared columns whose text a row loses, as an array."""
+    return F.array_compact(F.array(*[
         F.when(F.col(name).isNotNull() & ~F.col(name).isin(*MISSING_TOKENS)
                & _typed(F.col(name), dtype, date_formats).isNull(), F.lit(name))
         for name, dtype in spec.columns
-    ]
-    return df.withColumn("rechazadas", F.array_compact(F.array(*lost))).filter(F.size("rechazadas") > 0)
+    ]))
+
+
+def rejected_cells(df: DataFrame, spec: TableSpec, *, date_formats: Iterable[str] = DATE_FORMATS) -> DataFrame:
+    """The text rows that lose a cell in `apply_types`, with the names of the lost columns in `rechazadas`."""
+    return df.withColumn("rechazadas", _lost(spec, date_formats)).filter(F.size("rechazadas") > 0)
+
+
+def typed_with_rejects(df: DataFrame, spec: TableSpec, *, on_bad_date: str = "raise",
+                       date_formats: Iterable[str] = DATE_FORMATS) -> DataFrame:
+    """What `apply_types` gives, with `rechazadas` and `fila` (the row's text): both null in a row that loses no cell.
+
+    Stored, it serves the good values and the list of what was refused from one reading of the files.
+    """
+    taken = sorted({"rechazadas", "fila"} & set(spec.names))
+    if taken:
+        raise ValueError(f"{spec.name}: columns named like the added ones: {', '.join(taken)}")
+    lost = _lost(spec, date_formats)
+    return df.select(*_declared(df, spec, on_bad_date, date_formats), F.when(F.size(lost) > 0, lost).alias("rechazadas"),
+                     F.when(F.size(lost) > 0, F.to_json(F.struct(*spec.names))).alias("fila"))
 
 
 def read_staging(spark: SparkSession, path: str | list[str], spec: TableSpec, *, on_bad_date: str = "raise",
@@ -119,6 +141,17 @@ def rejected_bulletin(spark: SparkSession, folder: str, files: Mapping[str, tupl
     return reduce(DataFrame.unionByName, [rejects(table, spec) for table, (_, spec) in files.items()])
 
 
+def read_bulletin_with_rejects(spark: SparkSession, folder: str,
+                               files: Mapping[str, tuple[str, TableSpec]] = STAGING_FILES, *, on_bad_date: str = "raise",
+                               multi_line: bool = False, date_formats: Iterable[str] = DATE_FORMATS
+                               ) -> dict[str, DataFrame]:
+    """As `read_bulletin`, each table with `rechazadas` and `fila` as `typed_with_rejects` adds them."""
+    paths = _bulletin_paths(spark, folder, files)
+    return {table: typed_with_rejects(normalize_columns(read_csv_text(spark, paths[table], multi_line=multi_line)), spec,
+                                      on_bad_date=on_bad_date, date_formats=date_formats)
+            for table, (_, spec) in files.items()}
+
+
 def _bulletin_paths(spark: SparkSession, folder: str, files: Mapping[str, tuple[str, TableSpec]]) -> dict[str, str]:
     paths = {table: f"{folder.rstrip('/')}/{name}" for table, (name, _) in files.items()}
     require_paths(spark, paths.values())

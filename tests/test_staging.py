@@ -3,15 +3,17 @@ from datetime import date
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from cuota.functions.amounts import to_double, to_whole
 from cuota.operators.consolidate import profile_metrics
 from cuota.plans.bulletin import load_bulletin, share_reports
 from cuota.sources.listing import list_tables, require_paths
-from cuota.sources.staging import (apply_types, normalize_column_name, normalize_columns, read_csv_text,
-                                   read_income_index, read_staging, rejected_cells)
+from cuota.sources.staging import (apply_types, normalize_column_name, normalize_columns, read_bulletin_with_rejects,
+                                   read_csv_text, read_income_index, read_staging, rejected_bulletin, rejected_cells,
+                                   typed_with_rejects)
 from cuota.sinks.tables import drop_views, empty_table, write_table
-from cuota.specs import CARDS, CREDIT, INCOME_INDEX
+from cuota.specs import CARDS, CREDIT, INCOME_INDEX, TableSpec
 
 FILES = {
     "CSBI.csv": """Fecha,Código Entidad,Actividad  Destino VS2,Cartera Vencida,CARTERA_VIGENTE,sobra
@@ -137,6 +139,41 @@ def test_whole_bulletin(spark, folder):
     assert [r.sub_rubro_base for r in out["claves_repetidas"].collect()] == ["Intereses"]
 
 
+def test_files_are_read_once_for_rows_and_rejects(spark, folder):
+    """The list of refused rows and the final tables come from one reading: the files may be gone by then."""
+    def scans(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("FileScan csv")
+
+    apart = sorted(map(tuple, rejected_bulletin(spark, str(folder)).collect()), key=str)
+    assert all(scans(df) == 1 for df in read_bulletin_with_rejects(spark, str(folder)).values())
+    out = load_bulletin(spark, str(folder), f"{folder}/out", scale=2)
+    for name in FILES:
+        (folder / name).write_text("")
+    assert all(scans(df) == 0 for df in out.values())
+    assert sorted(map(tuple, out["rechazos"].collect()), key=str) == apart and len(apart) == 2
+    assert out["credito_sector"].count() == 5
+
+
+def test_no_staging_table_without_rejects(spark, folder):
+    kept = load_bulletin(spark, str(folder), f"{folder}/a", scale=2)
+    plain = load_bulletin(spark, str(folder), f"{folder}/b", scale=2, rejects=False)
+    assert "rechazos" not in plain and not (folder / "b/staging").exists()
+    for name in ("credito_sector", "tarjetas", "estado_resultados"):
+        assert sorted(map(str, kept[name].collect())) == sorted(map(str, plain[name].collect()))
+
+
+def test_rejects_beside_typed_rows(spark, folder):
+    text = normalize_columns(read_csv_text(spark, f"{folder}/CSFI.csv"))
+    both = typed_with_rejects(text, CREDIT)
+    assert both.drop("rechazadas", "fila").collect() == apply_types(text, CREDIT).collect()
+    assert [(r.rechazadas, "1.5" in (r.fila or "")) for r in both.collect()] == [(None, False), (["codigo_entidad"], True)]
+    with pytest.raises(Exception, match="bad date"):
+        typed_with_rejects(text.withColumn("fecha", F.lit("31/31/2025")), CREDIT).collect()
+    clash = TableSpec("t", (("fila", LongType()),))
+    with pytest.raises(ValueError, match="named like the added ones: fila"):
+        typed_with_rejects(spark.createDataFrame([("1",)], "fila string"), clash)
+
+
 def test_other_date_formats(spark, tmp_path):
     (tmp_path / "t.csv").write_text("fecha,codigo_entidad,clasificacion,total\n31/01/2025,1,x,2\n")
     with pytest.raises(Exception, match="bad date"):
