@@ -87,3 +87,52 @@ def test_fingerprints_do_not_depend_on_slices(monkeypatch):
     assert (near_texts.fingerprint_bits(text, 3) == whole).all() and len(whole) == 192
     other = near_texts.fingerprint_bits(b"one other text of quite different words", 3)
     assert 60 < np.count_nonzero(whole != other) < 130
+
+
+@pytest.fixture(scope="module")
+def borderline():
+    """Groups of texts around the threshold: short ones, chains, and a passage that many share."""
+    choice, texts = random.Random(5), {}
+    vocabulary = ["".join(choice.choices("abcdefghijklmno", k=choice.randint(2, 9))) for _ in range(3000)]
+    passage = choice.choices(vocabulary, k=60)
+    for _ in range(60):
+        words = choice.choices(vocabulary, k=choice.randint(6, 120))
+        for _ in range(8):
+            if choice.random() < 0.5:
+                words = words + choice.choices(vocabulary, k=1 + len(words) // 30)
+            texts[len(texts)] = edited(words, choice.choice((0.005, 0.015, 0.025)), choice)
+    for _ in range(80):
+        texts[len(texts)] = " ".join(passage + choice.choices(vocabulary, k=choice.randint(2, 60)))
+    return texts
+
+
+def test_no_link_is_lost(spark, borderline):
+    df = spark.createDataFrame(list(borderline.items()), "doc_id long, text string").repartition(5)
+    left = {r["doc_id"] for r in near_texts.near_dedup(df).collect()}
+    want = groups_of(borderline)
+    assert left == set(want.values()) and 150 < len(left) < len(want)
+
+
+def test_links_that_the_trees_do_not_offer(spark, borderline, monkeypatch):
+    none = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(near_texts, "candidate_pairs", lambda *args: none)
+    monkeypatch.setattr(near_texts, "ORDER_SHINGLES", 5)
+    df = spark.createDataFrame(list(borderline.items()), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in near_texts.near_dedup(df).collect()} == set(groups_of(borderline).values())
+
+
+def test_prefixes_and_counters_lose_no_pair():
+    choice = random.Random(8)
+    for _ in range(3000):
+        common, size = choice.randint(1, 60), choice.randint(0, 12)
+        kinds = choice.sample(range(100), min(100, common + size))
+        a, b = set(kinds[:common]), set(kinds[:common])
+        for k in kinds[common:]:
+            (a if choice.random() < 0.5 else b).add(k)
+        late = np.sort(np.array(choice.sample(range(100), 20), np.uint64))
+        places = np.array(choice.sample(range(1, 21), 20))
+        heads = [near_texts.prefix(np.array(list(k), np.uint64), 0.8, late, places) for k in sorted((a, b), key=len)]
+        if len(a & b) / len(a | b) >= 0.8:
+            assert set(heads[0][0][:heads[0][1]].tolist()) & set(heads[1][0].tolist())
+            counts = [np.frombuffer(near_texts.counters(np.array(list(k), np.uint64)), np.uint8).astype(int) for k in (a, b)]
+            assert abs(counts[0] - counts[1]).sum() <= (len(a) + len(b)) / 9 + 1e-9
