@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from cuota.llm.common import discard, stored
@@ -25,6 +25,16 @@ def _below(edges: DataFrame) -> DataFrame:
             .unionAll(least.select("a", F.col("_low").alias("b"))).distinct())
 
 
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, stored, and their number and checksum, observed while they are written: a query of its own for these
+    would leave its plan and stages in the driver's memory, round after round."""
+    state = [F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")]
+    seen = Observation()
+    kept = stored(edges.observe(seen, *state), "components")
+    found = seen.get or kept.agg(*state).first().asDict()  # nothing is observed where Spark drops an empty part of a plan
+    return kept, (found["rows"], found["sum"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(`node`, `component`) for every node of `edges` (columns `a`, `b`) that is not the smallest of its component.
 
@@ -32,11 +42,9 @@ def components(edges: DataFrame) -> DataFrame:
     the graph, not with its diameter. Minima are partially aggregated, hot nodes' joins are split by AQE, and only a row
     count and a checksum come to the driver. Loops and repeated edges do no harm; no edges give no rows.
     """
-    current, seen = stored(edges.select("a", "b").where("a != b").distinct(), "components"), None
-    while True:
-        state = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen or not state[0]:
-            return current.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        seen = state
-        before, current = current, stored(_below(_to_smallest(current)), "components")
+    (current, state), seen = _kept(edges.select("a", "b").where("a != b").distinct()), None
+    while state != seen and state[0]:
+        seen, before = state, current
+        current, state = _kept(_below(_to_smallest(current)))
         discard(before)
+    return current.select(F.col("a").alias("node"), F.col("b").alias("component"))

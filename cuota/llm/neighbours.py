@@ -9,10 +9,11 @@ import warnings
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuota.llm.common import discard, ship, stored, without
+from cuota.llm.common import discard, release, ship, stored, without
 from cuota.llm.components import components
 
 THRESHOLD = 0.95
@@ -235,6 +236,16 @@ def _recall(numbers: list[int], sampled: list[list[tuple[int, int]]]) -> float:
     return min(small, means[2] if sampled[2] else 1.0)
 
 
+def _by_length(rows: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Nodes, components and unit vectors of the rows, by the vectors' length."""
+    if not rows.num_rows:
+        return {}
+    lengths = pc.list_value_length(rows["vec"]).to_numpy()
+    kinds = {length: rows.take(np.flatnonzero(lengths == length)).combine_chunks() for length in np.unique(lengths).tolist()}
+    return {length: (own["node"].to_numpy(), own["component"].to_numpy(), units(_matrix(own["vec"].chunk(0))))
+            for length, own in kinds.items()}
+
+
 def _audit(placed: DataFrame, threshold: float, audit: int, recall: float, turn: int) -> tuple[float, DataFrame]:
     """Recall of the vectors that have a link, from a sample compared with all others, and the links that were missed.
 
@@ -253,18 +264,16 @@ def _audit(placed: DataFrame, threshold: float, audit: int, recall: float, turn:
                          F.col("_kind") + 1)
     chance = F.pmod(F.xxhash64(F.lit(1000 + turn), "node"), F.lit(1 << 30)) < share
     chosen = placed.join(known_sizes.select("component", "_kind"), "component").where(chance)
-    rows = chosen.limit(2 * sum(wanted) + 1000).select("node", "component", "vec", "_kind").collect()
-    sample = placed.sparkSession.sparkContext.broadcast(
-        [(r["node"], r["component"], np.asarray(r["vec"], np.float64)) for r in rows])
+    # as Arrow and in arrays: rows of Python numbers would take several times the memory of the driver, in the JVM as well
+    rows = chosen.limit(2 * sum(wanted) + 1000).select("node", "component", "vec", "_kind").toArrow().combine_chunks()
+    sampled_nodes, kinds = rows["node"].to_pylist(), rows["_kind"].to_pylist()
+    sample = placed.sparkSession.sparkContext.broadcast(_by_length(rows))
+    del rows
     names = ["a", "b", "links", "missed"]
 
     def compare(batches):
-        by_length: dict[int, list] = {}
-        for node, component, vec in sample.value:
-            by_length.setdefault(len(vec), []).append((node, component, vec))
-        known = {length: (np.array([k[0] for k in own], np.int64), np.array([k[1] for k in own], np.int64),
-                          units(np.stack([k[2] for k in own]))) for length, own in by_length.items()}
-        links = {length: np.zeros((2, len(own)), np.int64) for length, own in by_length.items()}
+        known = sample.value
+        links = {length: np.zeros((2, len(nodes)), np.int64) for length, (nodes, _, _) in known.items()}
         for batch in batches:
             lengths = np.diff(np.asarray(batch.column("vec").offsets))
             for length, (nodes, places, own) in known.items():
@@ -292,7 +301,9 @@ def _audit(placed: DataFrame, threshold: float, audit: int, recall: float, turn:
         compare, "a bigint, b bigint, links bigint, missed bigint"), "neighbours-audit")
     counted = result.where("a is null").groupBy("b").agg(F.sum("links").alias("links"), F.sum("missed").alias("missed"))
     found = {r["b"]: (r["links"], r["missed"]) for r in counted.collect()}
-    sampled = [[found.get(r["node"], (0, 0)) for r in rows if r["_kind"] == k] for k in range(3)]
+    sampled = [[found.get(n, (0, 0)) for n, own in zip(sampled_nodes, kinds) if own == k] for k in range(3)]
+    sample.destroy()  # its result is stored
+    release()
     reached = _recall(numbers, sampled)
     _LOG.info("recall %.5f, vectors alone, in small, in large components: %s, sampled %s", reached, numbers,
               [len(s) for s in sampled])
