@@ -29,9 +29,9 @@ def filter_bits(rows: int) -> int:
     return max(LEAST_BITS, 1 << math.ceil(math.log2(max(1, LOAD * rows))))
 
 
-def _bit(slice_no: int, bits: int) -> Column:
+def _bit(slice_no: int, bits: int, of: Column | str = "text_sha256") -> Column:
     """Position of a row in one slice of the filter."""
-    return F.pmod(F.xxhash64(F.lit(slice_no), "text_sha256"), F.lit(bits).cast("long"))
+    return F.pmod(F.xxhash64(F.lit(slice_no), of), F.lit(bits).cast("long"))
 
 
 def _word(position: Column) -> Column:
@@ -45,17 +45,35 @@ def repeat_filter(prints: DataFrame, slice_no: int, bits: int) -> DataFrame:
     """
     position = prints.select(_bit(slice_no, bits).alias("_position")).groupBy("_position").agg(F.count("*").alias("_n"))
     repeated = position.where("_n > 1")
+    return _words(repeated, slice_no)
+
+
+def _words(positions: DataFrame, slice_no: int) -> DataFrame:
     mask = F.expr(f"shiftleft(1L, cast(_position % {_WORD_BITS} as int))")
-    return repeated.groupBy(_word(F.col("_position")).alias(f"_word{slice_no}")).agg(
+    return positions.groupBy(_word(F.col("_position")).alias(f"_word{slice_no}")).agg(
         F.bit_or(mask).alias(f"_bits{slice_no}"))
 
 
-def flag_repeats(prints: DataFrame, filters: list[DataFrame], bits: int) -> DataFrame:
+def suspects(df: DataFrame, key: Column, wanted: DataFrame, of: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of `df` whose `key` may be among the column `of` of the table `wanted`, and the others.
+
+    A row that is not wanted is a suspect with a chance of 0.4 %; no wanted one is missing. The filter is broadcast, so
+    that no row moves. Where it would have more than BROADCAST_BITS a slice all rows are suspects, and there are no others.
+    """
+    bits = filter_bits(wanted.count())
+    if bits > BROADCAST_BITS:
+        return df, None
+    filters = [stored(_words(wanted.select(_bit(n, bits, of).alias("_position")), n), "wanted-filter") for n in range(2)]
+    flagged = flag_repeats(df, filters, bits, key)
+    return flagged.where("_suspect").drop("_suspect"), flagged.where("not _suspect").drop("_suspect")
+
+
+def flag_repeats(prints: DataFrame, filters: list[DataFrame], bits: int, of: Column | str = "text_sha256") -> DataFrame:
     """Second pass: adds `_suspect`, true where every slice has the row's bit set. Where the filter is broadcast no row
     moves; beyond that ids and hashes are sent to the words of the filter, never texts."""
     suspect, rows = F.lit(True), prints
     for number, words in enumerate(filters):
-        position = _bit(number, bits)
+        position = _bit(number, bits, of)
         words = F.broadcast(words) if bits <= BROADCAST_BITS else words
         rows = (rows.withColumn(f"_at{number}", F.pmod(position, F.lit(_WORD_BITS)).cast("int"))
                 .withColumn(f"_word{number}", _word(position)).join(words, f"_word{number}", "left"))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from test_llm_operators import ODD, ROWS
 
 from cuota.llm import near_texts
@@ -136,3 +137,51 @@ def test_prefixes_and_counters_lose_no_pair():
             assert set(heads[0][0][:heads[0][1]].tolist()) & set(heads[1][0].tolist())
             counts = [np.frombuffer(near_texts.counters(np.array(list(k), np.uint64)), np.uint8).astype(int) for k in (a, b)]
             assert abs(counts[0] - counts[1]).sum() <= (len(a) + len(b)) / 9 + 1e-9
+
+
+def test_sketches_lose_no_pair_and_tell_long_texts_apart():
+    choice = random.Random(9)
+    for size in (1, 30, 600, 5000):
+        for share in (0.0, 0.05, 0.19, 0.3):
+            kinds = [choice.getrandbits(64) for _ in range(size + int(2 * share * size))]
+            extra = len(kinds) - size
+            a, b = kinds[:size + extra // 3], kinds[extra // 3:] if size > extra else kinds
+            differ = len(set(a) ^ set(b))
+            found = near_texts.sketch_distance(*[near_texts.sketch(np.array(k, np.uint64)) for k in (a, b)])
+            assert found <= differ and found >= 0.6 * differ
+            assert (differ - found) % 2 == 0
+
+
+def test_no_tie_within_a_known_group():
+    tree = near_texts.PairTree(3)
+    for point, group in ((0b1, 7), (0b11, 7), (0xFF00, 7), (0xFF01, 8), (0xFF03, 8), (0b111, 9)):
+        tree.add(point, group)
+    # one pair for each group that a point ties in, none between points of one
+    assert tree.pairs == [(2, 3), (0, 5)] and tree.firsts() == [0]
+
+
+def test_copies_of_one_text_meet_at_it(spark):
+    links = spark.createDataFrame([(5, 9), (3, 9), (9, 12), (20, 21)], "a long, b long")
+    known = spark.createDataFrame([(5, 3), (9, 3), (12, 3), (21, 20)], "node long, component long")
+    pairs = spark.createDataFrame([(3, 30), (12, 21), (3, 5)], "a long, b long")
+    found = {tuple(r) for r in near_texts.hub_pairs(pairs, links, known).collect()}
+    assert found == {(9, 30), (3, 30), (9, 21), (12, 20), (9, 20)}
+
+
+def test_texts_that_share_shingles_meet_where_they_can_be_alike(spark):
+    """A shingle that comes too late in both texts to be their first common one makes no pair."""
+    prints = spark.createDataFrame([(n, 20, [100 * n, 100 * n + 1, 100 * n + 2, 7]) for n in range(1, 30)] + [
+        (40, 20, [7, 8]), (41, 20, [7, 9])], "node long, _size long, _prefix array<long>")
+    known = spark.createDataFrame([], "node long, component long")
+    assert {tuple(r) for r in near_texts.sharing_pairs(prints, known, 0.8).collect()} == {(40, 41)}
+
+
+def test_only_tied_texts_move(spark):
+    from cuota.llm.exact_dedup import suspects
+
+    rows = spark.range(20_000).select(F.when(F.col("id") % 5000 != 1, F.col("id")).alias("k"), F.lit("text").alias("text"))
+    wanted = spark.createDataFrame([(i,) for i in range(0, 400, 2)] + [(None,)], "k long")
+    some, others = suspects(rows, F.col("k"), wanted, "k")
+    found = {r["k"] for r in some.collect()}
+    assert found >= set(range(0, 400, 2)) | {None} and len(found) < 201 + 200
+    assert some.count() + others.count() == 20_000 and "Exchange hashpartitioning" not in others._jdf.queryExecution().toString()
