@@ -1,6 +1,8 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
+import pyarrow as pa
 import regex
+from pyspark.sql import functions as F
 from test_llm_near_texts import groups_of
 from tokenizers import Tokenizer
 
@@ -64,3 +66,27 @@ def test_repeated_and_missing_ids(spark):
     mixed = stages["mix_sources"](spark, apart, SF)
     assert mixed.columns == df.columns
     assert stages["bpe_encode"](spark, mixed, SF).where("exact").count() == mixed.count()
+
+
+def test_batches_of_bounded_bytes(spark, monkeypatch):
+    """Long texts reach Python in small batches in the first and the last stage, whoever uses their result; the setting
+    is as before then."""
+    @F.arrow_udf("boolean")
+    def small(values: pa.Array) -> pa.Array:
+        if values.nbytes > 2 * (1 << 21):
+            raise ValueError(f"a batch of {values.nbytes} bytes")
+        return pa.array([True] * len(values))
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    words = F.concat_ws(" ", F.lit("the house of the old man"), F.col("id"), F.repeat(F.lit("and there was a road "), 2500))
+    docs = spark.range(0, 200, 1, 1).select(F.col("id").alias("doc_id"), words.alias("text"), F.lit("en").alias("lang"),
+                                            F.lit("s").alias("source"))
+    stages = dict(corpus_pipeline.STAGES)
+    with monkeypatch.context() as patch:
+        find, decode = corpus_pipeline.identify_languages, corpus_pipeline.bpe_decode
+        patch.setattr(corpus_pipeline, "identify_languages", lambda df, model: find(df.where(small("text")), model))
+        patch.setattr(corpus_pipeline, "bpe_decode", lambda df: decode(df.where(small("ids"))))
+        assert stages["language_id"](spark, docs, SF).count() == 200
+        assert stages["bpe_encode"](spark, docs, SF).where("exact").count() == 200
+    assert spark.conf.get(key) == before
