@@ -23,43 +23,49 @@ MEMORY_WORDS = 1_200_000
 
 _MARKS = frozenset(b".,;:!?")
 _PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+# Plain letters and the ASCII marks behind them, but for those of contractions and special tokens.
+_MARKED = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]+)").fullmatch
 # The characters that stand for bytes in such files: printable Latin-1 for itself, the rest from 256 on in byte order.
 _PRINTED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
 _CHARACTERS = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 # A control byte holds the widths of four ids, two bits each, lowest first: width - 1.
-_WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.int64) + 1
+_WIDTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + np.uint8(1)
 
 
 def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers: each in as few bytes as it needs, lowest byte first."""
-    widths = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    largest = ranks.max(initial=0)
+    most = 4 if largest > 0xFFFF else 2
+    kept = np.empty((len(ranks), most), bool)  # of each number's bytes
+    kept[:, 0] = True
+    for place in range(1, most):
+        np.greater_equal(ranks, 1 << 8 * place, out=kept[:, place])
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
-    padded[:len(ranks)] = widths - 1
-    control = padded.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    most = 4 if ranks.max(initial=0) > 0xFFFF else 2
-    data = ranks.astype(f"<u{most}").view(np.uint8).reshape(-1, most)
-    return control.astype(np.uint8).tobytes(), data[np.arange(most, dtype=np.uint8) < widths[:, None]].tobytes()
+    padded[:len(ranks)] = kept[:, 1] if most == 2 else kept.sum(axis=1) - 1
+    four = padded.view("<u4")
+    control = (four | four >> 6 | four >> 12 | four >> 18).astype(np.uint8)
+    return control.tobytes(), ranks.astype(f"<u{most}").view(np.uint8)[kept.ravel()].tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
-    """The numbers again: the widths are looked up by control byte, the bytes gathered at their summed places."""
+    """The numbers again: the widths are looked up by control byte, the bytes put at the places these leave for them."""
     widths = _WIDTHS[np.frombuffer(control, np.uint8)].ravel()[:count]
-    ends = np.cumsum(widths)
-    source = np.frombuffer(data + b"\0\0\0", np.uint8)
-    starts = ends - widths
-    numbers = source[starts].astype(np.uint32)
-    for place in range(1, int(widths.max(initial=1))):
-        numbers |= np.where(widths > place, source[starts + place].astype(np.uint32) << np.uint32(8 * place), 0).astype(
-            np.uint32)
-    return numbers
+    most = 4 if widths.max(initial=1) > 2 else 2
+    kept = np.empty((count, most), bool)
+    kept[:, 0] = True
+    for place in range(1, most):
+        np.greater(widths, place, out=kept[:, place])
+    numbers = np.zeros(count * most, np.uint8)
+    numbers[kept.ravel()] = np.frombuffer(data, np.uint8)
+    return numbers.view(f"<u{most}").astype(np.uint32)
 
 
 class WordIds(dict):
     """Ids of words as little-endian bytes, found on first sight. White space only separates words for this kind of
-    tokenizer, so a text's ids are those of its words. A mark behind a letter at the end of a word is a piece of its own
+    tokenizer, so a text's ids are those of its words. Marks behind a letter at the end of a word are a piece of their own
     there, so such a word is put together from its parts. Plain lower-case words go straight to the library's merge
-    model: nothing normalises or splits them, and each byte has its own character there."""
+    model: nothing normalises or splits them, and each byte has its own character there, an ASCII letter itself."""
 
     def __init__(self, path: str, limit: int):
         super().__init__()
@@ -70,23 +76,31 @@ class WordIds(dict):
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.kind = id_kind(self.tokenizer)
-        self.code = np.dtype(self.kind).char
+        code = np.dtype(self.kind).char
+        self.packers = lru_cache(maxsize=64)(lambda count: struct.Struct(f"<{count}{code}").pack)
 
     def __missing__(self, word: bytes) -> bytes:
         if word[-1] in _MARKS and word[-2:-1].isalpha():
             found = self[word[:-1]] + self[word[-1:]]
         else:
-            text = word.decode()
-            if _PLAIN(text):
-                ids = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(_CHARACTERS))]
-            else:
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = struct.pack(f"<{len(ids)}{self.code}", *ids)
+            found = self._found(word)
         if len(self) >= self.limit:
             self.clear()
         self[word] = found
         return found
 
+    def _found(self, word: bytes) -> bytes:
+        text = word.decode()
+        if word.isalpha() and word.islower():
+            ids = [t.id for t in self.model.tokenize(text)]
+        elif _PLAIN(text):
+            ids = [t.id for t in self.model.tokenize(word.decode("latin-1").translate(_CHARACTERS))]
+        elif parts := _MARKED(text):
+            return self[parts[1].encode()] + self[parts[2].encode()]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return self.packers(len(ids))(*ids)
+
     def ids_of(self, text: bytes) -> bytes:
         # The tokenizer lower-cases too, but not before it has looked for its special tokens.
         words = (text if b"<|" in text else text.lower()).split()

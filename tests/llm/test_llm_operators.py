@@ -446,6 +446,31 @@ def test_packed_numbers_come_back(numbers):
     assert token_files.unpack(control, data, len(numbers)).tolist() == numbers
 
 
+WORDS_MARKS = st.tuples(st.text("abzßéüÿ", min_size=1, max_size=6), st.text("!\"#$%&()*+,-./:;=?@[\\]^_`{}~'<|>1", max_size=4))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(WORDS_MARKS.map("".join) | st.text(max_size=6), max_size=8).map(" ".join))
+def test_word_ids_are_those_of_the_library(text):
+    ids = token_files.word_ids(token_files.VOCABULARY)
+    assert np.frombuffer(ids.ids_of(text.encode()), ids.kind).tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_marks_behind_plain_words_are_encoded_once():
+    ids = token_files.WordIds(token_files.VOCABULARY, 100)
+    library, seen = ids.tokenizer, []
+
+    class Counted:
+        def encode(self, text, **how):
+            seen.append(text)
+            return library.encode(text, **how)
+
+    ids.tokenizer = Counted()
+    for word in ("abé,", "letionré&&&", "stinea$$$", "abé&&&", "ünd$$$", "ünd,"):
+        assert np.frombuffer(ids[word.encode()], ids.kind).tolist() == library.encode(word, add_special_tokens=False).ids
+    assert sorted(seen) == ["$$$", "&&&", ","]
+
+
 @pytest.mark.parametrize("table", ["odd", "documents"])
 def test_token_files(spark, request, tmp_path, table):
     df = request.getfixturevalue(table)
