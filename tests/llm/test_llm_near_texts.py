@@ -185,3 +185,28 @@ def test_only_tied_texts_move(spark):
     found = {r["k"] for r in some.collect()}
     assert found >= set(range(0, 400, 2)) | {None} and len(found) < 201 + 200
     assert some.count() + others.count() == 20_000 and "Exchange hashpartitioning" not in others._jdf.queryExecution().toString()
+
+
+def test_folds_lose_no_pair_and_keep_unlike_texts_apart(spark):
+    """Texts with a common beginning meet at its shingles; the folds let those of the similarity through, no crowd of others."""
+    choice = random.Random(11)
+    base = [choice.randrange(1 << 60) for _ in range(40)]
+    sets = [base[:k] + [choice.randrange(1 << 60) for _ in range(40 - k)] for k in [40, 39, 38, 37, 36] + [28] * 60]
+    late = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    rows = []
+    for node, own in enumerate(sets):
+        hashes = np.array(own, np.uint64)
+        common_first = [h for h in base if h in own] + [h for h in own if h not in base]
+        rows.append((node, len(own), common_first[:len(near_texts.prefix(hashes, 0.8, *late)[0])],
+                     *near_texts.folded(near_texts.sketch(hashes)).tolist()))
+    prints = spark.createDataFrame(rows, "node long, _size long, _prefix array<long>, "
+                                   + ", ".join(f"_fold{i} long" for i in range(near_texts.FOLD_WORDS)))
+    known = spark.createDataFrame([], "node long, component long")
+    alike_pairs = {(a, b) for b in range(len(sets)) for a in range(b) if alike(set(sets[a]), set(sets[b])) >= 0.8}
+    every = {tuple(r) for r in near_texts.sharing_pairs(prints.select("node", "_size", "_prefix"), known, 0.8).collect()}
+    found = {tuple(r) for r in near_texts.sharing_pairs(prints, known, 0.8).collect()}
+    assert alike_pairs and alike_pairs <= found <= every and len(every) > 1500 and len(found) < 100
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = (near_texts.folded(near_texts.sketch(np.array(sets[i], np.uint64))) for i in (a, b))
+            assert sum(((int(p) ^ int(q)) % (1 << 64)).bit_count() for p, q in zip(x, y)) <= len(set(sets[a]) ^ set(sets[b]))
