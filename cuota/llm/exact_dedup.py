@@ -48,22 +48,26 @@ def repeat_filter(prints: DataFrame, slice_no: int, bits: int) -> DataFrame:
     return _words(repeated, slice_no)
 
 
-def _words(positions: DataFrame, slice_no: int) -> DataFrame:
+def _words(positions: DataFrame, slice_no: int | str, *keys: str) -> DataFrame:
     mask = F.expr(f"shiftleft(1L, cast(_position % {_WORD_BITS} as int))")
-    return positions.groupBy(_word(F.col("_position")).alias(f"_word{slice_no}")).agg(
+    return positions.groupBy(*keys, _word(F.col("_position")).alias(f"_word{slice_no}")).agg(
         F.bit_or(mask).alias(f"_bits{slice_no}"))
 
 
-def suspects(df: DataFrame, key: Column, wanted: DataFrame, of: str) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of `df` whose `key` may be among the column `of` of the table `wanted`, and the others.
+def suspects(df: DataFrame, key: Column, wanted: DataFrame, of: str,
+             rows: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of `df` whose `key` may be among the column `of` of the table `wanted` (of so many `rows`), and the others.
 
     A row that is not wanted is a suspect with a chance of 0.4 %; no wanted one is missing. The filter is broadcast, so
     that no row moves. Where it would have more than BROADCAST_BITS a slice all rows are suspects, and there are no others.
     """
-    bits = filter_bits(wanted.count())
+    bits = filter_bits(wanted.count() if rows is None else rows)
     if bits > BROADCAST_BITS:
         return df, None
-    filters = [stored(_words(wanted.select(_bit(n, bits, of).alias("_position")), n), "wanted-filter") for n in range(2)]
+    positions = wanted.select(F.posexplode(F.array(*[_bit(n, bits, of) for n in range(2)])).alias("_slice", "_position"))
+    words = stored(_words(positions, "", "_slice"), "wanted-filter")
+    filters = [words.where(F.col("_slice") == n).select(*[F.col(c).alias(f"{c}{n}") for c in ("_word", "_bits")])
+               for n in range(2)]
     flagged = flag_repeats(df, filters, bits, key)
     return flagged.where("_suspect").drop("_suspect"), flagged.where("not _suspect").drop("_suspect")
 
